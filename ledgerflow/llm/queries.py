@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, license_scan, mixing, token_counts
-from ledgerflow.llm.common import table, word_count
+from ledgerflow.llm import chat_format, license_scan, mixing, token_counts, url_filter, warc
+from ledgerflow.llm.common import materialise, table, word_count
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,56 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+# Verdict and rule (host and path).
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+# End of the fixed values.
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages. The trees learn from the rules' verdicts and, elsewhere, from junk marks in the pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    _, by_rule = url_filter.rule_for(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")), URL_RULES)
+    junk = F.regexp_count(F.coalesce("html", F.lit("")), F.lit(r"%%%|\*\*\*|###|\$\$\$|(&amp;){3}")) >= 10
+    labelled = pages.select("url", F.when(by_rule == "block", 1.0).when(by_rule == "allow", 0.0).when(junk, 1.0).otherwise(0.0).alias("label"))
+    judged = url_filter.filter_urls(pages.select("page_id", "url"), URL_RULES, url_filter.train(labelled))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back; revisits get size and digest of the response they refer to."""
+    pages = table(spark, sf_dir, "pages")
+    at = warc.write_archives(pages.select(F.col("page_id").alias("capture_id"), "url", F.encode("html", "UTF-8").alias("payload")))
+    whole = warc.reassemble(warc.read_archives(spark, at))
+    number = lambda c: F.when(F.split(c, ":")[2] != "", F.split(c, ":")[2].cast("long"))
+    found = whole.select(
+        number(F.col("record_id")).alias("page_id"), "record_id", "record_type", "refers_to", F.length("payload").cast("long").alias("payload_bytes"), F.substring_index("declared_digest", ":", -1).alias("payload_digest")
+    )
+    found = materialise(found, "records")
+    # Every revisit is looked up; responses that many refer to are dealt out by salt.
+    salt = F.pmod(F.xxhash64("record_id"), F.lit(warc.SALTS)).cast("int")
+    responses = found.where("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("page_id").alias("target_page"), F.col("payload_bytes").alias("target_bytes"), F.explode(F.sequence(F.lit(0), F.lit(warc.SALTS - 1))).alias("salt"))
+    revisits = found.where("record_type = 'revisit'").withColumn("salt", salt)
+    resolved = revisits.join(responses, (revisits.refers_to == responses.target) & (revisits.salt == responses.salt), "left")
+    return found.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).unionByName(
+        resolved.select("page_id", F.col("target_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("target_page").alias("refers_to"))
+    )
+
+
+ORACLE_OP5 = """
+with p as (select page_id, coalesce(html, '') as body from pages),
+latest as (select body, max(page_id) as last from p group by body),
+digits as (
+    -- SHA-1 as 160 bits, five at a time
+    select p.page_id, p.body, last, list_aggregate(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_aggregate(list_transform(range(0, 5), lambda j:
+            ((('0x' || substr(sha1(p.body), ((i * 5 + j) // 4 + 1)::int, 1))::int >> (3 - (i * 5 + j) % 4)) & 1) << (4 - j)), 'sum')::int, 1)), 'string_agg', '') as digest
+    from p join latest on p.body = latest.body)
+select page_id, octet_length(encode(body))::bigint as payload_bytes, digest as payload_digest,
+    case when page_id = last then 'response' else 'revisit' end as record_type, case when page_id <> last then last end as refers_to
+from digits
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -76,8 +126,10 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_chat_format": op3_chat_format,
+    "op4_url_filter": op4_url_filter,
+    "op5_warc": op5_warc,
     "op7_token_counts": op7_token_counts,
     "op8_source_mix": op8_source_mix,
     "op9_license_scan": op9_license_scan,
 }
-ORACLE: dict[str, str] = {"op8_source_mix": ORACLE_OP8}
+ORACLE: dict[str, str] = {"op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8}
