@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, hamming_search, license_scan, mixing, token_counts, toxicity, url_filter, warc
+from ledgerflow.llm import chat_format, decontaminate, hamming_search, license_scan, mixing, token_counts, toxicity, url_filter, warc
 from ledgerflow.llm.common import materialise, table, word_count
 
 
@@ -105,6 +105,11 @@ from digits
 """
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions of all documents that come from the benchmark."""
+    return decontaminate.contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -157,6 +162,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_url_filter": op4_url_filter,
     "op5_warc": op5_warc,
+    "op6_decontaminate": op6_decontaminate,
     "op7_token_counts": op7_token_counts,
     "op8_source_mix": op8_source_mix,
     "op9_license_scan": op9_license_scan,
