@@ -206,54 +206,41 @@ def spans_in_text(text: str, regions: list[tuple[int, int, int, int]]) -> list[d
 
 
 def contaminated_regions(
-    docs: DataFrame, benchmark: DataFrame, q: int = 8, edit_rate: float = 0.08, window: int = 100, step: int = 50, block_windows: int = 20_000, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, benchmark: DataFrame, q: int = 8, edit_rate: float = 0.08, window: int = 100, step: int = 50, block_windows: int = 20_000, text_col: str = "text"
 ) -> DataFrame:
-    """docs' ids with the regions that match a window of benchmark (item_id, text) within edit_rate edits a character.
-
-    Returns id, n_regions, items (sorted, distinct) and regions: item, span in the text, edits. Texts are compared in
-    lower case with white space collapsed. Items shorter than q characters are not looked for. Every row of docs comes
-    back once; null and empty texts, and any text if the benchmark is empty, have no regions. One pass over docs for
-    each block of about block_windows windows; a block is what the driver and each task hold of the benchmark."""
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    """docs with the regions that match a window of benchmark (item_id, text) within edit_rate edits a character.
+
+    Adds n_regions, items (sorted, distinct) and regions: item, span in the text, edits; columns of docs with these
+    names give way. Texts are compared in lower case with white space collapsed. Items shorter than q characters are
+    not looked for. Every row of docs comes back once; null and empty texts, and any text if the benchmark is empty,
+    have no regions. One pass over docs for each block of about block_windows windows; a block is what the driver and
+    each task hold of the benchmark."""
+    found = docs.drop("n_regions", "items", "regions").withColumn("regions", F.array().cast(REGIONS))
     cut = materialise(windows(benchmark, window, step).distinct(), "windows")
     blocks = -(-cut.count() // block_windows)
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
-    id_type = rows.schema["id"].dataType.simpleString()
-
-    def scan(index: Index | None):
-        def one(text: str) -> list[dict]:
-            words = text.lower().split() if index else []
-            regions = find_regions(index, " ".join(words)) if words else []
-            return spans_in_text(text, regions) if regions else []
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                regions = [one(x.as_py()) for x in batch.column(1)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(regions, kind)], ["id", "text", "regions"])
-
-        return run
-
-    if not blocks:
-        return rows.select(F.col("id").alias(id_col), F.lit(0).alias("n_regions"), F.array().cast("array<long>").alias("items"), F.array().cast(REGIONS).alias("regions"))
-    found = None
     for block in range(blocks):
         mine = cut.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)
         index = build_index([(r["item_id"], r["window"]) for r in mine.orderBy("item_id", "window").collect()], q, edit_rate)
-        source = rows if found is None else found.select("id", "text", F.col("regions").alias("before"))
-        part = source.select("id", "text").mapInArrow(scan(index), f"id {id_type}, text string, regions {REGIONS}") if found is None else chain_scan(source, scan(index), id_type)
-        found = part
-    return found.select(
-        F.col("id").alias(id_col), F.size("regions").alias("n_regions"), F.array_sort(F.array_distinct(F.transform("regions", lambda r: r.item_id))).alias("items"), "regions"
-    )
+        if index:
+            found = found.mapInArrow(scanner(index, found.columns.index(text_col), found.columns.index("regions")), found.schema)
+    items = F.array_sort(F.array_distinct(F.transform("regions", lambda r: r.item_id)))
+    return found.select(*[c for c in found.columns if c != "regions"], F.size("regions").alias("n_regions"), items.alias("items"), "regions")
+
 
+def scanner(index: Index, text_at: int, regions_at: int):
+    """A pass over Arrow batches that adds the block's regions to those found before."""
 
-def chain_scan(source: DataFrame, run, id_type: str) -> DataFrame:
-    """A further block's pass: its regions are put behind those found before."""
+    def one(text: str | None, before: list) -> list:
+        words = (text or "").lower().split()
+        regions = find_regions(index, " ".join(words)) if words else []
+        return before + spans_in_text(text, regions) if regions else before
 
-    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = next(run(iter([batch.select(["id", "text"])])))
-            lists = [a + b for a, b in zip(batch.column(2).to_pylist(), own.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, own.column(2).type)], ["id", "text", "regions"])
+            columns = list(batch.columns)
+            before = columns[regions_at].to_pylist()
+            lists = [one(x.as_py(), y) for x, y in zip(columns[text_at], before, strict=True)]
+            columns[regions_at] = pa.array(lists, columns[regions_at].type)
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return source.mapInArrow(both, f"id {id_type}, text string, regions {REGIONS}")
+    return scan

@@ -131,7 +131,8 @@ from digits
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions of all documents that come from the benchmark."""
-    return decontaminate.contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated_regions(docs, table(spark, sf_dir, "benchmark")).drop("text")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
