@@ -33,7 +33,7 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), m
     return rows.select("source_key", "source", "source_size", "weight", F.least("cap", F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix", range_rows: int = 20_000) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix", range_rows: int = 2_000) -> DataFrame:
     """doc_id, source, size -> doc_id, source, size, source_size, target, epochs, taken.
 
     taken: tokens of the document that the mix takes, repeats counted: epochs times the whole document, and in the
