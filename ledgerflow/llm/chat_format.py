@@ -73,7 +73,8 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     marked = leaves.withColumn("path", rank).where(F.col("path") <= per_tree).select("tree", "path", "node")
     for jump in reversed(jumps):
         j = jump.select(F.col("tree").alias("t"), F.col("node").alias("n"), "to")
-        marked = marked.unionByName(marked.join(j, marked.tree.eqNullSafe(j.t) & (marked.node == j.n)).select("tree", "path", F.col("to").alias("node"))).distinct()
+        reached = marked.join(j, marked.tree.eqNullSafe(j.t) & (marked.node == j.n), "left")
+        marked = reached.select("tree", "path", F.explode(F.array_compact(F.array("node", "to"))).alias("node")).distinct()
     at = rooted.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("depth").alias("position"))
     return marked.join(at, marked.tree.eqNullSafe(at.t) & (marked.node == at.n)).select("tree", "path", "node", "position")
 
