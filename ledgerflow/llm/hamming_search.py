@@ -9,7 +9,7 @@ Equal codes are searched once, whatever their number.
 from __future__ import annotations
 
 from itertools import combinations
-from math import comb, log2
+from math import ceil, comb, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +31,8 @@ def sign_code(vector: Column) -> Column:
 
 
 def segments_for(n: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of each segment: about log2(n) bits in each, so that a probe finds about one code."""
-    m = max(1, min(BITS // 4, round(BITS / log2(max(16, n)))))
+    """(first bit, bits) of each segment: at most log2(n) bits in each, so that a probe finds a code or a few."""
+    m = max(1, min(BITS // 4, ceil(BITS / log2(max(16, n)))))
     cuts = [BITS * j // m for j in range(m + 1)]
     return list(zip(cuts, (b - a for a, b in zip(cuts, cuts[1:], strict=False)), strict=False))
 
@@ -59,34 +59,37 @@ def nearest_codes(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     segs = segments_for(n_codes)
     table = codes.select("code", "low", "n", F.posexplode(F.array(*[segment(F.col("code"), a, b) for a, b in segs])).alias("seg", "value"))
     asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("asked")).where("asked is not null").distinct()
-    active = materialise(asked.select("asked").distinct(), "asked")
+    # bound: distance of the last of `want` codes found so far; what lies beyond it can't be among the nearest
+    active = materialise(asked.select("asked").distinct().withColumn("bound", F.lit(BITS)), "asked")
     best = spark.createDataFrame([], "asked long, code long, low long, n long, distance int")
     done, longest = [], max(b for _, b in segs)
     diff = F.col("asked").bitwiseXOR(F.col("code"))
     for radius in range(longest + 1):
         masks = [[sum(1 << i for i in bits) for bits in combinations(range(b), radius)] for _, b in segs]
-        probes = active.select("asked", F.posexplode(F.array(*[segment(F.col("asked"), a, b) for a, b in segs])).alias("seg", "own"))
+        probes = active.select("asked", "bound", F.posexplode(F.array(*[segment(F.col("asked"), a, b) for a, b in segs])).alias("seg", "own"))
         flips = F.element_at(F.array(*[F.array(*[F.lit(x) for x in m]).cast("array<long>") for m in masks]), F.col("seg") + 1) if max(map(len, masks)) <= 256 else None
         if flips is None:  # long lists of masks travel as a table of fixed size
             listed = spark.createDataFrame([(s, m) for s, m in enumerate(masks)], "mask_seg int, masks array<long>")
             probes = probes.join(F.broadcast(listed), F.col("seg") == F.col("mask_seg"))
             flips = F.col("masks")
-        probes = probes.select("asked", "seg", F.explode(flips).alias("mask"), "own").select("asked", "seg", F.col("own").bitwiseXOR(F.col("mask")).alias("probe"))
+        probes = probes.select("asked", "bound", "seg", F.explode(flips).alias("mask"), "own").select("asked", "bound", "seg", F.col("own").bitwiseXOR(F.col("mask")).alias("probe"))
         # A pair turns up in the first of the segments in which the codes differ least, and nowhere else.
         bits_apart = [F.bit_count(segment(diff, a, b)) for a, b in segs]
         first = F.least(*bits_apart) if len(bits_apart) > 1 else bits_apart[0]
         where = F.coalesce(*[F.when(x == radius, F.lit(i)) for i, x in enumerate(bits_apart)])
-        found = probes.join(table, (probes.seg == table.seg) & (probes.probe == table.value) & (first == radius) & (where == probes.seg))
+        found = probes.join(table, (probes.seg == table.seg) & (probes.probe == table.value) & (first == radius) & (where == probes.seg) & (F.bit_count(diff) <= F.col("bound")))
         found = found.select("asked", "code", "low", "n", F.bit_count(diff).cast("int").alias("distance"))
         nearest = Window.partitionBy("asked").orderBy("distance", F.col("low").isNull(), "low", "code")
         best = best.unionByName(found).withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= want).drop("place")
         best = materialise(best, "best")
         covered = len(segs) * (radius + 1) - 1
-        state = best.groupBy("asked").agg(F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0)).alias("sure"))
+        state = best.groupBy("asked").agg(
+            F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0)).alias("sure"), F.when(F.count(F.lit(1)) >= want, F.max("distance")).otherwise(BITS).alias("far")
+        )
         finished = F.lit(radius >= longest) | (F.coalesce("sure", F.lit(0)) >= want)
-        marked = materialise(active.join(state, "asked", "left").select("asked", finished.alias("finished")), "marked")
+        marked = materialise(active.join(state, "asked", "left").select("asked", F.coalesce("far", "bound").alias("bound"), finished.alias("finished")), "marked")
         done.append(best.join(marked.where("finished"), "asked", "left_semi"))
-        active = marked.where("not finished").select("asked")
+        active = marked.where("not finished").select("asked", "bound")
         best = best.join(active, "asked", "left_semi")
         if not active.limit(1).count():
             break
