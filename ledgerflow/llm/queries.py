@@ -75,6 +75,21 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.mapInPandas(read_back, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
+ORACLE_OP3 = """
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, role as r, text as t from conversations
+    union all select -1, n, r, '</s>[INST] ok [/INST]', r, '</s>[INST] ok [/INST]' from (values (0, 'user'), (1, 'assistant')) v(n, r)),
+sized as (
+    select *, length(text) + length(regexp_replace(text, '[^<\\[\\\\]', '', 'g')) + case role when 'user' then length('[INST][/INST]') when 'assistant' then length('<s></s>') when 'system' then length('[SYS][/SYS]')
+        else length('[ROLE][SEP][/ROLE]') + length(role) + length(regexp_replace(role, '[^<\\[\\\\]', '', 'g')) end as chars
+    from turns)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, r nulls first, t nulls first)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, r nulls first, t nulls first) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(chars)::bigint as formatted_chars
+from sized group by conv_id
+"""
+
+
 def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
@@ -194,4 +209,4 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8}
+ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8}
