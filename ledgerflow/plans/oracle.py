@@ -135,6 +135,13 @@ two as (select o_orderkey, o_custkey, 'X' as o_orderstatus, o_totalprice::decima
 """
 _REASONS = ["MISSING_TIMESTAMP", "INVALID_TIMESTAMP", "INVALID_AMOUNT", "NEGATIVE_AMOUNT", "ZERO_AMOUNT", "UNKNOWN_ACCOUNT", "INVALID_DIRECTION", "CURRENCY_MISMATCH"]
 
+
+def _ratio(over: str, under: str, scale: int, kind: str) -> str:
+    """over / under, rounded half up in whole numbers: DuckDB divides decimals as doubles, which misplaces ties."""
+    a, b = f"(({over}) * 100)::hugeint", f"nullif((({under}) * 100)::hugeint, 0)"
+    return f"(sign({a}) * sign({b}) * ((2 * abs({a}) * {10**scale} + abs({b})) // (2 * abs({b}))) / {10**scale})::{kind}"
+
+
 _QUERIES = {
     "stg_transactions_typed": "select * exclude (i) from stg",
     "stg_customers_typed": """select customer_id, 'First' || o_custkey as first_name, 'Last' || o_custkey as last_name, 'user' || o_custkey || '@example.com' as email, date '1980-02-29' as birth_date, 'DE' as country_code, segment, risk_rating,
@@ -169,19 +176,19 @@ _QUERIES = {
         case when rule_code = 'STRUCTURING' or risk_rating = 'HIGH' then 'HIGH' when total >= 5000 then 'MEDIUM' else 'LOW' end as severity
         from (select alert_id, rule_code, account_id, min(txn_ts) as a, max(txn_ts) as b, count(*) as n, sum(amount_eur)::decimal(18,2) as total from members group by all) join acc using (account_id)
         left join states s using (customer_id) where s.customer_id is null or s.valid_from = (select max(valid_from) from states t where t.customer_id = acc.customer_id and t.valid_from <= b)""",
-    "monthly_customer_summary": """select customer_id, month_start, segment, risk_rating, posted_txn_count, income_eur, card_spend_eur, inflow as external_inflow_eur, outflow as external_outflow_eur, (inflow - outflow)::decimal(18,2) as net_external_flow_eur, distinct_merchants,
+    "monthly_customer_summary": f"""select customer_id, month_start, segment, risk_rating, posted_txn_count, income_eur, card_spend_eur, inflow as external_inflow_eur, outflow as external_outflow_eur, (inflow - outflow)::decimal(18,2) as net_external_flow_eur, distinct_merchants,
             avg_daily_balance_eur, month_end_balance_eur, lag(card_spend_eur) over (partition by customer_id order by month_start) as prior_month_card_spend_eur,
             round(percent_rank() over (partition by month_start, segment order by card_spend_eur), 6) as card_spend_percentile_in_segment
         from (select m.customer_id, m.month_start, s.segment, s.risk_rating, coalesce(n, 0)::bigint as posted_txn_count, coalesce(income, 0)::decimal(18,2) as income_eur, coalesce(spend, 0)::decimal(18,2) as card_spend_eur, coalesce(inflow, 0)::decimal(18,2) as inflow,
                 coalesce(outflow, 0)::decimal(18,2) as outflow, coalesce(merchants, 0)::bigint as distinct_merchants, avg_daily_balance_eur, month_end_balance_eur
-            from (select customer_id, date_trunc('month', balance_date)::date as month_start, (sum(closing_balance_eur) / count(closing_balance_eur)::decimal(10,0))::decimal(18,2) as avg_daily_balance_eur, arg_max(closing_balance_eur, balance_date)::decimal(18,2) as month_end_balance_eur
+            from (select customer_id, date_trunc('month', balance_date)::date as month_start, {_ratio('sum(closing_balance_eur)', 'count(closing_balance_eur)', 2, 'decimal(18,2)')} as avg_daily_balance_eur, arg_max(closing_balance_eur, balance_date)::decimal(18,2) as month_end_balance_eur
                 from balances join acc using (account_id) group by all) m
             left join (select customer_id, date_trunc('month', txn_date)::date as month_start, count(*) as n, sum(amount_eur) filter (txn_category = 'INCOME') as income, sum(amount_eur) filter (txn_type = 'CARD_PAYMENT' and txn_id not in (from undone)) as spend,
                     sum(amount_eur) filter (direction = 'CR') as inflow, sum(amount_eur) filter (direction = 'DR' and txn_id not in (from undone)) as outflow, count(distinct merchant_id) as merchants
                 from fct where is_posted and txn_type not in ('REVERSAL', 'INTERNAL_TRANSFER') group by all) t using (customer_id, month_start)
             left join states s on s.customer_id = m.customer_id and s.valid_from = (select max(valid_from) from states x where x.customer_id = m.customer_id and x.valid_from < m.month_start + interval 1 month))""",
-    "merchant_category_spend": """select month_start, spend_category, merchant_country, n as txn_count, customers as active_customers, spend as spend_eur, (spend / n::decimal(10,0))::decimal(18,2) as avg_ticket_eur,
-            (spend / nullif(sum(spend) over (partition by month_start), 0))::decimal(9,6) as share_of_month_spend, prior as prior_month_spend_eur, ((spend - prior) / nullif(prior, 0))::decimal(12,6) as mom_growth
+    "merchant_category_spend": f"""select month_start, spend_category, merchant_country, n as txn_count, customers as active_customers, spend as spend_eur, {_ratio('spend', 'n', 2, 'decimal(18,2)')} as avg_ticket_eur,
+            {_ratio('spend', 'sum(spend) over (partition by month_start)', 6, 'decimal(9,6)')} as share_of_month_spend, prior as prior_month_spend_eur, {_ratio('spend - prior', 'prior', 6, 'decimal(12,6)')} as mom_growth
         from (select *, lag(spend) over (partition by spend_category, merchant_country order by month_start) as prior from (
             select date_trunc('month', txn_date)::date as month_start, coalesce(spend_category, 'Unknown') as spend_category, coalesce(country_code, 'UNKNOWN') as merchant_country, count(*) as n, count(distinct customer_id) as customers, sum(amount_eur)::decimal(18,2) as spend
             from fct left join merch using (merchant_id) where txn_type = 'CARD_PAYMENT' and is_posted and txn_id not in (from undone) group by all))""",
