@@ -2,10 +2,11 @@
 
 Documents become sorted arrays of shingle hashes; equal sets are one class from then on. To find what may be similar
 without comparing everything, each size band cuts the hash space into more parts than two similar sets of the band can
-differ in: similar sets agree in a whole part, whose digest is a key they share. Documents connected by shared keys
-form families, which are sorted by size into tiles. Inside a pair of tiles, hashed bitmaps bound each pair's overlap
-from above, by counting bits that only one of the two has; what passes is verified by exact intersection of the sorted
-arrays, unless both are already known to be connected. Nothing is capped and no list of pairs is made.
+differ in: similar sets agree in a whole part, whose digest is a key they share. The documents of a key, sorted by
+size into tiles, are compared by hashed bitmaps: bits that only one of two has bound their overlap from above. Pairs
+that pass connect documents into families, and inside a family's tiles such pairs are verified by exact intersection
+of the sorted arrays. Both steps leave out pairs already known to be connected and return what connects a tile, so
+nothing is capped and no list of pairs is made.
 """
 
 from __future__ import annotations
@@ -93,15 +94,21 @@ def part_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of bits for each set, about four for a shingle of the largest, as 64-bit words."""
-    bits = 256
-    while bits < 4 * max(len(s) for s in sets) and bits < 4096:
-        bits *= 2
-    flags = np.zeros((len(sets), bits), bool)
-    for row, s in zip(flags, sets, strict=True):
-        row[(s & np.uint64(bits - 1)).astype(np.int64)] = True
-    return np.packbits(flags, axis=1).view(np.uint64)
+def bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
+    flags = np.zeros(bits, bool)
+    flags[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").view(np.uint64)
+
+
+def bitmap_bits(size: int, each: int = 2, most: int = 8192) -> int:
+    """A power of two, about `each` bits a shingle."""
+    return min(most, max(128, 1 << (each * size - 1).bit_length()))
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps as rows of the shortest one's width: a longer one's halves are put together until it fits."""
+    width = min(len(m) for m in maps)
+    return np.stack([np.bitwise_or.reduce(m.reshape(-1, width), axis=0) for m in maps])
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -113,14 +120,12 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def tile_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Positions of linked sets, enough of them to connect all that this pair of tiles connects.
+def tile_links(sizes: np.ndarray, maps: np.ndarray, sides: np.ndarray, percent: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+    """Positions of pairs that may be similar, or are if sets are given; enough of them to connect all such pairs.
 
-    sets are in order of size. sides: 0 and 1 for the two tiles, of which only pairs across are compared; all pairs
+    Rows are in order of size. sides: 0 and 1 for the two tiles, of which only pairs across are compared; all pairs
     are if there is only one side."""
-    sizes = np.array([len(s) for s in sets])
-    maps, found, root = bitmaps(sets), [], list(range(len(sets)))
-    across = len(set(sides.tolist())) == 2
+    found, root, across = [], list(range(len(sizes))), sides.min() != sides.max()
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -128,24 +133,46 @@ def tile_links(sets: list[np.ndarray], sides: np.ndarray, percent: int) -> list[
             x = root[x]
         return x
 
-    last = np.searchsorted(sizes * percent, 100 * sizes, side="right")  # sets that aren't too large
-    for i in range(len(sets)):
+    last = np.searchsorted(sizes * percent, 100 * sizes, side="right")  # up to there sets aren't too large
+    for i in range(len(sizes)):
         others = np.arange(i + 1, last[i])
         if across:
             others = others[sides[others] != sides[i]]
         if not len(others):
             continue
         own, theirs = maps[i], maps[others]
-        bound = np.minimum(sizes[i] - np.bitwise_count(own & ~theirs).sum(1), sizes[others] - np.bitwise_count(theirs & ~own).sum(1))
+        bound = np.minimum(sizes[i] - np.bitwise_count(own & ~theirs).sum(1, dtype=np.int64), sizes[others] - np.bitwise_count(theirs & ~own).sum(1, dtype=np.int64))
         passed = np.flatnonzero(bound * (100 + percent) >= percent * (sizes[i] + sizes[others]))
         for j in others[passed[np.argsort(-bound[passed], kind="stable")]].tolist():
             a, b = find(i), find(j)
-            if a != b and overlap(sets[i], sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j]):
+            if a != b and (sets is None or overlap(sets[i], sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])):
                 root[max(a, b)] = min(a, b)
                 found.append((i, j))
     return found
 
 
+def group_links(table: pa.Table, percent: int, exact: bool) -> pa.Table:
+    """The links inside a group of families: by bitmaps (column map), or exact by sorted hashes (column hashes)."""
+    families, ids, sides = (table.column(c).to_numpy() for c in ("family", "doc_id", "side"))
+    if exact:
+        hashes = table.column("hashes").combine_chunks()
+        flat, ends = hashes.values.to_numpy().view(np.uint64), hashes.offsets.to_numpy()
+        sizes = np.diff(ends).astype(np.int64)
+    else:
+        sizes, stored = table.column("n").to_numpy(), table.column("map").to_pylist()
+    order = np.lexsort((ids, sizes, families))
+    a, b = [], []
+    for own in np.split(order, np.flatnonzero(np.diff(families[order])) + 1):
+        if len(own) < 2:
+            continue
+        sets = [flat[ends[i] : ends[i + 1]] for i in own] if exact else None
+        maps = [bitmap(x, bitmap_bits(int(sizes[own[-1]]), 4, 4096)) for x in sets] if exact else [np.frombuffer(stored[i], np.uint64) for i in own]
+        for i, j in tile_links(sizes[own], folded(maps), sides[own], percent, sets):
+            a.append(int(ids[own[i]]))
+            b.append(int(ids[own[j]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_docs: int = 2_000, tile_shingles: int = 4_000_000, pack_docs: int = 500) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs (doc_id, text).
 
@@ -160,25 +187,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                sizes, names, keys = [], [], []
+                sizes, names, maps, keys = [], [], [], []
                 for value in part.column(1):
                     s = shingle_set(value.as_py(), words)
                     sizes.append(len(s))
                     names.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    maps.append(bitmap(s, bitmap_bits(len(s))).tobytes())
                     keys.append(part_keys(s, percent).view(np.int64))
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "name", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(maps, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "name", "map", "keys"])
 
-    described = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, keys array<long>"), "described")
+    described = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, keys array<long>"), "described")
     known = described.where("n > 0 and doc_id is not null")
     classes = known.groupBy("name").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("name", "first")
     copies = materialise(salted_join(known.select("doc_id", "name"), classes, "name", "doc_id").where("doc_id <> first").select("doc_id", "first").distinct(), "copies")
 
     by_key = Window.partitionBy("key")
-    single = join_ids(known.select("doc_id", "keys"), copies.select("doc_id"), "doc_id", "left_anti")
-    shared = single.select("doc_id", F.explode("keys").alias("key")).withColumn("low", F.min("doc_id").over(by_key)).where("doc_id > low")
-    families = components(shared.select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct())
+    single = join_ids(known.select("doc_id", "n", "keys"), copies.select("doc_id"), "doc_id", "left_anti")
+    shared = single.select("doc_id", "n", F.explode("keys").alias("key")).withColumns({"docs": F.count(F.lit(1)).over(by_key), "who": F.bit_xor(F.xxhash64("doc_id")).over(by_key)}).where("docs > 1")
+    shared = materialise(shared, "shared")
+    # Copies with few changes share many keys; of keys with the same documents one is enough.
+    once = shared.groupBy("docs", "who").agg(F.min("key").alias("key")).select("key")
+    met = shared.join(once, "key", "left_semi").select("doc_id", F.col("key").alias("family"), "n").distinct()
+    close = materialise(family_tiles(met, tile_docs, tile_shingles), "close")
+    mapped = tile_pairs(close, percent, pack_docs).join(known.select("doc_id", "n", "map"), "doc_id")
+    maybe = mapped.groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, False), "a long, b long")
+    families = components(maybe)
 
     sized = families.join(known.groupBy("doc_id").agg(F.max("n").alias("n")), families.node == F.col("doc_id")).select("doc_id", F.col("component").alias("family"), "n")
     tiles = materialise(family_tiles(sized, tile_docs, tile_shingles), "tiles")
@@ -194,21 +229,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
 
     members = join_ids(rows.where("doc_id is not null"), tiles.select("doc_id"), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes array<long>")
 
-    def link(table: pa.Table) -> pa.Table:
-        families_of, ids, sides = (table.column(c).to_numpy() for c in ("family", "doc_id", "side"))
-        hashes = table.column("hashes").combine_chunks()
-        flat, ends = hashes.values.to_numpy().view(np.uint64), hashes.offsets.to_numpy()
-        sizes = np.diff(ends)
-        order = np.lexsort((ids, sizes, families_of))
-        a, b = [], []
-        for own in np.split(order, np.flatnonzero(np.diff(families_of[order])) + 1):
-            sets = [flat[ends[i] : ends[i + 1]] for i in own]
-            for i, j in tile_links(sets, sides[own], percent):
-                a.append(int(ids[own[i]]))
-                b.append(int(ids[own[j]]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    links = places.join(members, "doc_id").groupBy("pack", "one", "other").applyInArrow(link, "a long, b long")
+    links = places.join(members, "doc_id").groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, True), "a long, b long")
     linked = components(links)
     joined = salted_join(copies, linked.select(F.col("node").alias("first"), "component"), "first", "doc_id").select("doc_id", "component")
     alone = join_ids(copies, linked.select(F.col("node").alias("first")), "first", "left_anti").select("doc_id", F.col("first").alias("component"))
