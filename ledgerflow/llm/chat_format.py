@@ -55,17 +55,15 @@ def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     walk = materialise(linked.select("tree", "node", F.col("p").alias("up"), F.lit(0).cast("long").alias("depth"), "score", F.col("p").isNotNull().cast("long").alias("hops")), "walk")
     walk = walk.select("tree", "node", "up", F.col("hops").alias("depth"), "score")
     total, jumps = m.count(), []
-    # sum[node] covers the node and depth - 1 of its ancestors; up is the next one not covered
+    # depth and score cover the message and its ancestors below `up`; messages without an `up` left are at their root
     while True:
-        jumps.append(walk.where("up is not null").select("tree", "node", F.col("up").alias("to")))
-        if not walk.where("up is not null").limit(1).count() or 2 ** (len(jumps) - 2) > total:
-            jumps.pop()
+        if not walk.where("up is not null").limit(1).count() or 2 ** (len(jumps) - 1) > total:
             break
+        jumps.append(walk.where("up is not null").select("tree", "node", F.col("up").alias("to")))
         above = walk.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("score").alias("s2"))
-        walk = walk.join(above, walk.tree.eqNullSafe(above.t) & (walk.up == above.n), "left").select(
-            "tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), (F.col("score") + F.coalesce("s2", F.lit(0.0))).alias("score")
-        )
-        walk = materialise(walk, "walk")
+        moving = walk.where("up is not null")
+        moved = moving.join(above, moving.tree.eqNullSafe(above.t) & (moving.up == above.n)).select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("score") + F.col("s2")).alias("score"))
+        walk = materialise(walk.where("up is null").unionByName(moved), "walk")
     rooted = walk.where("up is null")
     parents = m.where("parent is not null").select(F.col("tree").alias("t"), F.col("parent").alias("p")).distinct()
     leaves = rooted.join(parents, rooted.tree.eqNullSafe(parents.t) & (rooted.node == parents.p), "left_anti")
