@@ -110,7 +110,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages written to archives and read back; revisits get size and digest of the response they refer to."""
+    """All pages written to archives and read back; revisits get size and digest of the response they refer to.
+
+    Rows equal in page_id and payload are one page."""
     pages = table(spark, sf_dir, "pages")
     at = warc.write_archives(pages.select(F.col("page_id").alias("capture_id"), "url", F.encode("html", "UTF-8").alias("payload")))
     whole = warc.reassemble(warc.read_archives(spark, at))
@@ -118,7 +120,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whole.select(
         number(F.col("record_id")).alias("page_id"), "record_id", "record_type", "refers_to", F.length("payload").cast("long").alias("payload_bytes"), F.substring_index("declared_digest", ":", -1).alias("payload_digest")
     )
-    found = materialise(found, "records")
+    found = materialise(found.dropDuplicates(["record_id"]), "records")
     # Every revisit is looked up; responses that many refer to are dealt out by salt.
     salt = F.pmod(F.xxhash64("record_id"), F.lit(warc.SALTS)).cast("int")
     responses = found.where("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("page_id").alias("target_page"), F.col("payload_bytes").alias("target_bytes"), F.explode(F.sequence(F.lit(0), F.lit(warc.SALTS - 1))).alias("salt"))
@@ -130,7 +132,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_OP5 = """
-with p as (select page_id, coalesce(html, '') as body from pages),
+with p as (select distinct page_id, coalesce(html, '') as body from pages),
 latest as (select body, max(page_id) as last from p group by body),
 digits as (
     -- SHA-1 as 160 bits, five at a time

@@ -96,8 +96,8 @@ def write_archives(captures: DataFrame, path: str | None = None, min_revisit_byt
     """Writes (capture_id long, url, payload binary) as gzip WARC files below path and returns the path.
 
     Of captures with equal payloads of at least min_revisit_bytes, the one with the largest id is a response and the
-    others are revisits of it; smaller payloads are all responses. Captures equal in id and payload are one record;
-    those that share an id but not the payload stay apart. A null payload is empty, a null url too; a null id is
+    others are revisits of it; smaller payloads are all responses. Captures equal in id and payload make records of one
+    id; those that share an id but not the payload stay apart. A null payload is empty, a null url too; a null id is
     smaller than any other. An archive holds at most records_per_file records of segment_bytes each."""
     path = path or f"{shared_dir(captures.sparkSession)}/warc-{uuid.uuid4().hex}"
     rows = captures.select(F.col("capture_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("payload", F.lit(b"")).alias("payload")).withColumn("digest", F.sha1("payload"))
@@ -168,7 +168,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def reassemble(records: DataFrame) -> DataFrame:
     """Responses and revisits of read_archives, whole: record_id, record_type, url, refers_to, payload, status.
 
-    Only segmented records are shuffled, by the record they continue. A repeated segment counts once. status is ok, or
+    Only segmented records are shuffled, by the record they continue. A repeated segment counts once; a record that is
+    stored more than once in one piece comes back as often. status is ok, or
     says what is wrong, with a null payload: a missing segment or first record, a total length that doesn't fit,
     broken chunks, or a digest that differs from the declared one. Revisits have no payload of their own."""
     single = records.where("segment is null and record_type in ('response', 'revisit')").select("record_id", "record_type", "url", "refers_to", "declared_digest", "block", F.lit("ok").alias("status"))
