@@ -82,13 +82,16 @@ class Chain:
         """docs plus p_<category> and is_<category> for each category; is_<category> is p >= its threshold.
 
         Every row comes back once. Null and empty texts have no terms and get what the models say of those; very long
-        texts are read whole. Columns of docs that are named like a result give way to it."""
+        texts are read whole. Columns of docs that are named like a result give way to it; others keep any name."""
         own = [f"{x}_{c}" for c in self.categories for x in ("p", "is")]
-        kept = [c for c in docs.columns if c not in own]
-        out = self.vectors(docs.select(*kept, terms(F.col(text_col).cast("string")).alias("terms")))
+        kept = [c for c in docs.columns if c.lower() not in own]
+        aside = [f"own_{i}" for i in range(len(kept))]  # out of the way of the models' columns
+        out = self.vectors(docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(kept, aside, strict=True)], terms(F.col(text_col).cast("string")).alias("terms")))
         for c, model in zip(self.categories, self.models, strict=True):
             out = model.score(out, f"p_{c}")
-        return out.select(*kept, *[f"p_{c}" for c in self.categories], *[(F.col(f"p_{c}") >= t).alias(f"is_{c}") for c, t in zip(self.categories, self.thresholds, strict=True)])
+        return out.select(
+            *[F.col(a).alias(c) for c, a in zip(kept, aside, strict=True)], *[f"p_{c}" for c in self.categories], *[(F.col(f"p_{c}") >= t).alias(f"is_{c}") for c, t in zip(self.categories, self.thresholds, strict=True)]
+        )
 
 
 def with_vectors(df: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -108,10 +111,12 @@ def best_threshold(scored: DataFrame, p: str, label: str) -> float:
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int = 11) -> DataFrame:
     """Rows of docs with their labels, at most about max_rows, drawn by a hash of doc_id.
 
-    The drawn labels, bounded by max_rows, are what is broadcast; texts stay where they are."""
+    The drawn labels, bounded by max_rows, are what is broadcast; texts stay where they are. Columns of docs that are
+    named like one of labels give way to it."""
     one = labels.where("doc_id is not null").dropDuplicates(["doc_id"])
     share = min(1.0, max_rows / max(1, one.count()))
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)
+    docs = docs.drop(*[c for c in labels.columns if c != "doc_id"])
     return docs.join(F.broadcast(one.where(place < share).limit(2 * max_rows)), "doc_id")
 
 
