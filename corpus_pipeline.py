@@ -13,11 +13,16 @@ from ledgerflow.llm.components import join_ids
 TOXIC_SAMPLE = 20_000
 
 
+def aside(docs: DataFrame) -> DataFrame:
+    """docs with names for all columns but text that can't clash with an operator's."""
+    return docs.toDF(*[c if c == "text" else f"own_{i}" for i, c in enumerate(docs.columns)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain doesn't call toxic."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     chain = toxicity.train_chain(toxicity.labelled_sample(docs.select("doc_id", "text"), labels, TOXIC_SAMPLE), ["toxic"])
-    return chain.predict(docs).where("not is_toxic").select(*docs.columns)
+    return chain.predict(aside(docs)).where("not is_toxic").drop("p_toxic", "is_toxic", "p_dense", "is_dense").toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +40,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a region of a benchmark text."""
-    found = decontaminate.contaminated_regions(docs, table(spark, sf_dir, "benchmark"))
-    return found.where("n_regions = 0").select(*docs.columns)
+    found = decontaminate.contaminated_regions(aside(docs), table(spark, sf_dir, "benchmark"))
+    return found.where("n_regions = 0").drop("n_regions", "items", "regions").toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
