@@ -48,8 +48,8 @@ def join_ids(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids, on, how)
 
 
-def salted_join(many: DataFrame, few: DataFrame, on: str, spread: str) -> DataFrame:
+def salted_join(many: DataFrame, few: DataFrame, on: str | list[str], spread: str) -> DataFrame:
     """Inner join of many rows with few, the rows of one key dealt out over SALTS partitions by column spread."""
     dealt = many.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
     copies = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(copies, [on, "salt"]).drop("salt")
+    return dealt.join(copies, [*([on] if isinstance(on, str) else on), "salt"]).drop("salt")

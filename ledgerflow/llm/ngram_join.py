@@ -239,10 +239,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
 
 
 def family_tiles(sized: DataFrame, tile_docs: int, tile_shingles: int) -> DataFrame:
-    """doc_id, family, n -> the same with tile: documents of a family in order of size, cut where a tile is full."""
-    by_size = Window.partitionBy("family").orderBy("n", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """doc_id, family, n -> the same with tile: documents of a family in order of size, cut where a tile is full.
+
+    Only the distinct sizes of a family that fills more than a tile are put in order; documents of one size are dealt
+    along their stretch by a hash of doc_id, so no task gathers a family."""
     load = F.lit(1.0 / tile_docs) + F.col("n") / F.lit(float(tile_shingles))
-    return sized.withColumn("tile", F.floor(F.sum(load).over(by_size) - load / 2).cast("int"))
+    sized = materialise(sized, "sized")
+    large = materialise(sized.groupBy("family").agg(F.sum(load).alias("load")).where("load > 1").select("family"), "large")
+    small = join_ids(sized, large, "family", "left_anti").withColumn("tile", F.lit(0))
+    many = join_ids(sized, large, "family", "left_semi")
+    before = Window.partitionBy("family").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    counts = many.groupBy("family", "n").agg(F.count(F.lit(1)).alias("docs"))
+    starts = counts.select("family", "n", (load * F.col("docs")).alias("length")).withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0.0)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
+    placed = salted_join(many, starts, ["family", "n"], "doc_id").withColumn("tile", F.floor(F.col("start") + F.col("length") * place).cast("int"))
+    return small.unionByName(placed.select("doc_id", "family", "n", "tile"))
 
 
 def tile_pairs(tiles: DataFrame, percent: int, pack_docs: int) -> DataFrame:
