@@ -200,12 +200,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
 
     described = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, keys array<long>"), "described")
     known = described.where("n > 0 and doc_id is not null")
+    # Repeated rows count once. which tells the texts of an id apart; it is 0 for an id of one row.
+    again = materialise(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "again")
+    repeats = not again.isEmpty()
+    if repeats:
+        several = materialise(join_ids(known, again, "doc_id", "left_semi").dropDuplicates(["doc_id", "name"]).withColumn("which", F.xxhash64("name")), "several")
+        known = join_ids(known, again, "doc_id", "left_anti").withColumn("which", F.lit(0).cast("long")).unionByName(several)
+    else:
+        known = known.withColumn("which", F.lit(0).cast("long"))
     classes = known.groupBy("name").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("name", "first")
     copies = materialise(salted_join(known.select("doc_id", "name"), classes, "name", "doc_id").where("doc_id <> first").select("doc_id", "first").distinct(), "copies")
 
     by_key = Window.partitionBy("key")
-    single = join_ids(known.select("doc_id", "n", "keys"), copies.select("doc_id"), "doc_id", "left_anti")
-    shared = single.select("doc_id", "n", F.explode("keys").alias("key")).withColumns({"docs": F.count(F.lit(1)).over(by_key), "who": F.bit_xor(F.xxhash64("doc_id")).over(by_key)}).where("docs > 1")
+    single = join_ids(known.select("doc_id", "which", "n", "keys"), copies.select("doc_id"), "doc_id", "left_anti")
+    shared = single.select("doc_id", "which", "n", F.explode("keys").alias("key"))
+    shared = shared.withColumns({"docs": F.count(F.lit(1)).over(by_key), "who": F.bit_xor(F.xxhash64("doc_id", "which")).over(by_key)}).where("docs > 1").drop("which")
     shared = materialise(shared, "shared")
     # Copies with few changes share many keys; of keys with the same documents one is enough.
     once = shared.groupBy("docs", "who").agg(F.min("key").alias("key")).select("key")
@@ -227,7 +236,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
                 offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], ["doc_id", "hashes"])
 
-    members = join_ids(rows.where("doc_id is not null"), tiles.select("doc_id"), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes array<long>")
+    sources = rows.where("doc_id is not null")
+    if repeats:
+        sources = join_ids(sources, again, "doc_id", "left_anti").unionByName(join_ids(sources, again, "doc_id", "left_semi").distinct())
+    members = join_ids(sources, tiles.select("doc_id"), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes array<long>")
 
     links = places.join(members, "doc_id").groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, True), "a long, b long")
     linked = components(links)

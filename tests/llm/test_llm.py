@@ -111,6 +111,22 @@ def test_join_takes_repeats_and_nothing(spark):
     assert ngram_join.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_join_of_a_table_with_itself(spark):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(30):
+        base = rng.choices([f"w{i}" for i in range(300)], k=60)
+        for _ in range(2):
+            w = list(base)
+            w[rng.randrange(len(w))] = "other"
+            rows.append((len(rows), " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.near_duplicates(df.unionByName(df), 3, 80).collect()
+    want = brute_components(rows, 3, 80)
+    assert len({c for _, c in want.values()}) == 30
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((i, *x) for i, x in want.items() for _ in range(2))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(2, 400), st.integers(0, 40), st.integers(0, 2**32), st.sampled_from([50, 80, 90, 95]))
 def test_similar_sets_share_a_key(size, changes, seed, percent):
