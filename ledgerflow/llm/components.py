@@ -42,7 +42,7 @@ def shorten(hooks: DataFrame) -> DataFrame:
     return follow(hooks, hooks, "root")
 
 
-def join_ids(df: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
+def join_ids(df: DataFrame, ids: DataFrame, on: str | list[str], how: str) -> DataFrame:
     """Semi or anti join with a list of ids: broadcast if it was counted as small, else shuffled."""
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return df.join(F.broadcast(ids) if small else ids, on, how)

@@ -179,8 +179,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     Two documents link if the Jaccard index of their sets of `words`-word shingles is at least percent / 100;
     component_id is the smallest doc_id reachable by links. A text of fewer words is one shingle; null texts and texts
     without words are empty and link with nothing. Texts are read whole. A null doc_id gets a null component and links
-    with nothing. doc_ids are taken to be unique: repeated rows come back as often as they are there, and rows that
-    share an id but not the text get the smaller of their components. An empty table gives an empty result."""
+    with nothing. Repeated rows come back as often as they are there. Rows that share an id but not the text are one
+    document that links with whatever one of its texts links with. An empty table gives an empty result."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,10 +209,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     else:
         known = known.withColumn("which", F.lit(0).cast("long"))
     classes = known.groupBy("name").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("name", "first")
-    copies = materialise(salted_join(known.select("doc_id", "name"), classes, "name", "doc_id").where("doc_id <> first").select("doc_id", "first").distinct(), "copies")
+    copies = materialise(salted_join(known.select("doc_id", "which", "name"), classes, "name", "doc_id").where("doc_id <> first").select("doc_id", "which", "first"), "copies")
 
     by_key = Window.partitionBy("key")
-    single = join_ids(known.select("doc_id", "which", "n", "keys"), copies.select("doc_id"), "doc_id", "left_anti")
+    single = join_ids(known.select("doc_id", "which", "n", "keys"), copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti")
     shared = single.select("doc_id", "which", "n", F.explode("keys").alias("key"))
     shared = shared.withColumns({"docs": F.count(F.lit(1)).over(by_key), "who": F.bit_xor(F.xxhash64("doc_id", "which")).over(by_key)}).where("docs > 1").drop("which")
     shared = materialise(shared, "shared")
@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     maybe = mapped.groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, False), "a long, b long")
     families = components(maybe)
 
-    sized = families.join(known.groupBy("doc_id").agg(F.max("n").alias("n")), families.node == F.col("doc_id")).select("doc_id", F.col("component").alias("family"), "n")
+    sized = families.join(known.select("doc_id", "n").distinct(), families.node == F.col("doc_id")).select("doc_id", F.col("component").alias("family"), "n")
     tiles = materialise(family_tiles(sized, tile_docs, tile_shingles), "tiles")
     places = tile_pairs(tiles, percent, pack_docs)
 
@@ -242,6 +242,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     members = join_ids(sources, tiles.select("doc_id"), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes array<long>")
 
     links = places.join(members, "doc_id").groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, True), "a long, b long")
+    if repeats:  # an id of several texts also links what they are copies of
+        links = links.unionByName(join_ids(copies, again, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
     linked = components(links)
     joined = salted_join(copies, linked.select(F.col("node").alias("first"), "component"), "first", "doc_id").select("doc_id", "component")
     alone = join_ids(copies, linked.select(F.col("node").alias("first")), "first", "left_anti").select("doc_id", F.col("first").alias("component"))

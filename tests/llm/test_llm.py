@@ -127,6 +127,18 @@ def test_join_of_a_table_with_itself(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((i, *x) for i, x in want.items() for _ in range(2))
 
 
+def test_join_of_ids_with_several_texts(spark):
+    rng = random.Random(6)
+    texts = [rng.choices([f"w{i}" for i in range(300)], k=n) for n in (40, 40, 41, 400, 40)]
+    a, b, c, d, e = (" ".join(t) for t in texts)
+    near = lambda t: " ".join([*t.split()[:-1], "other"])
+    # 5 is a copy of 3 and near 9; 7 is a copy of 6 and of 12; 2 is near 6 and, by a long text, near 21
+    rows = [(3, a), (5, a), (5, near(b)), (9, b), (6, c), (7, c), (7, e), (12, e), (2, near(c)), (2, near(d)), (21, d), (5, a)]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80, tile_docs=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {3: 3, 5: 3, 9: 3, 6: 2, 7: 2, 12: 2, 2: 2, 21: 2}
+    assert sorted((r["doc_id"], r["n_shingles"]) for r in got) == sorted((i, len(shingles(t, 3))) for i, t in rows)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(2, 400), st.integers(0, 40), st.integers(0, 2**32), st.sampled_from([50, 80, 90, 95]))
 def test_similar_sets_share_a_key(size, changes, seed, percent):
