@@ -1,6 +1,6 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark texts are cut into overlapping windows. A window of m characters with at most k edits shares at least
+Benchmark texts are cut into overlapping windows, long and short. A window of m characters with at most k edits shares at least
 m - q + 1 - k * q of its q-grams with the text, on diagonals no more than k apart. Each text is read once, as an array
 of characters: where a stretch of it holds too few benchmark q-grams it is passed over; in what is left, shared q-grams
 are counted in overlapping bands of diagonals, and bands that meet the bound are verified by banded alignment.
@@ -24,6 +24,8 @@ REGIONS = "array<struct<item_id:long,start:int,end:int,edits:int>>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0x100000001B3)
 _WORD = re.compile(r"\S+")
+#: Windows that are aligned with a text at once, at most.
+ALIGNED = 2_000
 
 
 def flat(col: Column) -> Column:
@@ -31,12 +33,18 @@ def flat(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(col.cast("string"), F.lit(""))), r"\s+", " "))
 
 
-def windows(benchmark: DataFrame, length: int, step: int) -> DataFrame:
-    """item_id, window: the text's windows, the last one ending with it; a shorter text is one window."""
+def windows(benchmark: DataFrame, length: int, step: int, part: int, part_step: int) -> DataFrame:
+    """item_id, window: the text's windows of `length` and of `part` characters, the last ones ending with it.
+
+    A shorter text is one window."""
     text = benchmark.select("item_id", flat(F.col("text")).alias("flat")).where("flat <> ''")
-    last = F.greatest(F.lit(0), F.length("flat") - length)
-    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last)))
-    return text.select("item_id", F.explode(starts).alias("at"), "flat").select("item_id", F.substring("flat", F.col("at") + 1, F.lit(length)).alias("window"))
+
+    def cut(size: int, by: int) -> DataFrame:
+        last = F.greatest(F.lit(0), F.length("flat") - size)
+        starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(by)), F.array(last)))
+        return text.select("item_id", F.explode(starts).alias("at"), "flat").select("item_id", F.substring("flat", F.col("at") + 1, F.lit(size)).alias("window"))
+
+    return cut(length, step).unionByName(cut(part, part_step))
 
 
 def characters(text: str) -> np.ndarray:
@@ -76,8 +84,7 @@ class Index:
     places: np.ndarray
     table: np.ndarray
     shift: np.uint64
-    least: int
-    span: int
+    limits: list[tuple[int, int]]
 
 
 def build_index(rows: list[tuple[int, str]], q: int, edit_rate: float) -> Index | None:
@@ -101,8 +108,12 @@ def build_index(rows: list[tuple[int, str]], q: int, edit_rate: float) -> Index
     table = np.zeros(1 << bits, bool)
     table[(unique >> shift).astype(np.int64)] = True
     edits, need = np.array([x[2] for x in kept]), np.array([x[3] for x in kept])
-    span = max(len(x[1]) + x[2] for x in kept)
-    return Index(q, [x[0] for x in kept], [x[1] for x in kept], [x[4] for x in kept], edits, need, unique, np.append(starts, len(every)), owners[order], places[order], table, shift, int(need.min()), span)
+    # For windows of about one length: the hits that each needs at least, and the characters they lie in at most.
+    alike: dict[int, list[int]] = {}
+    for i, x in enumerate(kept):
+        alike.setdefault(len(x[1]).bit_length(), []).append(i)
+    limits = [(int(need[of].min()), max(len(kept[i][1]) + kept[i][2] for i in of)) for of in alike.values()]
+    return Index(q, [x[0] for x in kept], [x[1] for x in kept], [x[4] for x in kept], edits, need, unique, np.append(starts, len(every)), owners[order], places[order], table, shift, limits)
 
 
 def candidate_bands(index: Index, chars: np.ndarray) -> list[tuple[int, int]]:
@@ -118,16 +129,16 @@ def candidate_bands(index: Index, chars: np.ndarray) -> list[tuple[int, int]]:
     slot[slot == len(index.hashes)] = 0
     real = index.hashes[slot] == h[at]
     at, slot = at[real], slot[real]
-    if len(at) < index.least:
-        return []
-    # A hit stays if some stretch of `span` characters around it holds enough hits.
-    ahead = np.searchsorted(at, at + index.span, side="right") - np.arange(len(at))
-    full = np.flatnonzero(ahead >= index.least)
-    if not len(full):
-        return []
+    # A hit stays if some stretch around it, as long as windows of one length may fill, holds enough hits for them.
     mark = np.zeros(len(at) + 1, np.int64)
-    np.add.at(mark, full, 1)
-    np.add.at(mark, full + ahead[full], -1)
+    for least, span in index.limits:
+        if len(at) >= least:
+            ahead = np.searchsorted(at, at + span, side="right") - np.arange(len(at))
+            full = np.flatnonzero(ahead >= least)
+            np.add.at(mark, full, 1)
+            np.add.at(mark, full + ahead[full], -1)
+    if not mark.any():
+        return []
     stays = np.cumsum(mark)[:-1] > 0
     at, slot = at[stays], slot[stays]
     counts = index.starts[slot + 1] - index.starts[slot]
@@ -145,55 +156,68 @@ def candidate_bands(index: Index, chars: np.ndarray) -> list[tuple[int, int]]:
     return [(int(w), int(b) * (int(index.edits[w]) + 1)) for w, b in zip(owner[good], band[good], strict=True)]
 
 
-def banded_edits(pattern: np.ndarray, chars: np.ndarray, low: int, width: int, most: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best alignment of the whole pattern with a stretch of chars, if within `most`.
+def banded_edits(patterns: np.ndarray, chars: np.ndarray, low: np.ndarray, width: int, most: int) -> list[tuple[int, int, int] | None]:
+    """For each row of patterns, (edits, start, end) of its best alignment with a stretch of chars, if within `most`.
 
-    Only cells on the diagonals low ... low + width - 1 are filled. Ties go to the earliest end."""
-    cells = np.arange(width)
-    big = len(pattern) + most + 2
-    # cost[d]: pattern[:i] against chars up to i + low + d; begun[d]: where that alignment starts
-    ends = cells + low
+    Only cells on the diagonals low ... low + width - 1 of a row are filled. Ties go to the earliest end."""
+    cells, length = np.arange(width), patterns.shape[1]
+    big = length + most + 2
+    # cost[r, d]: patterns[r, :i] against chars up to i + low[r] + d; begun[r, d]: where that alignment starts
+    rows, ends = np.arange(len(patterns)), low[:, None] + cells
     cost = np.where((ends >= 0) & (ends <= len(chars)), 0, big)
     begun = ends.copy()
-    for i, c in enumerate(pattern, 1):
-        ends = i + low + cells
+    for i in range(length):
+        ends = ends + 1
         inside = (ends >= 1) & (ends <= len(chars))
-        same = np.zeros(width, bool)
-        same[inside] = chars[ends[inside] - 1] == c
+        same = inside & (chars[np.clip(ends - 1, 0, len(chars) - 1)] == patterns[rows, i][:, None])
         step = np.where(inside, cost + ~same, big)
-        skip = np.append(cost[1:], big) + 1  # a pattern character without a counterpart
+        skip = np.pad(cost[:, 1:], ((0, 0), (0, 1)), constant_values=big) + 1  # a pattern character without a counterpart
         take = skip < step
         new = np.where(take, skip, step)
-        new_begun = np.where(take, np.append(begun[1:], 0), begun)
+        new_begun = np.where(take, np.pad(begun[:, 1:], ((0, 0), (0, 1))), begun)
         new = np.where((ends >= 0) & (ends <= len(chars)), new, big)
         # characters of the text without a counterpart: from the left, one edit each
-        lowered = np.minimum.accumulate(new - cells)
+        lowered = np.minimum.accumulate(new - cells, axis=1)
         better = lowered + cells < new
         if better.any():
-            source = np.maximum.accumulate(np.where(new - cells == lowered, cells, -1))
-            new_begun = np.where(better, new_begun[source], new_begun)
+            source = np.maximum.accumulate(np.where(new - cells == lowered, cells, -1), axis=1)
+            new_begun = np.where(better, np.take_along_axis(new_begun, source, 1), new_begun)
             new = np.where(better, lowered + cells, new)
-        cost, begun = new, new_begun
-        if cost.min() > most:
-            return None
-    best = int(np.argmin(cost))
-    if cost[best] > most:
-        return None
-    return int(cost[best]), int(begun[best]), int(len(pattern) + low + best)
+        alive = new.min(1) <= most
+        rows, ends, cost, begun = (rows, ends, new, new_begun) if alive.all() else (rows[alive], ends[alive], new[alive], new_begun[alive])
+        if not len(rows):
+            break
+    out: list[tuple[int, int, int] | None] = [None] * len(patterns)
+    for r, d, c, start in zip(rows, cost.argmin(1), cost, begun, strict=True):
+        out[r] = int(c[d]), int(start[d]), int(length + low[r] + d)
+    return out
 
 
 def find_regions(index: Index, text: str) -> list[tuple[int, int, int, int]]:
     """(item_id, start, end, edits) of each verified region of a flat text; places count its characters."""
     chars = characters(text)
     found: dict[tuple[int, int, int], int] = {}
+    todo: dict[tuple[int, int], list[tuple[int, int]]] = {}
+
+    def note(w: int, edits: int, start: int, end: int) -> None:
+        at = (index.items[w], start, end)
+        found[at] = min(edits, found.get(at, edits))
+
     for w, low in candidate_bands(index, chars):
         k = int(index.edits[w])
         m = len(index.texts[w])
         start = text.find(index.strings[w], max(0, low), max(0, low + 2 * k + 1 + m))  # no need to align an exact copy
-        if hit := (0, start, start + m) if start >= 0 else banded_edits(index.texts[w], chars, low, 2 * (k + 1), k):
-            edits, start, end = hit
-            at = (index.items[w], start, end)
-            found[at] = min(edits, found.get(at, edits))
+        if start >= 0:
+            note(w, 0, start, start + m)
+        else:
+            todo.setdefault((m, k), []).append((w, low))
+    for (_, k), bands in todo.items():  # windows of one length are aligned together
+        for at in range(0, len(bands), ALIGNED):
+            some = bands[at : at + ALIGNED]
+            hits = banded_edits(np.stack([index.texts[w] for w, _ in some]), chars, np.array([low for _, low in some]), 2 * (k + 1), k)
+            for (w, _), hit in zip(some, hits, strict=True):
+                if hit:
+                    note(w, *hit)
     return [(item, start, end, edits) for (item, start, end), edits in sorted(found.items())]
 
 
@@ -206,17 +230,20 @@ def spans_in_text(text: str, regions: list[tuple[int, int, int, int]]) -> list[d
 
 
 def contaminated_regions(
-    docs: DataFrame, benchmark: DataFrame, q: int = 8, edit_rate: float = 0.08, window: int = 100, step: int = 50, block_windows: int = 20_000, text_col: str = "text"
+    docs: DataFrame, benchmark: DataFrame, q: int = 8, edit_rate: float = 0.08, window: int = 100, step: int = 50, block_windows: int = 20_000, text_col: str = "text",
+    part: int = 50, part_step: int = 10,
 ) -> DataFrame:
     """docs with the regions that match a window of benchmark (item_id, text) within edit_rate edits a character.
 
     Adds n_regions, items (sorted, distinct) and regions: item, span in the text, edits; columns of docs with these
     names give way. Texts are compared in lower case with white space collapsed. Items shorter than q characters are
     not looked for. Every row of docs comes back once; null and empty texts, and any text if the benchmark is empty,
-    have no regions. One pass over docs for each block of about block_windows windows; a block is what the driver and
+    have no regions. The long windows allow edits to be bunched; the short ones find a leak of a part of an item: a
+    verbatim stretch of an item of at least part + part_step - 1 characters (59) holds a whole short window and is
+    found for certain, wherever it begins. A shorter stretch of a longer item may be missed. One pass over docs for each block of about block_windows windows; a block is what the driver and
     each task hold of the benchmark."""
     found = docs.drop("n_regions", "items", "regions").withColumn("regions", F.array().cast(REGIONS))
-    cut = materialise(windows(benchmark, window, step).distinct(), "windows")
+    cut = materialise(windows(benchmark, window, step, part, part_step).distinct(), "windows")
     blocks = -(-cut.count() // block_windows)
     for block in range(blocks):
         mine = cut.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block)

@@ -313,6 +313,18 @@ def test_leaks_are_found_and_placed(spark):
     assert decontaminate.contaminated_regions(docs.limit(0), bench).count() == 0
 
 
+def test_parts_of_an_item_are_found_at_all_offsets(spark):
+    rng = random.Random(4)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(n))
+    item = words(66)[:394]
+    around = words(12)
+    # 59 characters are found for certain; of 61, one may be a space at either end
+    rows = [(at, f"{around} {item[at : at + n].strip()} {around}", n) for n in (61, 70, 105) for at in range(len(item) - n + 1)]
+    docs = spark.createDataFrame([*rows, (-1, words(200), 0)], "doc_id long, text string, n long")
+    got = decontaminate.contaminated_regions(docs, spark.createDataFrame([(1, item), (2, words(66))], "item_id long, text string")).collect()
+    assert [(r["doc_id"], r["n"]) for r in got if r["items"] != [1]] == [(-1, 0)]
+
+
 # ---- 7
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
 
