@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import materialise
 
 #: Rows up to which a list of ids may be broadcast; beyond, joins are left to shuffle.
-BROADCAST_ROWS = 1_000_000
-SALTS = 16
+BROADCAST_ROWS = 100_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,7 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("root"))
-        hooks = materialise(shorten(shorten(hooks)), "hooks")
+        # Most nodes of a star hook onto one: read from a table on both sides, the join can be split by Spark.
+        hooks = materialise(hooks, "hooked")
+        hooks = materialise(follow(follow(hooks, hooks, "root"), hooks, "root"), "hooks")
         labels = hooks if labels is None else materialise(follow(labels, hooks, "root"), "labels")
         ends = follow(follow(pairs, hooks, "a"), hooks, "b")
         pairs = materialise(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
@@ -38,18 +39,7 @@ def follow(df: DataFrame, hooks: DataFrame, col: str) -> DataFrame:
     return joined.select(*[F.coalesce("h_root", df[c]).alias(c) if c == col else df[c] for c in df.columns])
 
 
-def shorten(hooks: DataFrame) -> DataFrame:
-    return follow(hooks, hooks, "root")
-
-
 def join_ids(df: DataFrame, ids: DataFrame, on: str | list[str], how: str) -> DataFrame:
     """Semi or anti join with a list of ids: broadcast if it was counted as small, else shuffled."""
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     return df.join(F.broadcast(ids) if small else ids, on, how)
-
-
-def salted_join(many: DataFrame, few: DataFrame, on: str | list[str], spread: str) -> DataFrame:
-    """Inner join of many rows with few, the rows of one key dealt out over SALTS partitions by column spread."""
-    dealt = many.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(copies, [*([on] if isinstance(on, str) else on), "salt"]).drop("salt")

@@ -1,33 +1,34 @@
 """Exact Jaccard join on word n-grams.
 
-Documents become sorted arrays of shingle hashes; equal sets are one class from then on. To find what may be similar
-without comparing everything, each size band cuts the hash space into more parts than two similar sets of the band can
-differ in: similar sets agree in a whole part, whose digest is a key they share. The documents of a key, sorted by
-size into tiles, are compared by hashed bitmaps: bits that only one of two has bound their overlap from above. Pairs
-that pass connect documents into families, and inside a family's tiles such pairs are verified by exact intersection
-of the sorted arrays. Both steps leave out pairs already known to be connected and return what connects a tile, so
-nothing is capped and no list of pairs is made.
+Documents become sorted arrays of shingle hashes; equal sets are one class from then on. A count sketch over all
+documents says how common each shingle is, and every set is ordered from its rarest shingle to its commonest: two
+similar sets share one of their first few shingles, whatever the order, so those are the keys by which they meet, and
+what many documents have in common is hardly ever a key. The documents of a key, sorted by size into tiles, are compared by hashed
+bitmaps: bits that only one of two has bound their overlap from above. Pairs that pass connect documents into families,
+and inside a family's tiles such pairs are verified by exact intersection of the sorted arrays. Both steps leave out
+pairs already known to be connected and return what connects a tile, so nothing is capped and no list of pairs is made.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import materialise
-from ledgerflow.llm.components import components, join_ids, salted_join
+from ledgerflow.llm.components import components, join_ids
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64) | 1) for k in range(1, 65)]
-BAND_GROWTH = 1.4
+#: Counters of the sketch, as a power of two, and the counters that travel in one row.
+SKETCH_BITS, BLOCK_BITS = 22, 16
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -52,46 +53,61 @@ def shingle_set(text: str, n: int) -> np.ndarray:
         return np.unique(mixed(total))
 
 
-@lru_cache(maxsize=64)
-def band_starts(most: int) -> tuple[int, ...]:
-    starts = [1]
-    while starts[-1] <= most:
-        starts.append(max(starts[-1] + 1, int(starts[-1] * BAND_GROWTH)))
-    return tuple(starts)
+def counters(hashes: np.ndarray) -> np.ndarray:
+    """The sketch's counter of each shingle."""
+    return (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-@lru_cache(maxsize=4096)
-def band_cuts(band: int, differ: int, parts: int) -> np.ndarray:
-    return np.array([(j << 64) // parts for j in range(1, parts)], dtype=np.uint64)
+def prefix_keys(hashes: np.ndarray, percent: int, ranks: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in order of rank (one of 0...255 for each counter of the sketch), then hash.
 
+    Sets with a Jaccard index of at least percent / 100 overlap in at least percent / 100 of either, so their first
+    common shingle has at most 1 - percent / 100 of either before it: one of these keys is in both."""
+    n = len(hashes)
+    take = n - (percent * n + 99) // 100 + 1
+    if not n or take >= n:
+        return hashes
+    place = ranks[counters(hashes)].astype(np.uint64) << np.uint64(56) | hashes >> np.uint64(8)
+    return hashes[np.argpartition(place, take - 1)[:take]]
 
-def part_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which two sets with a Jaccard index of at least percent / 100 share one, unless they are equal.
 
-    A pair belongs to the band of its larger set, and differs there in at most `differ` shingles. With two parts more
-    than that, some two parts agree; with three more, three agree, and one is left if each set drops its smallest."""
-    n, keys = len(hashes), []
-    if not n:
-        return np.zeros(0, np.uint64)
-    starts = band_starts(n * 100 // percent + 1)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(hashes), dtype=np.uint64)))
-        for band, (low, high) in enumerate(zip(starts, starts[1:], strict=False)):
-            if n >= high or 100 * n < percent * low:
-                continue
-            differ = 2 * (high - 1) * (100 - percent) // (100 + percent)
-            if not differ:
-                continue
-            parts = differ + (2 if differ < 4 else 3)
-            ends = np.concatenate(([0], np.searchsorted(hashes, band_cuts(band, differ, parts)), [n]))
-            label = np.arange(1, parts + 1, dtype=np.uint64) * _ODD[band % 64]
-            digests = mixed((sums[ends[1:]] - sums[ends[:-1]]) ^ mixed(label))
-            if differ < 4:
-                pairs = np.array(list(combinations(range(parts), 2)))
-                keys.append(mixed(digests[pairs[:, 0]] * _ODD[1] + digests[pairs[:, 1]]))
-            else:
-                keys.append(np.delete(digests, np.argmin(np.diff(ends))))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+def packed_counts(counts: np.ndarray) -> bytes:
+    """The counters of a block that aren't 0: their places, then their values."""
+    at = np.flatnonzero(counts)
+    return zlib.compress(at.astype(np.uint16).tobytes() + counts[at].astype(np.int64).tobytes(), 1)
+
+
+def unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zlib.decompress(packed)
+    n = len(raw) // 10
+    return np.frombuffer(raw, np.uint16, n).astype(np.int64), np.frombuffer(raw, np.int64, n, 2 * n)
+
+
+def sketch_ranks(pieces: DataFrame) -> np.ndarray:
+    """A rank for each counter from the pieces (block, piece, counts) of all tasks: eight steps for each doubling.
+
+    Pieces are summed up in two steps, so no task sees those of more than a share of all tasks. What comes to the
+    driver is one byte a counter, whatever the input."""
+
+    def total(table: pa.Table) -> np.ndarray:
+        sums = np.zeros(1 << BLOCK_BITS, np.int64)
+        for packed in table.column("counts"):
+            at, counts = unpacked(packed.as_py())
+            sums[at] += counts
+        return sums
+
+    def add_up(table: pa.Table) -> pa.Table:
+        return pa.table({"block": table.column("block")[:1], "counts": pa.array([packed_counts(total(table))], pa.binary())})
+
+    def rank(table: pa.Table) -> pa.Table:
+        steps = np.minimum(255, 8 * np.log2(total(table) + 1.0)).astype(np.uint8)
+        return pa.table({"block": table.column("block")[:1], "ranks": pa.array([steps.tobytes()], pa.binary())})
+
+    some = pieces.groupBy("block", F.pmod("piece", F.lit(256)).alias("share")).applyInArrow(add_up, "block int, counts binary")
+    ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for row in some.groupBy("block").applyInArrow(rank, "block int, ranks binary").collect():
+        ranks[row["block"] << BLOCK_BITS : (row["block"] + 1) << BLOCK_BITS] = np.frombuffer(row["ranks"], np.uint8)
+    return ranks
 
 
 def bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -120,12 +136,14 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def tile_links(sizes: np.ndarray, maps: np.ndarray, sides: np.ndarray, percent: int, sets: list[np.ndarray] | None = None) -> list[tuple[int, int]]:
+def tile_links(sizes: np.ndarray, maps: np.ndarray, sides: np.ndarray, percent: int, sets: list[np.ndarray] | None = None, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Positions of pairs that may be similar, or are if sets are given; enough of them to connect all such pairs.
 
     Rows are in order of size. sides: 0 and 1 for the two tiles, of which only pairs across are compared; all pairs
-    are if there is only one side."""
-    found, root, across = [], list(range(len(sizes))), sides.min() != sides.max()
+    are if there is only one side. known: a number for each row; rows with the same one are connected already."""
+    found, across = [], sides.min() != sides.max()
+    own = np.arange(len(sizes)) if known is None else np.unique(known, return_inverse=True)[1]
+    root = list(range(len(sizes)))
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -136,15 +154,16 @@ def tile_links(sizes: np.ndarray, maps: np.ndarray, sides: np.ndarray, percent:
     last = np.searchsorted(sizes * percent, 100 * sizes, side="right")  # up to there sets aren't too large
     for i in range(len(sizes)):
         others = np.arange(i + 1, last[i])
+        others = others[own[others] != own[i]]
         if across:
             others = others[sides[others] != sides[i]]
         if not len(others):
             continue
-        own, theirs = maps[i], maps[others]
-        bound = np.minimum(sizes[i] - np.bitwise_count(own & ~theirs).sum(1, dtype=np.int64), sizes[others] - np.bitwise_count(theirs & ~own).sum(1, dtype=np.int64))
+        mine, theirs = maps[i], maps[others]
+        bound = np.minimum(sizes[i] - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64), sizes[others] - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
         passed = np.flatnonzero(bound * (100 + percent) >= percent * (sizes[i] + sizes[others]))
         for j in others[passed[np.argsort(-bound[passed], kind="stable")]].tolist():
-            a, b = find(i), find(j)
+            a, b = find(own[i]), find(own[j])
             if a != b and (sets is None or overlap(sets[i], sets[j]) * (100 + percent) >= percent * (sizes[i] + sizes[j])):
                 root[max(a, b)] = min(a, b)
                 found.append((i, j))
@@ -153,7 +172,7 @@ def tile_links(sizes: np.ndarray, maps: np.ndarray, sides: np.ndarray, percent:
 
 def group_links(table: pa.Table, percent: int, exact: bool) -> pa.Table:
     """The links inside a group of families: by bitmaps (column map), or exact by sorted hashes (column hashes)."""
-    families, ids, sides = (table.column(c).to_numpy() for c in ("family", "doc_id", "side"))
+    families, ids, sides, known = (table.column(c).to_numpy() for c in ("family", "doc_id", "side", "known"))
     if exact:
         hashes = table.column("hashes").combine_chunks()
         flat, ends = hashes.values.to_numpy().view(np.uint64), hashes.offsets.to_numpy()
@@ -167,7 +186,7 @@ def group_links(table: pa.Table, percent: int, exact: bool) -> pa.Table:
             continue
         sets = [flat[ends[i] : ends[i + 1]] for i in own] if exact else None
         maps = [bitmap(x, bitmap_bits(int(sizes[own[-1]]), 4, 4096)) for x in sets] if exact else [np.frombuffer(stored[i], np.uint64) for i in own]
-        for i, j in tile_links(sizes[own], folded(maps), sides[own], percent, sets):
+        for i, j in tile_links(sizes[own], folded(maps), sides[own], percent, sets, known[own]):
             a.append(int(ids[own[i]]))
             b.append(int(ids[own[j]]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -184,49 +203,66 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Size, digest and bitmap of each row; after the last one, the task's piece of the sketch."""
+        names = ["doc_id", "n", "name", "map", "block", "piece", "counts"]
+        counts = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                sizes, names, maps, keys = [], [], [], []
-                for value in part.column(1):
-                    s = shingle_set(value.as_py(), words)
-                    sizes.append(len(s))
-                    names.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    maps.append(bitmap(s, bitmap_bits(len(s))).tobytes())
-                    keys.append(part_keys(s, percent).view(np.int64))
-                offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
-                flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(maps, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "name", "map", "keys"])
-
-    described = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, keys array<long>"), "described")
-    known = described.where("n > 0 and doc_id is not null")
-    # Repeated rows count once. which tells the texts of an id apart; it is 0 for an id of one row.
+                sets = [shingle_set(value.as_py(), words) for value in part.column(1)]
+                sizes = [len(s) for s in sets]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                maps = [bitmap(s, bitmap_bits(len(s))).tobytes() for s in sets]
+                counts += np.bincount(counters(np.concatenate(sets)), minlength=len(counts))
+                none = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.int32(), pa.binary())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(maps, pa.binary()), *none], names)
+        piece = TaskContext.get().partitionId()
+        for block, own in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
+            if own.any():
+                none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+                packed = pa.array([packed_counts(own)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*none, pa.array([block], pa.int32()), pa.array([piece], pa.int32()), packed], names)
+
+    both = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, block int, piece int, counts binary"), "described")
+    described = both.where("block is null")
+    # which tells the texts of an id apart; repeated rows count once.
+    known = described.where("n > 0 and doc_id is not null").withColumn("which", F.xxhash64("name"))
     again = materialise(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "again")
     repeats = not again.isEmpty()
     if repeats:
-        several = materialise(join_ids(known, again, "doc_id", "left_semi").dropDuplicates(["doc_id", "name"]).withColumn("which", F.xxhash64("name")), "several")
-        known = join_ids(known, again, "doc_id", "left_anti").withColumn("which", F.lit(0).cast("long")).unionByName(several)
-    else:
-        known = known.withColumn("which", F.lit(0).cast("long"))
+        known = materialise(known.dropDuplicates(["doc_id", "which"]), "several")
+    # What joins by a key that many rows may have is read from tables on both sides, so that Spark can split the key.
     classes = known.groupBy("name").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("name", "first")
-    copies = materialise(salted_join(known.select("doc_id", "which", "name"), classes, "name", "doc_id").where("doc_id <> first").select("doc_id", "which", "first"), "copies")
+    classes = materialise(classes, "classes")
+    copies = materialise(known.select("doc_id", "which", "name").join(classes, "name").where("doc_id <> first").select("doc_id", "which", "first"), "copies")
 
-    by_key = Window.partitionBy("key")
-    single = join_ids(known.select("doc_id", "which", "n", "keys"), copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti")
-    shared = single.select("doc_id", "which", "n", F.explode("keys").alias("key"))
-    shared = shared.withColumns({"docs": F.count(F.lit(1)).over(by_key), "who": F.bit_xor(F.xxhash64("doc_id", "which")).over(by_key)}).where("docs > 1").drop("which")
-    shared = materialise(shared, "shared")
+    ranks = rows.sparkSession.sparkContext.broadcast(sketch_ranks(both.where("block is not null").select("block", "piece", "counts")))
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1_000):
+                part = batch.slice(at, 1_000)
+                sets = [shingle_set(value.as_py(), words) for value in part.column(1)]
+                sizes = [len(s) for s in sets]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                keys = [prefix_keys(s, percent, ranks.value).view(np.int64) for s in sets]
+                offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))], ["doc_id", "n", "name", "keys"])
+
+    keyed = rows.where("doc_id is not null").mapInArrow(keys_of, "doc_id long, n long, name binary, keys array<long>").where("n > 0").select("doc_id", F.xxhash64("name").alias("which"), "n", "keys")
+    if repeats:
+        keyed = keyed.dropDuplicates(["doc_id", "which"])
+    keyed = materialise(join_ids(keyed, copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti"), "keyed")
+    each = keyed.select("doc_id", "which", "n", F.explode("keys").alias("key"))
+    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id", "which")).alias("who"), F.bit_xor(F.xxhash64("which", "doc_id")).alias("too")).where("docs > 1")
     # Copies with few changes share many keys; of keys with the same documents one is enough.
-    once = shared.groupBy("docs", "who").agg(F.min("key").alias("key")).select("key")
-    met = shared.join(once, "key", "left_semi").select("doc_id", F.col("key").alias("family"), "n").distinct()
-    close = materialise(family_tiles(met, tile_docs, tile_shingles), "close")
-    mapped = tile_pairs(close, percent, pack_docs).join(known.select("doc_id", "n", "map"), "doc_id")
-    maybe = mapped.groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, False), "a long, b long")
-    families = components(maybe)
+    once = materialise(shared.groupBy("docs", "who", "too").agg(F.min("key").alias("key")).select("key"), "once")
+    met = join_ids(each, once, "key", "left_semi").select("doc_id", F.col("key").alias("family"), "n")
+    close = family_tiles(met.distinct() if repeats else met, tile_docs, tile_shingles)
+    families = tile_components(close, known.select("doc_id", "n", "map"), percent, pack_docs, tile_shingles, False)
 
-    sized = families.join(known.select("doc_id", "n").distinct(), families.node == F.col("doc_id")).select("doc_id", F.col("component").alias("family"), "n")
-    tiles = materialise(family_tiles(sized, tile_docs, tile_shingles), "tiles")
-    places = tile_pairs(tiles, percent, pack_docs)
+    sized = families.join(known.select("doc_id", "n").distinct() if repeats else known.select("doc_id", "n"), families.node == F.col("doc_id")).select("doc_id", F.col("component").alias("family"), "n")
+    tiles = family_tiles(sized, tile_docs, tile_shingles)
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,19 +275,41 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     sources = rows.where("doc_id is not null")
     if repeats:
         sources = join_ids(sources, again, "doc_id", "left_anti").unionByName(join_ids(sources, again, "doc_id", "left_semi").distinct())
-    members = join_ids(sources, tiles.select("doc_id"), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes array<long>")
-
-    links = places.join(members, "doc_id").groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, True), "a long, b long")
-    if repeats:  # an id of several texts also links what they are copies of
-        links = links.unionByName(join_ids(copies, again, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
-    linked = components(links)
-    joined = salted_join(copies, linked.select(F.col("node").alias("first"), "component"), "first", "doc_id").select("doc_id", "component")
-    alone = join_ids(copies, linked.select(F.col("node").alias("first")), "first", "left_anti").select("doc_id", F.col("first").alias("component"))
-    placed = joined.unionByName(alone).unionByName(linked.select(F.col("node").alias("doc_id"), "component")).groupBy("doc_id").agg(F.min("component").alias("component"))
+    members = join_ids(sources, tiles.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, hashes array<long>")
+    extra = join_ids(copies, again, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("first").alias("b")) if repeats else None
+    linked = tile_components(tiles, members, percent, pack_docs, tile_shingles, True, extra)  # an id of several texts also links what they are copies of
+    roots = linked.select(F.col("node").alias("first"), "component")
+    joined = copies.join(roots, "first", "left").select("doc_id", F.coalesce("component", "first").alias("component"))
+    placed = joined.unionByName(linked.select(F.col("node").alias("doc_id"), "component")).groupBy("doc_id").agg(F.min("component").alias("component"))
     out = described.select("doc_id", F.col("n").alias("n_shingles")).join(placed, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def tile_components(tiles: DataFrame, payload: DataFrame, percent: int, pack_docs: int, tile_shingles: int, exact: bool, extra: DataFrame | None = None) -> DataFrame:
+    """node, component of the documents of tiles (doc_id, family, tile, n) that bitmaps or, if exact, sets connect.
+
+    payload: doc_id and map or hashes. First each tile is compared with itself and the next one. Other pairs of tiles
+    are compared only where that hasn't connected all documents of both, so a family of near copies takes work in
+    proportion to its size. extra: more links (a, b)."""
+    tiles = materialise(tiles, "tiles")
+    columns = ["pack", "one", "other", "family", "side", "known", "doc_id", "hashes" if exact else "map", *([] if exact else ["n"])]
+
+    def links(places: DataFrame) -> DataFrame:
+        held = places.join(payload, "doc_id").select(*columns)
+        return held.groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, exact), "a long, b long")
+
+    fresh = tiles.withColumn("known", F.col("doc_id"))
+    near = links(tile_pairs(fresh, percent, pack_docs, tile_shingles, True))
+    done = components(near.unionByName(extra) if extra is not None else near)
+    if tiles.where("tile > 1").isEmpty():
+        return done
+    large = materialise(tiles.where("tile > 1").select("family").distinct(), "large")
+    rest = join_ids(tiles, large, "family", "left_semi").join(done.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    rest = materialise(rest.select("doc_id", "family", "tile", "n", F.coalesce("component", "doc_id").alias("known")), "rest")
+    far = links(tile_pairs(rest, percent, pack_docs, tile_shingles, False))
+    return components(far.unionByName(done.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+
 def family_tiles(sized: DataFrame, tile_docs: int, tile_shingles: int) -> DataFrame:
     """doc_id, family, n -> the same with tile: documents of a family in order of size, cut where a tile is full.
 
@@ -260,26 +318,41 @@ def family_tiles(sized: DataFrame, tile_docs: int, tile_shingles: int) -> DataFr
     load = F.lit(1.0 / tile_docs) + F.col("n") / F.lit(float(tile_shingles))
     sized = materialise(sized, "sized")
     large = materialise(sized.groupBy("family").agg(F.sum(load).alias("load")).where("load > 1").select("family"), "large")
+    if large.isEmpty():
+        return sized.withColumn("tile", F.lit(0))
     small = join_ids(sized, large, "family", "left_anti").withColumn("tile", F.lit(0))
     many = join_ids(sized, large, "family", "left_semi")
     before = Window.partitionBy("family").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     counts = many.groupBy("family", "n").agg(F.count(F.lit(1)).alias("docs"))
     starts = counts.select("family", "n", (load * F.col("docs")).alias("length")).withColumn("start", F.coalesce(F.sum("length").over(before), F.lit(0.0)))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    placed = salted_join(many, starts, ["family", "n"], "doc_id").withColumn("tile", F.floor(F.col("start") + F.col("length") * place).cast("int"))
+    placed = many.join(materialise(starts, "starts"), ["family", "n"]).withColumn("tile", F.floor(F.col("start") + F.col("length") * place).cast("int"))
     return small.unionByName(placed.select("doc_id", "family", "n", "tile"))
 
 
-def tile_pairs(tiles: DataFrame, percent: int, pack_docs: int) -> DataFrame:
-    """doc_id, family, side, and pack, one, other: the pairs of tiles that a document takes part in.
-
-    Tiles whose sizes are too far apart are not paired. Families of one tile are dealt into packs of about pack_docs."""
-    of_tile = tiles.groupBy("family", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, other = of_tile.select("family", F.col("tile").alias("one"), F.col("high").alias("one_high")), of_tile.select("family", F.col("tile").alias("other"), F.col("low").alias("other_low"))
-    pairs = one.join(other, "family").where((F.col("one") <= F.col("other")) & (F.col("other_low") * percent <= F.col("one_high") * 100)).select("family", "one", "other")
-    packs = -(-tiles.count() // pack_docs)
-    # A tile's documents meet its pairs; most families have one tile and one pair.
-    ends = pairs.select("family", "one", "other", F.col("one").alias("tile"), F.lit(0).alias("side")).unionByName(pairs.where("one < other").select("family", "one", "other", F.col("other").alias("tile"), F.lit(1).alias("side")))
-    large = of_tile.groupBy("family").agg(F.max("tile").alias("last"))
-    dealt = ends.join(large, "family").withColumn("pack", F.when(F.col("last") == 0, -1 - F.pmod(F.xxhash64("family"), F.lit(max(1, packs)))).otherwise(F.col("family")))
-    return tiles.select("doc_id", "family", "tile").join(dealt.select("family", "tile", "side", "pack", "one", "other"), ["family", "tile"])
+def tile_pairs(tiles: DataFrame, percent: int, pack_docs: int, tile_shingles: int, near: bool) -> DataFrame:
+    """doc_id, known, family, side, and pack, one, other: the pairs of tiles that a document takes part in.
+
+    near: only a tile with itself and with the next one; else all other pairs but those whose documents have one
+    `known` in common. Tiles whose sizes are too far apart are not paired. Families of one tile are dealt into packs
+    of about pack_docs documents, or fewer long ones."""
+    held = ["doc_id", "known", "family"]
+    large = materialise(tiles.where("tile > 0").select("family").distinct(), "large")
+    single, paired = tiles, None
+    if not large.isEmpty():
+        single = join_ids(tiles, large, "family", "left_anti")
+        several = join_ids(tiles, large, "family", "left_semi")
+        of_tile = several.groupBy("family", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("known").alias("least"), F.max("known").alias("most"))
+        of_tile = materialise(of_tile, "of-tile")
+        one, other = (of_tile.select("family", *[F.col(c).alias(f"{side}_{c}") for c in ("tile", "low", "high", "least", "most")]) for side in ("one", "other"))
+        apart = F.col("other_tile") - F.col("one_tile")
+        wanted = apart.between(0, 1) if near else (apart > 1) & (F.greatest("one_most", "other_most") != F.least("one_least", "other_least"))
+        pairs = one.join(other, "family").where(wanted & (F.col("other_low") * percent <= F.col("one_high") * 100)).select("family", F.col("one_tile").alias("one"), F.col("other_tile").alias("other"))
+        ends = pairs.select("family", "one", "other", F.col("one").alias("tile"), F.lit(0).alias("side")).unionByName(pairs.where("one < other").select("family", "one", "other", F.col("other").alias("tile"), F.lit(1).alias("side")))
+        paired = several.join(materialise(ends, "ends"), ["family", "tile"]).select(*held, "side", F.col("family").alias("pack"), "one", "other")
+        if not near:
+            return paired
+    load = single.agg(F.sum(F.lit(1.0 / pack_docs) + F.col("n") * F.lit(4.0 / tile_shingles))).first()[0] or 0.0
+    pack = (-1 - F.pmod(F.xxhash64("family"), F.lit(max(1, int(load) + 1)))).alias("pack")
+    packed = single.select(*held, F.lit(0).alias("side"), pack, F.lit(0).alias("one"), F.lit(0).alias("other"))
+    return packed.unionByName(paired) if paired is not None else packed

@@ -148,7 +148,28 @@ def test_similar_sets_share_a_key(size, changes, seed, percent):
     b = np.unique(np.concatenate((keep, rng.integers(0, 2**64, changes - changes // 2, dtype=np.uint64))))
     both = len(np.intersect1d(a, b))
     if 100 * both >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
-        assert set(ngram_join.part_keys(a, percent).tolist()) & set(ngram_join.part_keys(b, percent).tolist())
+        ranks = rng.integers(0, 9, 1 << ngram_join.SKETCH_BITS).astype(np.uint8)
+        assert set(ngram_join.prefix_keys(a, percent, ranks).tolist()) & set(ngram_join.prefix_keys(b, percent, ranks).tolist())
+
+
+def test_unrelated_sets_and_a_shared_passage_give_no_common_key():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 2**64, 48, dtype=np.uint64)
+    for size in (20, 100, 1000):
+        sets = [np.unique(np.concatenate((rng.integers(0, 2**64, size, dtype=np.uint64), passage if k % 3 == 0 else passage[:0]))) for k in range(1000)]
+        counts = np.bincount(ngram_join.counters(np.concatenate(sets)), minlength=1 << ngram_join.SKETCH_BITS)
+        ranks = np.minimum(255, 8 * np.log2(counts + 1.0)).astype(np.uint8)
+        keys = np.unique(np.concatenate([ngram_join.prefix_keys(s, 80, ranks) for s in sets]), return_counts=True)[1]
+        assert keys.max() == 1
+
+
+def test_large_families_take_no_pair_of_tiles_twice(spark):
+    rng = random.Random(9)
+    base = rng.choices([f"w{i}" for i in range(300)], k=80)
+    rows = [(k, " ".join([*base[:40], f"x{k}", *base[41:]])) for k in range(120)] + [(500, " ".join([*base[:30], *["y"] * 4, *base[34:]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df, 3, 80, tile_docs=10, pack_docs=20).collect()}
+    assert got == brute_components(rows, 3, 80)
 
 
 def test_components_of_a_long_chain(spark):
