@@ -153,10 +153,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of all documents: one row for each row, null and empty texts with 0 of both."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of each document: one row for each row, a null source being one more source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -186,6 +188,7 @@ select doc_id, size, source_size, target, (epochs * size + greatest(0, least(siz
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of all documents: one row for each row, null and empty texts without words and labels."""
     return license_scan.license_digest(license_scan.license_scan(table(spark, sf_dir, "documents")))
 
 

@@ -8,6 +8,7 @@ stays exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import pyarrow as pa
@@ -16,6 +17,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
+#: Characters next to which a text may be cut, if the model knows them and leaves them as they are: none of them joins
+#: a neighbour when text is normalised.
+PLAIN = ((0x21, 0x7E), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+
+
+@dataclass
+class Boundaries:
+    """Where a model's texts may be cut: between plain characters that stand side by side in none of its pieces."""
+
+    plain: frozenset[str]
+    joined: frozenset[tuple[str, str]]
+    at_spaces: bool
+
+    def next(self, text: str, at: int) -> int:
+        """The first safe cut from `at` on, or -1: in front of a character, or of the one space between two."""
+        plain, joined = self.plain, self.joined
+        for i in range(max(1, at), len(text) - 1):
+            if text[i - 1] not in plain:
+                continue
+            if text[i] == " ":
+                if self.at_spaces and text[i + 1] in plain and (text[i - 1], SPACE) not in joined:
+                    return i
+            elif text[i] in plain and (text[i - 1], text[i]) not in joined:
+                return i
+        return -1
 
 
 @lru_cache(maxsize=4)
@@ -23,11 +49,12 @@ def _sentencepiece(path: str):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    # A cut in front of a space is safe if no piece has a space behind another character, if the model itself puts
-    # one space before each text, and if it leaves white space as it is.
-    inner = any(SPACE in p.lstrip(SPACE) for p in map(model.id_to_piece, range(model.vocab_size())))
-    plain = model.encode("a  b", out_type=str) == model.encode("a", out_type=str) + model.encode(" b", out_type=str)
-    return model, plain and not inner
+    pieces = [model.id_to_piece(i) for i in range(model.vocab_size())]
+    start = model.normalize("a")[:-1]
+    plain = frozenset(p for p in pieces if len(p) == 1 and any(a <= ord(p) <= b for a, b in PLAIN) and model.normalize(p) == start + p)
+    # A space may be left out at a cut if the model itself puts one before each text.
+    at_spaces = model.encode("a b") == model.encode("a") + model.encode("b")
+    return model, Boundaries(plain, frozenset(pair for p in pieces for pair in zip(p, p[1:], strict=False)), at_spaces)
 
 
 @lru_cache(maxsize=4)
@@ -40,22 +67,18 @@ def _tokenizers(path: str):
     return model
 
 
-def split_text(text: str, most: int) -> list[str]:
-    """Pieces of about `most` characters; the single space at each cut is left out.
+def split_text(text: str, most: int, boundaries: Boundaries) -> list[tuple[str, str]]:
+    """Pieces of about `most` characters, each with the character that was put before it and doesn't count.
 
-    Cuts lie between a character that isn't a space and a space that something follows. A text without such a place
-    stays whole."""
-    pieces, start = [], 0
-    while len(text) - start > most:
-        at = text.find(" ", start + most)
-        while at > 0 and text[at - 1] == " ":  # the end of a run of spaces isn't safe, its start is
-            at = text.find(" ", at + 1)
-        if at < 0 or at + 1 >= len(text):
-            break
-        pieces.append(text[start:at])
-        start = at + 1
-    pieces.append(text[start:])
-    return pieces
+    At a cut between words the space is left out, as the model puts one before each piece; elsewhere the character
+    before the cut is repeated, so that the piece begins as the text does there. A stretch without a safe cut stays
+    whole."""
+    pieces, start, before = [], 0, ""
+    while len(text) - start > most and (at := boundaries.next(text, start + most)) > 0:
+        pieces.append((before + text[start:at], before))
+        space = text[at] == " "
+        start, before = at + space, "" if space else text[at - 1]
+    return [*pieces, (before + text[start:], before)]
 
 
 def _lengths(path: str, texts: list[str]) -> list[int]:
@@ -66,7 +89,8 @@ def _lengths(path: str, texts: list[str]) -> list[int]:
 
 def count_batch(texts: list[str], path: str, batch_bytes: int, split_chars: int) -> list[int]:
     """Tokens of each text."""
-    may_split = path.endswith(".model") and _sentencepiece(path)[1]
+    boundaries = _sentencepiece(path)[1] if path.endswith(".model") else None
+    repeated: dict[str, int] = {}
     counts, part, owners, held = [0] * len(texts), [], [], 0
 
     def flush() -> None:
@@ -76,10 +100,14 @@ def count_batch(texts: list[str], path: str, batch_bytes: int, split_chars: int)
         owners.clear()
 
     for i, text in enumerate(texts):
-        for piece in split_text(text, split_chars) if may_split and len(text) > split_chars else [text]:
+        for piece, before in split_text(text, split_chars, boundaries) if boundaries and len(text) > split_chars else [(text, "")]:
             part.append(piece)
             owners.append(i)
-            held += len(piece)
+            held += len(piece.encode())
+            if before:
+                if before not in repeated:
+                    (repeated[before],) = _lengths(path, [before])
+                counts[i] -= repeated[before]
             if held >= batch_bytes:
                 flush()
                 held = 0
@@ -95,7 +123,8 @@ def token_counts(
     vocabulary: a sentencepiece .model or a tokenizers .json file, present on every machine. Begin, end and added
     special tokens are not counted; special strings in a text are treated as the library does by default. Null and
     empty texts count 0. Rows are neither merged nor reordered: repeated rows and null ids come back as they are, and
-    other columns are ignored. A json vocabulary encodes each text whole. An empty table gives an empty result."""
+    other columns are ignored. A json vocabulary encodes each text whole, as its file may
+    hold any rule for cutting up texts. An empty table gives an empty result."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
