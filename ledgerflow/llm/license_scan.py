@@ -8,8 +8,10 @@ bounded-error matching verifies the candidates and says where they begin and end
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ MORE_NOTICES = (
     ("all rights reserved", "proprietary", 2),
     ("redistribution and use in source and binary forms", "bsd", 4),
 )
+# Short words of notices that may be edited; others of up to three letters name the licence.
+FUNCTION_WORDS = ("a", "all", "and", "any", "in", "is", "of", "the", "to", "use", "0", "2")
 # End of the fixed values.
 
 _WORD = re.compile("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
@@ -39,7 +43,7 @@ SPANS = "array<struct<label:string,notice:string,start:int,end:int,first_word:in
 
 @lru_cache(maxsize=4)
 def _searcher(notices: tuple):
-    """The automaton over all pieces, with (notice, place of the piece in it) for each, and a pattern per notice."""
+    """The automaton over all pieces, with (notice, place of the piece in it) for each; each notice's names and pattern."""
     import ahocorasick
     import regex
 
@@ -51,7 +55,8 @@ def _searcher(notices: tuple):
         for k in range(edits + 1):
             start, end = len(notice) * k // (edits + 1), len(notice) * (k + 1) // (edits + 1)
             seeds.setdefault(notice[start:end], []).append((i, start))
-        patterns.append(regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}(?![^ ])"))
+        names = {w for w in notice.split() if len(w) <= 3 and w not in FUNCTION_WORDS}
+        patterns.append((names, regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(notice, literal_spaces=True)}){{e<={edits}}}(?![^ ])")))
     automaton = ahocorasick.Automaton()
     for seed, places in seeds.items():
         automaton.add_word(seed, (len(seed), tuple(places)))
@@ -79,18 +84,22 @@ def scan_text(text: str, notices: tuple) -> tuple[int, list[tuple]]:
             # The window ends where words do, as search() doesn't look behind its end.
             low = flat.rfind(" ", 0, max(0, start - edits)) + 1
             high = flat.find(" ", min(len(flat), end + edits))
-            if m := patterns[i].search(flat, low, high if high >= 0 else len(flat)):
+            names, pattern = patterns[i]
+            if (m := pattern.search(flat, low, high if high >= 0 else len(flat))) and names <= set(m.group().split()):
                 found.add((i, m.start(), m.end(), sum(m.fuzzy_counts)))
     matches = []
+    begins = list(accumulate((len(w) + 1 for w in words), initial=0)) if found else []
     for i, start, end, edits in sorted(found, key=lambda x: (x[1], x[0], x[2])):
-        matches.append((i, flat.count(" ", 0, start), flat.count(" ", start, end) + 1, edits))
+        first = bisect_right(begins, start) - 1
+        matches.append((i, first, bisect_left(begins, end) - first, edits))
     return len(words), matches
 
 
 def license_scan(docs: DataFrame, notices: tuple = BASE_NOTICES + MORE_NOTICES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words and matches for every row of docs.
 
-    notices: (words joined by one space, label, edits). A match begins and ends with whole words. start and end count
+    notices: (words joined by one space, label, edits). A match begins and ends with whole words, and holds the words of
+    up to three letters that name the licence as they are (mit, not it; nc, not nd). start and end count
     characters of the text itself; first_word counts words from 0. exact: the notice's words stand there as they are.
     Null and empty texts have no words and no matches. Repeated rows, null ids and other columns are let through or
     ignored, and an empty table gives an empty result."""
