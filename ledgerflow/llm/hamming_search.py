@@ -9,7 +9,7 @@ Equal codes are searched once, whatever their number.
 from __future__ import annotations
 
 from itertools import combinations
-from math import ceil, comb, log2
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +49,11 @@ def nearest_codes(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     one id with several codes is found by each. With fewer than k other rows all of them are returned. Other columns
     are ignored; empty tables give an empty result."""
     spark = index.sparkSession
-    want = k + 1  # one may be the query itself
     points = index.select("id", "code").where("code is not null").distinct()
+    asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("asked")).where("asked is not null").distinct()
+    # The codes of a query's own id are left out in the end: so many more are wanted.
+    own = points.join(asked.select(F.col("query_id").alias("id")).distinct(), "id", "left_semi").groupBy("id").count()
+    want = k + max(1, own.agg(F.max("count")).first()[0] or 0)
     by_id = Window.partitionBy("code").orderBy(F.col("id").isNull(), "id")
     members = materialise(points.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= want), "members")
     codes = members.groupBy("code").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n"))
@@ -58,7 +61,6 @@ def nearest_codes(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     n_codes = codes.count()
     segs = segments_for(n_codes)
     table = codes.select("code", "low", "n", F.posexplode(F.array(*[segment(F.col("code"), a, b) for a, b in segs])).alias("seg", "value"))
-    asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("asked")).where("asked is not null").distinct()
     # bound: distance of the last of `want` codes found so far; what lies beyond it can't be among the nearest
     active = materialise(asked.select("asked").distinct().withColumn("bound", F.lit(BITS)), "asked")
     best = spark.createDataFrame([], "asked long, code long, low long, n long, distance int")
@@ -102,8 +104,3 @@ def nearest_codes(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     pairs = asked.join(ids, "asked").where(~F.col("id").eqNullSafe(F.col("query_id")))
     ranked = pairs.withColumn("rank", F.row_number().over(in_order(F.struct("query_id", "asked"))))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias("neighbour_id"), "distance")
-
-
-def probes_up_to(bits: int, radius: int) -> int:
-    """Values within a radius of a segment's value."""
-    return sum(comb(bits, r) for r in range(radius + 1))

@@ -46,6 +46,13 @@ def test_nearest_codes_equal_brute_force(spark):
     assert not any(q == 900 for q, _ in got)
 
 
+def test_nearest_codes_of_an_id_with_several_codes(spark):
+    rows = [(0, c, "x") for c in range(6)] + [(i, 1 << (i % 60), "x") for i in range(1, 40)]
+    index = codes(spark, rows)
+    got = hamming_search.nearest_codes(index, index.where("id = 0"), 10).collect()
+    assert len(got) == 60 and not any(r["neighbour_id"] == 0 for r in got)
+
+
 def test_nearest_codes_of_few_rows_and_none(spark):
     two = codes(spark, [(0, 5, "x"), (100, -6, "x")])
     got = hamming_search.nearest_codes(two, two, 10).collect()
@@ -373,10 +380,22 @@ def test_counts_of_a_json_vocabulary(spark):
     assert [r["n_tokens"] for r in got] == [len(model.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="ab \n", max_size=80), st.integers(1, 10))
-def test_split_text_only_drops_single_spaces(text, most):
-    assert " ".join(token_counts.split_text(text, most)) == text
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="abth .,\n\t\u00a0\u3000\u2581\u00e9\u0301\u4e2d\u56fd<s/>\x00", max_size=120) | st.text(max_size=80), st.integers(1, 12))
+def test_split_texts_count_as_whole_ones(text, most):
+    model, _ = token_counts._sentencepiece(PIECE)
+    assert token_counts.count_batch([text], PIECE, 50, most) == [len(model.encode(text))]
+
+
+def test_long_texts_with_odd_spaces_and_without_any(spark):
+    rng = random.Random(7)
+    model, boundaries = token_counts._sentencepiece(PIECE)
+    texts = ["".join(rng.choices(["word", "the", "ing", " ", " ", " \u2581", "\u2581 ", "\u00a0", "\t"], k=12_000)) for _ in range(40)]
+    texts += ["".join(rng.choices("thequickbrownfox", k=200_000)), "\u4e2d\u56fd" * 60_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(df, PIECE).collect()}
+    assert got == {i: len(model.encode(t)) for i, t in enumerate(texts)}
+    assert len(token_counts.split_text(texts[-2], 1 << 15, boundaries)) > 4  # a text without spaces is cut too
 
 
 # ---- 8
@@ -441,6 +460,45 @@ def test_license_spans_with_edits(spark):
         license_scan.scan_text("x", (("ab", "l", 2),))
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = _next_row(row, i, x, b)
+    return row[-1]
+
+
+def _next_row(row, i, x, b):
+    new = [i]
+    for j, y in enumerate(b, 1):
+        new.append(min(row[j - 1] + (x != y), row[j] + 1, new[j - 1] + 1))
+    return new
+
+
+def test_fuzzy_notices_equal_brute_force():
+    rng = random.Random(12)
+    notices = (("mit license", "mit", 1), ("apache license", "apache", 1), ("under cc by nc", "nc", 1), ("gnu public license", "gpl", 3))
+    spoil = lambda w: w if rng.random() < 0.6 else (w[: (k := rng.randrange(len(w)))] + rng.choice(["", "q", w[k] + "z"]) + w[k + 1 :])
+    hits = 0
+    for _ in range(400):
+        words = []
+        while len(words) < 12:
+            words += [spoil(w) for w in rng.choice(notices)[0].split()] + rng.choices(["it", "nd", "other", "license", "words"], k=rng.randrange(3))
+        words = [w for w in words if w]
+        _, got = license_scan.scan_text(" ".join(words), notices)
+        want = set()
+        for n, (notice, _, edits) in enumerate(notices):
+            names = {w for w in notice.split() if len(w) <= 3}
+            for i in range(len(words)):
+                for j in range(i + 1, min(len(words), i + 7) + 1):
+                    if names <= set(words[i:j]) and distance(notice, " ".join(words[i:j])) <= edits:
+                        want.add((n, i, j))
+        # every match is one, and every match's place is reported, itself or a better one that overlaps it
+        assert all((n, i, i + k) in want for n, i, k, _ in got)
+        assert all(any(n == m and i < f + k and f < j for m, f, k, _ in got) for n, i, j in want)
+        hits += len(want)
+    assert hits > 500
+
+
 # ---- 10
 def toxic_sample(spark, n=600, seed=1):
     rng = random.Random(seed)
