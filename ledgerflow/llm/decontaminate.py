@@ -1,8 +1,8 @@
 """Benchmark decontamination by the q-gram lemma.
 
-Benchmark texts are cut into overlapping windows, long and short. A window of m characters with at most k edits shares at least
-m - q + 1 - k * q of its q-grams with the text, on diagonals no more than k apart. Each text is read once, as an array
-of characters: where a stretch of it holds too few benchmark q-grams it is passed over; in what is left, shared q-grams
+Benchmark texts are cut into overlapping windows, long and short. A window of m characters with at most k edits shares
+at least m - q + 1 - k * q of its q-grams with the text, on diagonals no more than k apart. Each text is read once, as
+an array of characters: where a stretch of it holds too few benchmark q-grams it is passed over; in what is left, shared q-grams
 are counted in overlapping bands of diagonals, and bands that meet the bound are verified by banded alignment.
 Documents are never shuffled; benchmark windows go to the tasks in blocks of bounded size.
 """
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import materialise
@@ -28,23 +28,27 @@ _WORD = re.compile(r"\S+")
 ALIGNED = 2_000
 
 
-def flat(col: Column) -> Column:
-    """Lower case, with one space between words."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(col.cast("string"), F.lit(""))), r"\s+", " "))
+def flat(text: str | None) -> str:
+    """Lower case, with one space between words: benchmark and documents alike go through this and nothing else.
+
+    White space is Unicode's, so no-break and ideographic spaces separate words too."""
+    return " ".join((text or "").lower().split())
 
 
 def windows(benchmark: DataFrame, length: int, step: int, part: int, part_step: int) -> DataFrame:
     """item_id, window: the text's windows of `length` and of `part` characters, the last ones ending with it.
 
     A shorter text is one window."""
-    text = benchmark.select("item_id", flat(F.col("text")).alias("flat")).where("flat <> ''")
 
-    def cut(size: int, by: int) -> DataFrame:
-        last = F.greatest(F.lit(0), F.length("flat") - size)
-        starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(by)), F.array(last)))
-        return text.select("item_id", F.explode(starts).alias("at"), "flat").select("item_id", F.substring("flat", F.col("at") + 1, F.lit(size)).alias("window"))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = flat(text)
+                starts = [(min(at, max(0, len(own) - size)), size) for size, by in ((length, step), (part, part_step)) for at in range(0, max(1, len(own) - size + by), by)]
+                found = sorted({own[at : at + size] for at, size in starts} - {""})
+                yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(found), pa.int64()), pa.array(found, pa.string())], ["item_id", "window"])
 
-    return cut(length, step).unionByName(cut(part, part_step))
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, "item_id long, window string")
 
 
 def characters(text: str) -> np.ndarray:
@@ -85,6 +89,9 @@ class Index:
     table: np.ndarray
     shift: np.uint64
     limits: list[tuple[int, int]]
+    #: Windows of fewer than q characters, looked for as they are, and how many words they have.
+    short: dict[str, list[int]]
+    short_words: list[int]
 
 
 def build_index(rows: list[tuple[int, str]], q: int, edit_rate: float) -> Index | None:
@@ -95,8 +102,14 @@ def build_index(rows: list[tuple[int, str]], q: int, edit_rate: float) -> Index
         k = max(0, min(int(edit_rate * len(chars)), (len(chars) - q) // q))
         if len(chars) >= q:
             kept.append((item, chars, k, len(chars) - q + 1 - k * q, text))
+    short: dict[str, list[int]] = {}
+    for item, text in rows:
+        if 0 < len(text) < q:
+            short.setdefault(text, []).append(item)
+    lengths = sorted({text.count(" ") + 1 for text in short})
     if not kept:
-        return None
+        none = np.zeros(0, np.int64)
+        return Index(q, [], [], [], none, none, none.astype(np.uint64), none, none, none, none.astype(bool), np.uint64(0), [], short, lengths) if short else None
     hashes = [gram_hashes(c, q) for _, c, *_ in kept]
     owners = np.repeat(np.arange(len(kept)), [len(h) for h in hashes])
     places = np.concatenate([np.arange(len(h)) for h in hashes])
@@ -113,13 +126,13 @@ def build_index(rows: list[tuple[int, str]], q: int, edit_rate: float) -> Index
     for i, x in enumerate(kept):
         alike.setdefault(len(x[1]).bit_length(), []).append(i)
     limits = [(int(need[of].min()), max(len(kept[i][1]) + kept[i][2] for i in of)) for of in alike.values()]
-    return Index(q, [x[0] for x in kept], [x[1] for x in kept], [x[4] for x in kept], edits, need, unique, np.append(starts, len(every)), owners[order], places[order], table, shift, limits)
+    return Index(q, [x[0] for x in kept], [x[1] for x in kept], [x[4] for x in kept], edits, need, unique, np.append(starts, len(every)), owners[order], places[order], table, shift, limits, short, lengths)
 
 
 def candidate_bands(index: Index, chars: np.ndarray) -> list[tuple[int, int]]:
     """(window, first diagonal) of each band that shares enough q-grams with a window."""
     h = gram_hashes(chars, index.q)
-    if not len(h):
+    if not len(h) or not index.items:
         return []
     maybe = index.table[(h >> index.shift).astype(np.int64)]
     at = np.flatnonzero(maybe)
@@ -218,7 +231,13 @@ def find_regions(index: Index, text: str) -> list[tuple[int, int, int, int]]:
             for (w, _), hit in zip(some, hits, strict=True):
                 if hit:
                     note(w, *hit)
-    return [(item, start, end, edits) for (item, start, end), edits in sorted(found.items())]
+    if index.short:
+        words, begins = text.split(" "), np.cumsum([0] + [len(w) + 1 for w in text.split(" ")]).tolist()
+        for n in index.short_words:
+            for i in range(len(words) - n + 1):
+                for item in index.short.get(" ".join(words[i : i + n]), ()):
+                    found[item, begins[i], begins[i + n] - 1] = 0
+    return [(item, start, end, edits) for (item, start, end), edits in found.items()]
 
 
 def spans_in_text(text: str, regions: list[tuple[int, int, int, int]]) -> list[dict]:
@@ -235,13 +254,13 @@ def contaminated_regions(
 ) -> DataFrame:
     """docs with the regions that match a window of benchmark (item_id, text) within edit_rate edits a character.
 
-    Adds n_regions, items (sorted, distinct) and regions: item, span in the text, edits; columns of docs with these
+    Adds n_regions, items (sorted, distinct) and regions in order: item, span in the text, edits; columns of docs with these
     names give way. Texts are compared in lower case with white space collapsed. Items shorter than q characters are
-    not looked for. Every row of docs comes back once; null and empty texts, and any text if the benchmark is empty,
+    found where their words stand as they are. Every row of docs comes back once; null and empty texts, and any text if the benchmark is empty,
     have no regions. The long windows allow edits to be bunched; the short ones find a leak of a part of an item: a
     verbatim stretch of an item of at least part + part_step - 1 characters (59) holds a whole short window and is
-    found for certain, wherever it begins. A shorter stretch of a longer item may be missed. One pass over docs for each block of about block_windows windows; a block is what the driver and
-    each task hold of the benchmark."""
+    found for certain, wherever it begins. A shorter stretch of a longer item may be missed. One pass over docs for each
+    block of about block_windows windows; a block is what the driver and each task hold of the benchmark."""
     found = docs.drop("n_regions", "items", "regions").withColumn("regions", F.array().cast(REGIONS))
     cut = materialise(windows(benchmark, window, step, part, part_step).distinct(), "windows")
     blocks = -(-cut.count() // block_windows)
@@ -251,15 +270,15 @@ def contaminated_regions(
         if index:
             found = found.mapInArrow(scanner(index, found.columns.index(text_col), found.columns.index("regions")), found.schema)
     items = F.array_sort(F.array_distinct(F.transform("regions", lambda r: r.item_id)))
-    return found.select(*[c for c in found.columns if c != "regions"], F.size("regions").alias("n_regions"), items.alias("items"), "regions")
+    return found.select(*[c for c in found.columns if c != "regions"], F.size("regions").alias("n_regions"), items.alias("items"), F.array_sort("regions").alias("regions"))
 
 
 def scanner(index: Index, text_at: int, regions_at: int):
     """A pass over Arrow batches that adds the block's regions to those found before."""
 
     def one(text: str | None, before: list) -> list:
-        words = (text or "").lower().split()
-        regions = find_regions(index, " ".join(words)) if words else []
+        own = flat(text)
+        regions = find_regions(index, own) if own else []
         return before + spans_in_text(text, regions) if regions else before
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -324,6 +324,19 @@ def decontaminate_flat(text):
     return " ".join(text.lower().split())
 
 
+def test_leaks_with_other_spaces_and_short_items(spark):
+    rng = random.Random(3)
+    words = lambda n, gap=" ": gap.join("".join(rng.choices("abcdefghij\u00e9\u4e2d", k=6)) for _ in range(n))
+    items = [(1, words(20, "\u00a0")), (2, words(20, "\u3000")), (3, words(18).replace(" ", "\u2009 ", 3)), (4, "a b"), (5, "b\u00a0C"), (6, "xyz"), (7, " \u3000 "), (None, words(20, "\x1f"))]
+    rows = [(i, f"{words(5)} {t} {words(5)}") for i, t in enumerate(t for _, t in items[:3])] + [(3, items[0][1]), (4, items[1][1].replace("\u3000", " ")), (5, "x a\u3000B c xyzz"), (6, "xyz"), (7, "xyzxyz \u00a0"), (8, items[7][1]), (9, f"{items[0][1]} {items[7][1]} xyz")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (20_000, 3):
+        got = {r["doc_id"]: r for r in decontaminate.contaminated_regions(docs, bench, block_windows=block).collect()}
+        assert {k: r["items"] for k, r in got.items()} == {0: [1], 1: [2], 2: [3], 3: [1], 4: [2], 5: [4, 5], 6: [6], 7: [], 8: [None], 9: [1, 6, None]}
+        assert [(rows[5][1][r["start"] : r["end"]], r["edits"]) for r in got[5]["regions"]] == [("a\u3000B", 0), ("B c", 0)]
+    assert decontaminate.contaminated_regions(docs, bench.where("item_id = 6")).where("n_regions > 0").count() == 2
+
+
 def test_leaks_are_found_and_placed(spark):
     rng = random.Random(2)
     words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
