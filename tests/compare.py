@@ -12,6 +12,8 @@ def duck(directory):
     con = duckdb.connect()
     for t in TABLES:
         path = f"{directory}/{t}.parquet"
+        if not os.path.exists(path):
+            continue
         con.execute(f"create view {t} as select * from '{path + '/*.parquet' if os.path.isdir(path) else path}'")
     return con
 
