@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +19,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=8)
+def _local_dir(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh local one where it is unset."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if at:
-        return at
-    at = "file://" + tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    """A folder of this application below spark.checkpoint.dir, which driver and executors share.
+
+    Where that is unset a local master gets a fresh folder of this machine; on a cluster it is an error."""
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not at:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        at = _local_dir(context.applicationId)
+    return f"{at}/ledgerflow-{context.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes what this application has written to the shared folder. Results not yet computed are lost with it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -15,14 +15,13 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import shared_dir
+from ledgerflow.llm.common import materialise, shared_dir
 
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
-SALTS = 16
 FIELDS = "record_id string, record_type string, url string, refers_to string, origin string, segment long, total_length long, declared_digest string, block binary"
 
 
@@ -96,23 +95,29 @@ def write_archives(captures: DataFrame, path: str | None = None, min_revisit_byt
     """Writes (capture_id long, url, payload binary) as gzip WARC files below path and returns the path.
 
     Of captures with equal payloads of at least min_revisit_bytes, the one with the largest id is a response and the
-    others are revisits of it; smaller payloads are all responses. Captures equal in id and payload make records of one
-    id; those that share an id but not the payload stay apart. A null payload is empty, a null url too; a null id is
-    smaller than any other. An archive holds at most records_per_file records of segment_bytes each."""
+    others are revisits of it; smaller payloads are all responses. Each row makes a record of its own: rows equal in id
+    and payload are numbered in order of their urls, and the first of them is the response. A null payload is empty, a
+    null url too; a null id is smaller than any other. An archive holds at most records_per_file records of
+    segment_bytes each."""
     path = path or f"{shared_dir(captures.sparkSession)}/warc-{uuid.uuid4().hex}"
     rows = captures.select(F.col("capture_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("payload", F.lit(b"")).alias("payload")).withColumn("digest", F.sha1("payload"))
+    # What many captures may have in common is joined from tables on both sides, so that Spark can split a hot payload.
     same = rows.where(F.length("payload") >= min_revisit_bytes).groupBy("digest").agg(F.max("capture_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Payloads that a large share of the captures have in common are dealt out by salt.
-    same = same.select("digest", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "last")
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("capture_id", "url"), F.lit(SALTS)).cast("int"))
-    marked = salted.join(same, ["digest", "salt"], "left").select("capture_id", "url", "payload", "digest", F.when(F.col("capture_id").eqNullSafe(F.col("last")), None).otherwise(F.col("last")).alias("refers_to"))
+    same = materialise(same.select("digest", "last", F.lit(True).alias("shared")), "payloads")
+    key = [F.col("capture_id").isNull().alias("no_id"), F.coalesce("capture_id", F.lit(0)).alias("id"), "digest"]
+    may_repeat = rows if min_revisit_bytes > 0 else rows.join(same.select("digest"), "digest", "left_semi")
+    again = materialise(may_repeat.groupBy(*key).count().where("count > 1").drop("count"), "repeated")
+    marked = rows.join(same, "digest", "left").select("capture_id", "url", "payload", "digest", "last", F.coalesce("shared", F.lit(False)).alias("shared"))
+    marked = numbered(marked, again) if not again.isEmpty() else marked.withColumn("number", F.lit(0).cast("long"))
+    response = ~F.col("shared") | (F.col("capture_id").eqNullSafe(F.col("last")) & (F.col("number") == 0))
+    marked = marked.select("capture_id", "url", "payload", "digest", "number", "last", response.alias("response"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = lambda i, digest: f"urn:capture:{i if i is not None else ''}:{digest}"
+        name = lambda i, digest, number: f"urn:capture:{i if i is not None else ''}:{digest}:{number}"
         for batch in batches:
-            for capture, url, payload, digest, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                target = None if refers is None else name(refers, digest)
-                own = list(records_of(name(capture, digest), url, payload, target, segment_bytes, chunk_bytes))
+            for capture, url, payload, digest, number, last, response in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                target = None if response else name(last, digest, 0)
+                own = list(records_of(name(capture, digest, number), url, payload, target, segment_bytes, chunk_bytes))
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], ["value"])
 
     lines = marked.mapInArrow(encode, "value binary").select(F.col("value").cast("string").alias("value"))
@@ -120,6 +125,21 @@ def write_archives(captures: DataFrame, path: str | None = None, min_revisit_byt
     return path
 
 
+def numbered(marked: DataFrame, again: DataFrame) -> DataFrame:
+    """marked with number: 0 but for rows equal in id and digest (no_id, id, digest of again), which count from 0.
+
+    Only the counts of such rows are put in order; equal rows are one, with its count, while they move."""
+    key = [F.col("capture_id").isNull().alias("no_id"), F.coalesce("capture_id", F.lit(0)).alias("id")]
+    marked = marked.select("*", *key)
+    on = ["no_id", "id", "digest"]
+    single = marked.join(again, on, "left_anti").withColumn("number", F.lit(0).cast("long"))
+    counts = marked.join(again, on, "left_semi").groupBy(*on, "url", "last", "shared").agg(F.count(F.lit(1)).alias("n"), F.first("payload").alias("payload"))
+    before = Window.partitionBy(*on).orderBy("url").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    repeated = starts.withColumn("number", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)))
+    return single.unionByName(repeated.select(*on, "url", "last", "shared", "payload", "number", F.when(~F.col("no_id"), F.col("id")).alias("capture_id"))).drop("no_id", "id")
+
+
 def parse_archive(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (names in lower case) and block of each record of an archive; a cut-off record ends it."""
     while True:
