@@ -1,8 +1,8 @@
 """URL filters: host and path rules, and gradient-boosted trees on lexical features of the URL.
 
-Everything is a DataFrame function: features are column expressions, the trees are fitted on a bounded sample of
-labelled URLs, and scoring is a map over the rows. The only join is with the suffix statistics, which hold at most
-one row for each row of the sample.
+Everything is a DataFrame function: features are column expressions, suffix statistics are counted over all labelled
+URLs, the trees are fitted on a bounded sample of them, and scoring is a map over the rows. The only join is with the
+suffix statistics, which are broadcast as long as they are few.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import ascii_lower, materialise
+from ledgerflow.llm.components import BROADCAST_ROWS
 
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: Characters whose shares make up the entropy; anything else counts as one more.
@@ -87,38 +88,50 @@ def lexical_features(urls: DataFrame) -> DataFrame:
 class UrlModel:
     """Fitted trees and the suffix statistics they rely on."""
 
-    def __init__(self, trees: GBTClassificationModel, suffixes: DataFrame, rate: float):
-        self.trees, self.suffixes, self.rate = trees, suffixes, rate
+    def __init__(self, trees: GBTClassificationModel | None, suffixes: DataFrame, rate: float):
+        self.trees, self.rate = trees, rate
+        self.suffixes = F.broadcast(suffixes) if suffixes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else suffixes
 
     def score(self, urls: DataFrame) -> DataFrame:
         """urls (url, host, path, ...) plus block_score, the probability that a URL should be blocked."""
-        joined = lexical_features(urls).join(F.broadcast(self.suffixes), "suffix", "left")
+        joined = lexical_features(urls).join(self.suffixes, "suffix", "left")
         rate = (F.coalesce("s_bad", F.lit(0.0)) + 5 * self.rate) / (F.coalesce("s_n", F.lit(0)) + 5)
         ready = joined.withColumn("suffix_rate", rate).withColumn("suffix_log_n", F.log1p(F.coalesce("s_n", F.lit(0)).cast("double")))
         out = self.trees.transform(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(ready))
         return out.select(*urls.columns, vector_to_array("probability")[1].alias("block_score"))
 
 
+def listed(host: Column, words: tuple[str, ...]) -> Column:
+    """Whether one of a host's labels, cut at hyphens, is one of words; false for null."""
+    return F.coalesce(F.arrays_overlap(F.split(host, r"[.-]"), F.array(*map(F.lit, words))), F.lit(False))
+
+
 def train(labelled: DataFrame, max_rows: int = 40_000, trees: int = 12, depth: int = 4, seed: int = 7) -> UrlModel:
-    """Trees fitted on at most about max_rows rows of labelled (url, label: 1 block, 0 allow).
-
-    Rows are drawn by a hash of the url, so reruns agree. A row's own label is left out of its suffix statistics.
-    Rows without a label are not used; without both labels, one row of each is added so that trees can be fitted."""
-    rows = labelled.where("label is not null").select("url", F.col("label").cast("double").alias("label"))
-    share = min(1.0, max_rows / max(1, rows.count()))
-    place = F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)
-    sample = rows.where(place < share) if share < 1 else rows
+    """Trees fitted on at most about max_rows rows of labelled (url, label: 1 block, 0 allow; key, if there is one).
+
+    Suffix statistics cover all labelled rows; a row's own label is left out of its statistics. The sample is drawn by
+    a hash of url and key, which tells rows of one url apart, so reruns agree; never more than twice max_rows are
+    taken, whatever the table holds. Rows without a label are not used; without both labels, one row of each is added
+    so that trees can be fitted."""
+    key = F.col("key") if "key" in labelled.columns else F.lit(0)
+    place = F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), key, F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)
+    rows = labelled.where("label is not null").select("url", F.col("label").cast("double").alias("label"), host_of(F.col("url")).alias("host"), place.alias("place"))
+    rows = materialise(rows.withColumn("suffix", suffix_of(F.col("host"))), "labelled")
+    suffixes = materialise(rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("s_n"), F.sum("label").alias("s_bad")), "suffixes")
+    n, bad = suffixes.agg(F.sum("s_n"), F.sum("s_bad")).first()
+    rate = bad / n if n else 0.5
+    sample = rows.where(F.col("place") < max_rows / max(1, n or 0)).select("url", "label").limit(2 * max_rows)
     both = sample.sparkSession.createDataFrame([("", 0.0), ("", 1.0)], sample.schema)
     seen = {r[0] for r in sample.select("label").distinct().collect()}
     sample = sample.unionByName(both.where(~F.col("label").isin([float(x) for x in seen]))) if len(seen) < 2 else sample
     sample = materialise(lexical_features(sample.withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))), "urls")
-    rate = sample.agg(F.avg("label")).first()[0]
-    suffixes = materialise(sample.groupBy("suffix").agg(F.count(F.lit(1)).alias("s_n"), F.sum("label").alias("s_bad")), "suffixes")
-    own = sample.join(F.broadcast(suffixes), "suffix")
-    own = own.withColumn("suffix_rate", (F.col("s_bad") - F.col("label") + 5 * rate) / (F.col("s_n") - 1 + 5)).withColumn("suffix_log_n", F.log1p((F.col("s_n") - 1).cast("double")))
+    model = UrlModel(None, suffixes, float(rate))
+    own = sample.join(model.suffixes, "suffix", "left")
+    others, others_bad = F.greatest(F.coalesce("s_n", F.lit(0)) - 1, F.lit(0)), F.greatest(F.coalesce("s_bad", F.lit(0.0)) - F.col("label"), F.lit(0.0))
+    own = own.withColumn("suffix_rate", (others_bad + 5 * rate) / (others + 5)).withColumn("suffix_log_n", F.log1p(others.cast("double")))
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(own).select("features", "label")
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=32, subsamplingRate=1.0).fit(ready)
-    return UrlModel(model, suffixes, float(rate))
+    model.trees = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxBins=32, subsamplingRate=1.0).fit(ready)
+    return model
 
 
 def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...], model: UrlModel, threshold: float = 0.5) -> DataFrame:
