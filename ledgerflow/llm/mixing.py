@@ -8,10 +8,11 @@ above the source's size repeats whole epochs first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import materialise
+from ledgerflow.llm.common import materialise, word_count
+from ledgerflow.llm.components import BROADCAST_ROWS
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
@@ -42,7 +43,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int
     order, which changes nothing in the result. A null size counts 0, a null source is a source of its own, a null
     doc_id is hashed as such. range_rows: documents in a range of keys, on average."""
     rows = docs.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"))
-    rows = rows.withColumn("source_key", F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit(""))))
+    rows = rows.withColumn("source_key", source_key())
     rows = materialise(rows, "sizes")
     sources = rows.groupBy("source_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     ranges = F.ceil(F.col("n") / range_rows).cast("long")
@@ -50,8 +51,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int
     targets = targets.drop("source").join(sources.select("source_key", ranges.alias("ranges")), "source_key")
     targets = materialise(targets, "targets")
     # A place in [0, 2^32) by the key's first digits; ranges of equal width hold about equally many documents.
-    key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    keyed = rows.join(targets, "source_key").withColumn("key", key)
+    keyed = rows.join(targets, "source_key").withColumn("key", hash_key(seed))
     keyed = keyed.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("ranges") / F.lit(1 << 32)).cast("int"))
     sums = rows_before(keyed)
     inside = Window.partitionBy("source_key", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,6 +66,37 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int
     )
 
 
+def source_key() -> Column:
+    return F.concat(F.when(F.col("source").isNull(), "-").otherwise("+"), F.coalesce("source", F.lit("")))
+
+
+def hash_key(seed: str) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
+def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix") -> DataFrame:
+    """docs (doc_id, source, text, any more) plus size in words, target, epochs and taken, as mix() takes them.
+
+    Texts are not moved: a source has one cut in the order of keys and sizes, and each row lies before, behind or at
+    it. Rows at the cut are equal in id and size; they get equal parts, rounded down, of what mix() takes of them.
+    Columns of docs named like a result give way."""
+    made = ["size", "target", "epochs", "taken"]
+    own = docs.drop(*made).withColumn("size", word_count(F.col("text")))
+    mixed = mix(own.select("doc_id", "source", "size"), weights, max_epochs, seed).withColumn("extra", F.col("taken") - F.col("epochs") * F.col("size"))
+    place = F.struct(hash_key(seed).alias("key"), "size")
+    placed = materialise(mixed.select(source_key().alias("mix_source"), place.alias("mix_place"), "extra", "target", "epochs"), "mixed")
+    cuts = placed.groupBy("mix_source").agg(F.max(F.when(F.col("extra") > 0, F.col("mix_place"))).alias("mix_cut"), F.first("target").alias("target"), F.first("epochs").alias("epochs"))
+    cuts = materialise(cuts, "cuts")
+    small = cuts.count() <= BROADCAST_ROWS
+    few = F.broadcast(cuts) if small else cuts
+    at_cut = placed.join(few.select("mix_source", "mix_cut"), "mix_source").where("mix_place = mix_cut").groupBy("mix_source").agg(F.floor(F.sum("extra") / F.count(F.lit(1))).alias("mix_rest"))
+    cuts = cuts.join(at_cut, "mix_source", "left")
+    joined = own.withColumn("mix_source", source_key()).join(F.broadcast(cuts) if small else cuts, "mix_source").withColumn("mix_place", place)
+    extra = F.when(F.col("mix_place") < F.col("mix_cut"), F.col("size")).when(F.col("mix_place") == F.col("mix_cut"), F.col("mix_rest")).otherwise(0)
+    taken = (F.col("epochs") * F.col("size") + extra).cast("long").alias("taken")
+    return joined.select(*[c for c in docs.columns if c not in made], "size", "target", "epochs", taken)
+
+
 def rows_before(keyed: DataFrame) -> DataFrame:
     """source_key, range, offset: tokens in the earlier ranges of the source."""
     sums = keyed.groupBy("source_key", "range").agg(F.sum("size").alias("in_range"))

@@ -96,23 +96,26 @@ def digest(text: str) -> str:
 
 # Verdict and rule (host and path).
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+# Words that name sites to block when they stand in a host.
+BLOCK_WORDS = ("casino", "bets", "ads", "spam", "pills", "adult")
 # End of the fixed values.
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdicts on all pages. The trees learn from the rules' verdicts and, elsewhere, from junk marks in the pages."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    _, by_rule = url_filter.rule_for(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url")), URL_RULES)
-    junk = F.regexp_count(F.coalesce("html", F.lit("")), F.lit(r"%%%|\*\*\*|###|\$\$\$|(&amp;){3}")) >= 10
-    labelled = pages.select("url", F.when(by_rule == "block", 1.0).when(by_rule == "allow", 0.0).when(junk, 1.0).otherwise(0.0).alias("label"))
-    judged = url_filter.filter_urls(pages.select("page_id", "url"), URL_RULES, url_filter.train(labelled))
+    """Verdicts on all pages. The trees learn from the rules' verdicts and, where no rule fits, from listed host words."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    host = url_filter.host_of(F.col("url"))
+    _, by_rule = url_filter.rule_for(host, url_filter.path_of(F.col("url")), URL_RULES)
+    label = F.when(by_rule == "block", 1.0).when(by_rule == "allow", 0.0).when(url_filter.listed(host, BLOCK_WORDS), 1.0).otherwise(0.0)
+    labelled = pages.select("url", F.col("page_id").alias("key"), label.alias("label"))
+    judged = url_filter.filter_urls(pages, URL_RULES, url_filter.train(labelled))
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back; revisits get size and digest of the response they refer to.
 
-    Rows equal in page_id and payload are one page."""
+    One row for each row of pages; of rows equal in page_id and payload, one is the response and the others revisit it."""
     pages = table(spark, sf_dir, "pages")
     at = warc.write_archives(pages.select(F.col("page_id").alias("capture_id"), "url", F.encode("html", "UTF-8").alias("payload")))
     whole = warc.reassemble(warc.read_archives(spark, at))
@@ -120,28 +123,29 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whole.select(
         number(F.col("record_id")).alias("page_id"), "record_id", "record_type", "refers_to", F.length("payload").cast("long").alias("payload_bytes"), F.substring_index("declared_digest", ":", -1).alias("payload_digest")
     )
-    found = materialise(found.dropDuplicates(["record_id"]), "records")
-    # Every revisit is looked up; responses that many refer to are dealt out by salt.
-    salt = F.pmod(F.xxhash64("record_id"), F.lit(warc.SALTS)).cast("int")
-    responses = found.where("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("page_id").alias("target_page"), F.col("payload_bytes").alias("target_bytes"), F.explode(F.sequence(F.lit(0), F.lit(warc.SALTS - 1))).alias("salt"))
-    revisits = found.where("record_type = 'revisit'").withColumn("salt", salt)
-    resolved = revisits.join(responses, (revisits.refers_to == responses.target) & (revisits.salt == responses.salt), "left")
-    return found.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).unionByName(
-        resolved.select("page_id", F.col("target_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("target_page").alias("refers_to"))
+    found = materialise(found, "records")
+    # Every revisit is looked up; both sides are tables, so Spark splits a response that many refer to.
+    responses = found.where("record_type = 'response'")
+    targets = responses.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("target_page"), F.col("payload_bytes").alias("target_bytes"))
+    revisits = found.where("record_type = 'revisit'").drop("payload_bytes").join(targets, "refers_to", "left")
+    return responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).unionByName(
+        revisits.select("page_id", F.col("target_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("target_page").alias("refers_to"))
     )
 
 
 ORACLE_OP5 = """
-with p as (select distinct page_id, coalesce(html, '') as body from pages),
-latest as (select body, max(page_id) as last from p group by body),
+with p as (select page_id, coalesce(html, '') as body from pages),
+latest as (
+    select page_id, body, first_value(page_id) over by_size as last, row_number() over by_size as place from p
+    window by_size as (partition by body order by page_id desc nulls last)),
 digits as (
     -- SHA-1 as 160 bits, five at a time
-    select p.page_id, p.body, last, list_aggregate(list_transform(range(0, 32), lambda i:
+    select page_id, body, last, place, list_aggregate(list_transform(range(0, 32), lambda i:
         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_aggregate(list_transform(range(0, 5), lambda j:
-            ((('0x' || substr(sha1(p.body), ((i * 5 + j) // 4 + 1)::int, 1))::int >> (3 - (i * 5 + j) % 4)) & 1) << (4 - j)), 'sum')::int, 1)), 'string_agg', '') as digest
-    from p join latest on p.body = latest.body)
+            ((('0x' || substr(sha1(body), ((i * 5 + j) // 4 + 1)::int, 1))::int >> (3 - (i * 5 + j) % 4)) & 1) << (4 - j)), 'sum')::int, 1)), 'string_agg', '') as digest
+    from latest)
 select page_id, octet_length(encode(body))::bigint as payload_bytes, digest as payload_digest,
-    case when page_id = last then 'response' else 'revisit' end as record_type, case when page_id <> last then last end as refers_to
+    case when place = 1 then 'response' else 'revisit' end as record_type, case when place > 1 then last end as refers_to
 from digits
 """
 
@@ -193,10 +197,9 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chain probabilities and decisions for all documents."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    chain = toxicity.train_chain(toxicity.labelled_sample(docs, labels, TOXIC_SAMPLE), ["toxic"])
-    return chain.predict(docs.select("doc_id", "text")).drop("text")
+    """Probabilities and decisions of the chain poor, dense, toxic for all documents."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    return toxicity.toxicity_chain(docs, labels, TOXIC_SAMPLE).predict(docs).drop("text")
 
 
 #: Labelled documents that the toxicity chain is fitted on, at most about.

@@ -1,6 +1,6 @@
 """Toxicity by classifier chains.
 
-One linear model for each category, in order. A later model also sees the earlier categories' probabilities; while it
+One linear model for each category, in order; the one that decides comes last. A later model also sees the earlier categories' probabilities; while it
 is trained these come from models that haven't seen the row (out of fold), so that it meets the same kind of input as
 later, in use. Models are fitted on a bounded sample of labelled rows; scoring is a map over all rows.
 """
@@ -108,6 +108,18 @@ def best_threshold(scored: DataFrame, p: str, label: str) -> float:
     return grid[max(range(len(grid)), key=lambda i: (round(f1(i), 6), -abs(grid[i] - 0.5)))]
 
 
+def toxicity_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, poor, toxic: the categories of the tables' labels, poor being what isn't of quality."""
+    return labels.select("doc_id", (1 - F.col("quality").cast("int")).alias("poor"), "toxic")
+
+
+def toxicity_chain(docs: DataFrame, labels: DataFrame, max_rows: int) -> Chain:
+    """The chain poor, dense, toxic, fitted on at most about max_rows of the labelled docs (doc_id, text).
+
+    labels: doc_id, quality, toxic, of which each may be null. p_toxic uses p_poor and p_dense."""
+    return train_chain(labelled_sample(docs, toxicity_labels(labels), max_rows), ["poor", "toxic"], dense="toxic")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int = 11) -> DataFrame:
     """Rows of docs with their labels, at most about max_rows, drawn by a hash of doc_id.
 
@@ -120,25 +132,22 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int
     return docs.join(F.broadcast(one.where(place < share).limit(2 * max_rows)), "doc_id")
 
 
-def train_chain(sample: DataFrame, categories: list[str], folds: int = 3, max_terms: int = 2_000, dense: bool = True, seed: int = 11) -> Chain:
+def train_chain(sample: DataFrame, categories: list[str], folds: int = 3, max_terms: int = 2_000, dense: str | None = None, seed: int = 11) -> Chain:
     """A chain fitted on sample (doc_id, text, a column of 0/1 for each category; null: not labelled).
 
-    dense: adds the category `dense` after the others: rows of the first category whose share of that category's terms
-    among their words is at least the median of such rows. A category with one class only gets that class as its
-    constant probability; an empty sample gives 0."""
+    dense: a category in front of which `dense` is put: its rows whose share of its terms among their words is at
+    least the median of such rows. A category with one class only gets that class as its constant probability; an empty
+    sample gives 0."""
     rows = sample.select("doc_id", *categories, F.coalesce(F.col("text"), F.lit("")).alias("text"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(folds)).cast("int")
     rows = materialise(rows.select("doc_id", *categories, terms(F.col("text")).alias("terms"), fold.alias("fold")), "toxic-sample")
-    vocabulary = sorted({t for c in categories for t in select_terms(rows, c, max_terms)})
-    categories = list(categories)
-    vectors = with_vectors(rows.withColumn("n_terms", F.size("terms")), vocabulary)
+    chosen = {c: select_terms(rows, c, max_terms) for c in categories}
+    vocabulary = sorted(set().union(*chosen.values()))
     if dense:
-        density = F.size(F.col("hits")) / F.greatest(F.col("n_terms"), F.lit(1))
-        vectors = vectors.withColumn("hits", F.filter(vector_to_array("x_terms"), lambda x: x > 0)).withColumn("density", density).drop("hits")
-        middle = vectors.where(F.col(categories[0]) == 1).agg(F.percentile("density", 0.5)).first()[0]
-        vectors = vectors.withColumn("dense", F.when(F.col(categories[0]).isNotNull(), ((F.col(categories[0]) == 1) & (F.col("density") >= F.lit(middle if middle is not None else 0.0))).cast("int")))
-        categories.append("dense")
-    vectors = materialise(vectors.select("doc_id", "fold", "x_terms", *categories), "toxic-vectors")
+        rows = with_density(rows, dense, sorted(chosen[dense]))
+        at = categories.index(dense)
+        categories = [*categories[:at], "dense", *categories[at:]]
+    vectors = materialise(with_vectors(rows, vocabulary).select("doc_id", "fold", "x_terms", *categories), "toxic-vectors")
     inputs, models, thresholds = ["x_terms"], [], []
     for c in categories:
         parts = [fit_one(vectors.where(F.col("fold") != f), c, inputs).score(vectors.where(F.col("fold") == f), f"p_{c}") for f in range(folds)]
@@ -147,3 +156,13 @@ def train_chain(sample: DataFrame, categories: list[str], folds: int = 3, max_te
         thresholds.append(best_threshold(out_of_fold, f"p_{c}", c))
         vectors, inputs = out_of_fold, [*inputs, f"p_{c}"]
     return Chain(categories, vocabulary, models, thresholds)
+
+
+def with_density(rows: DataFrame, category: str, own_terms: list[str]) -> DataFrame:
+    """rows plus dense: 1 for those of the category that hold its terms most densely, 0 for others, null where it is null."""
+    scored = with_vectors(rows.withColumn("kept", F.col("terms")), own_terms).withColumnRenamed("kept", "terms")
+    hits = F.size(F.filter(vector_to_array("x_terms"), lambda x: x > 0))
+    scored = scored.withColumn("density", hits / F.greatest(F.size("terms"), F.lit(1))).drop("x_terms")
+    middle = scored.where(F.col(category) == 1).agg(F.percentile("density", 0.5)).first()[0]
+    is_dense = (F.col(category) == 1) & (F.col("density") >= F.lit(middle if middle is not None else 0.0))
+    return scored.withColumn("dense", F.when(F.col(category).isNotNull(), is_dense.cast("int"))).drop("density")

@@ -9,6 +9,8 @@ pytest.importorskip("public_tokenizers")
 import corpus_pipeline  # noqa: E402
 from ledgerflow.llm import queries  # noqa: E402
 
+from ..compare import canonical, duck  # noqa: E402
+
 TABLES = {"documents": "doc_id", "labels": "doc_id", "benchmark": "item_id", "pages": "page_id", "conversations": "conv_id", "embeddings": "vec_id"}
 # Names that the operators give to columns of their own.
 CLASHING = ["terms", "x_terms", "x_in", "p_toxic", "IS_TOXIC", "toxic_", "n_regions", "regions", "items", "size", "taken", "salt", "key", "component_id", "n_shingles", "features", "host", "suffix", "digest", "tree", "path", "code", "id", "matches", "n_tokens", "count"]
@@ -59,6 +61,13 @@ def keys(df, key):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_on_hostile_tables(spark, hostile, name):
     got = queries.QUERIES[name](spark, hostile)
+    if name in ("op2_ngram_join", "op5_warc"):  # the other formulations don't cover null keys
+        want = duck(hostile).execute(queries.ORACLE[name]).df()
+        if name == "op2_ngram_join":
+            got, want = got.where("doc_id is not null"), want[want["doc_id"].notna()]
+        got = got.toPandas()
+        assert sorted(got.columns) == sorted(want.columns) and canonical(got) == canonical(want)
+        return
     if name == "op1_hamming_search":
         index = spark.read.parquet(f"{hostile}/embeddings.parquet").where("embedding is not null")
         asked = index.select("vec_id", "embedding").distinct().where("vec_id % 100 = 0").count()
@@ -69,8 +78,6 @@ def test_query_on_hostile_tables(spark, hostile, name):
         assert {r["conv_id"]: r["n_turns"] for r in got.collect()} == {**want, -1: 2}
     elif name in ("op4_url_filter", "op5_warc"):
         pages = spark.read.parquet(f"{hostile}/pages.parquet")
-        if name == "op5_warc":  # equal in id and payload: one record
-            pages = pages.withColumn("html", F.coalesce("html", F.lit(""))).dropDuplicates(["page_id", "html"])
         assert keys(got, "page_id") == keys(pages, "page_id")
     else:
         assert keys(got, "doc_id") == keys(spark.read.parquet(f"{hostile}/documents.parquet"), "doc_id")
