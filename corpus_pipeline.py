@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerflow.llm import decontaminate, mixing, ngram_join, toxicity
-from ledgerflow.llm.common import materialise, table, word_count
+from ledgerflow.llm.common import materialise, table
 from ledgerflow.llm.components import join_ids
 
 #: Labelled documents that the toxicity chain is fitted on, at most about.
@@ -19,10 +18,12 @@ def aside(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't call toxic."""
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    chain = toxicity.train_chain(toxicity.labelled_sample(docs.select("doc_id", "text"), labels, TOXIC_SAMPLE), ["toxic"])
-    return chain.predict(aside(docs)).where("not is_toxic").drop("p_toxic", "is_toxic", "p_dense", "is_dense").toDF(*docs.columns)
+    """Documents that the classifier chain doesn't call toxic.
+
+    Each row is judged by itself, so repeated rows go or stay together; null and empty texts stay."""
+    chain = toxicity.toxicity_chain(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), TOXIC_SAMPLE)
+    made = [f"{x}_{c}" for c in chain.categories for x in ("p", "is")]
+    return chain.predict(aside(docs)).where("not is_toxic").drop(*made).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,14 +40,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a region of a benchmark text."""
+    """Documents without a region of a benchmark text. Each row is judged by itself; null and empty texts stay."""
     found = decontaminate.contaminated_regions(aside(docs), table(spark, sf_dir, "benchmark"))
     return found.where("n_regions = 0").drop("n_regions", "items", "regions").toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, size, target, epochs and the words taken of every document of which the mix takes some."""
-    return mixing.mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))).where("taken > 0")
+    """The documents of which the mix takes some, with all their columns, and size, target, epochs and the words taken.
+
+    Null and empty texts have no words, so the mix takes none of them; a null source is one more source. Rows that
+    share an id and a size are taken alike."""
+    return mixing.mix_documents(docs).where("taken > 0")
 
 
 STAGES = [
