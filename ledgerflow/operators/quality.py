@@ -70,6 +70,17 @@ class Check:
     severity: str = "error"
 
 
+class ChecksFailed(RuntimeError):
+    pass
+
+
+def require_passed(results: list[tuple[str, str, int, str]]) -> None:
+    """Raises if a check of severity error failed, naming all of those."""
+    failed = [f"{name} ({n} rows)" for name, _, n, status in results if status == "error"]
+    if failed:
+        raise ChecksFailed("; ".join(failed))
+
+
 def run_checks(checks: list[Check]) -> list[tuple[str, str, int, str]]:
     """(name, severity, failing rows, status) of each check."""
     out = []

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.config import Params
 from ledgerflow.operators.change import loaded_since, snapshot, upsert
+from ledgerflow.operators.quality import require_passed, run_checks
 from ledgerflow.plans import aml, controls, core, finance, staging
+from ledgerflow.plans.checks import model_checks
 from ledgerflow.plans.staging import BY_FILE
 from ledgerflow.sources.seeds import mcc_codes, transaction_types
-from ledgerflow.sources.tables import Warehouse
+from ledgerflow.sources.tables import Warehouse, month_partition
 
 
-def build(warehouse: Warehouse, p: Params = Params(), full_refresh: bool = False) -> dict[str, DataFrame]:
-    """Builds every table from the landed text and returns the new versions by name.
+def build(warehouse: Warehouse, p: Params = Params(), full_refresh: bool = False, check: bool = True) -> dict[str, DataFrame]:
+    """Builds every table from the landed text and returns the new tables by name.
 
-    The fact, the quarantine and the balances are merged from rows loaded since the last build, unless full_refresh."""
+    The fact, the quarantine and the balances are merged from rows loaded since the last build, unless full_refresh;
+    only months that something changed in are written again. Quarantined rows that are valid by now are released into
+    the fact. With check, the tables are checked in the end, and a failing check of severity error raises."""
     spark = warehouse.spark
     raw = {e: warehouse.read(f"raw_{e}") for e in ("customers", "accounts", "merchants", "fx_rates", "transactions")}
     before = (lambda name: None) if full_refresh else warehouse.read
@@ -30,14 +36,21 @@ def build(warehouse: Warehouse, p: Params = Params(), full_refresh: bool = False
         "snap_accounts": warehouse.replace(snapshot(before("snap_accounts"), core.dim_account(accounts), "account_id", "updated_at"), "snap_accounts"),
     }
     validated = core.validate(staging.stg_transactions(raw["transactions"]), out["dim_account"])
-    old_fct, old_bad = before("fct_transactions"), before("dq_rejected_transactions")
-    batch = core.fct_transactions(loaded_since(validated, old_fct, lookback_hours=p.incremental_lookback_hours), out["fx_rates_daily"], transaction_types(spark))
-    out["fct_transactions"] = warehouse.replace(upsert(old_fct, batch, ["txn_id"], BY_FILE), "fct_transactions", cluster_by="txn_date", bloom="txn_id")
-    bad = core.quarantine(loaded_since(validated, old_bad, lookback_hours=p.incremental_lookback_hours))
-    out["dq_rejected_transactions"] = warehouse.replace(upsert(old_bad, bad, ["_source_file", "_source_row"]), "dq_rejected_transactions")
-    balances = core.incremental_balance(before("fct_account_daily_balance"), out["fct_transactions"], out["dim_account"], out["fx_rates_daily"], old_fct)
-    out["fct_account_daily_balance"] = warehouse.replace(balances, "fct_account_daily_balance", cluster_by="balance_date")
-    fct = out["fct_transactions"]
+    old_fct, old_bad, old_balances = before("fct_transactions"), before("dq_rejected_transactions"), before("fct_account_daily_balance")
+    news = loaded_since(validated, old_fct, lookback_hours=p.incremental_lookback_hours)
+    if old_bad is not None:
+        news = news.unionByName(core.released(old_bad, validated)).dropDuplicates(["_source_file", "_source_row"])
+    batch = month_partition(core.fct_transactions(news, out["fx_rates_daily"], transaction_types(spark)), "txn_date")
+    # The batch is narrow beside the table, and is used several times.
+    warehouse.append(batch, "step_fct", "now")
+    batch = spark.read.schema(batch.schema).parquet(warehouse.batch_path("step_fct", "now"))
+    since = changed_day(old_fct, batch, old_balances)
+    out["fct_transactions"] = merge_by_partition(warehouse, "fct_transactions", old_fct, batch, ["txn_id"], BY_FILE, "txn_month", "txn_date", "txn_id")
+    bad = file_partition(core.quarantine(loaded_since(validated, old_bad, lookback_hours=p.incremental_lookback_hours)))
+    freed = file_partition(core.released(old_bad, validated))
+    out["dq_rejected_transactions"] = merge_by_partition(warehouse, "dq_rejected_transactions", old_bad, bad, ["_source_file", "_source_row"], [], "file_month", removed=freed)
+    out["fct_account_daily_balance"] = build_balances(warehouse, out, old_balances, since)
+    fct = out["fct_transactions"].drop("txn_month")
     out["aml_alert_transactions"] = warehouse.replace(aml.alert_members(fct, p), "aml_alert_transactions")
     out["rpt_aml_alerts"] = warehouse.replace(aml.alerts(out["aml_alert_transactions"], out["dim_account"], out["dim_customer"]), "rpt_aml_alerts")
     out["rpt_monthly_customer_summary"] = warehouse.replace(finance.monthly_customer_summary(fct, out["fct_account_daily_balance"], out["dim_account"], out["dim_customer"]), "rpt_monthly_customer_summary")
@@ -47,9 +60,64 @@ def build(warehouse: Warehouse, p: Params = Params(), full_refresh: bool = False
     if landed is not None:
         both = controls.stream_vs_batch(staging.stg_transactions_stream(landed), staging.stg_transactions(raw["transactions"]))
         out["dq_stream_vs_batch"] = warehouse.replace(both, "dq_stream_vs_batch")
+    if check:
+        require_passed(run_checks(model_checks(out, p)))
     return out
 
 
-def stale_rates(fx: DataFrame, p: Params = Params()) -> DataFrame:
-    """Days whose carried rate is older than allowed."""
-    return fx.where(F.datediff("rate_date", "published_date") > p.fx_max_staleness_days)
+def file_partition(df: DataFrame) -> DataFrame:
+    """df with file_month, the month in the name of its file, or `none`."""
+    return df.withColumn("file_month", F.coalesce(F.date_format(F.try_to_date(F.regexp_extract("_source_file", r"_(\d{8})\.csv", 1), "yyyyMMdd"), "yyyy-MM"), F.lit("none")))
+
+
+def changed_day(old_fct: DataFrame | None, batch: DataFrame, old_balances: DataFrame | None):
+    """First day whose balances a batch may change: its own days, and those its transactions were on before."""
+    days = batch.select("txn_date")
+    if old_balances is None or old_fct is None:
+        return days.agg(F.min("txn_date")).first()[0]
+    newer = batch.join(old_fct.select("txn_id", F.col("_loaded_at").alias("_seen")), "txn_id", "left").where(F.col("_seen").isNull() | (F.col("_loaded_at") > F.col("_seen")))
+    moved = old_fct.join(newer.select("txn_id").distinct(), "txn_id", "left_semi").select("txn_date")
+    return newer.select("txn_date").unionByName(moved).agg(F.min("txn_date")).first()[0]
+
+
+def merge_by_partition(
+    warehouse: Warehouse, name: str, old: DataFrame | None, batch: DataFrame, keys: list[str], precedence: list[str], partition: str, cluster_by: str | None = None, bloom: str | None = None, removed: DataFrame | None = None
+) -> DataFrame:
+    """Puts a batch into a table by key, or takes the keys of removed out, and writes only partitions that may change.
+
+    These are the batch's own and those in which its keys were before; of the table, only keys and partitions are read
+    to find them. Their names, one for each month, are all that comes to the driver."""
+    if old is None:
+        return warehouse.rewrite(upsert(None, batch, keys, precedence), name, partition, None, cluster_by, bloom)
+    # What the lookback brings again unchanged is left out.
+    columns = sorted(set(batch.columns) & set(old.columns))
+    months = [r[0] for r in batch.select(partition).distinct().collect()]
+    seen = old.where(F.col(partition).isin(months)).select(*keys, F.xxhash64(*columns).alias("_same"))
+    batch = batch.withColumn("_same", F.xxhash64(*columns)).join(seen, [*keys, "_same"], "left_anti").select(*batch.columns)
+    gone = batch.select(*keys) if removed is None else batch.select(*keys).unionByName(removed.select(*keys))
+    held = old.select(*keys, partition)
+    own = {r[0] for r in batch.select(partition).distinct().collect()}
+    left = {r[0] for r in held.join(gone.distinct(), keys, "left_semi").select(partition).distinct().collect()} - own
+    kept = {r[0] for r in held.where(F.col(partition).isin(list(left))).join(gone.distinct(), keys, "left_anti").select(partition).distinct().collect()} if left else set()
+    if not own | left:
+        return old
+    touched = old.where(F.col(partition).isin(list(own | left)))
+    if removed is not None:
+        touched = touched.join(removed.select(*keys), keys, "left_anti")
+    return warehouse.rewrite(upsert(touched, batch, keys, precedence), name, partition, sorted(left - kept), cluster_by, bloom)
+
+
+def build_balances(warehouse: Warehouse, out: dict[str, DataFrame], old: DataFrame | None, since) -> DataFrame:
+    """Balances from the first changed day on, in whole months; earlier months stay as they are."""
+    name, args = "fct_account_daily_balance", (out["fct_transactions"], out["dim_account"], out["fx_rates_daily"])
+    if old is None:
+        return warehouse.rewrite(month_partition(core.daily_balance(*args), "balance_date"), name, "txn_month", None, "balance_date")
+    if since is None:
+        return old
+    since = min(since, old.agg(F.max("balance_date")).first()[0] + dt.timedelta(days=1))  # days without any transaction count too
+    month = since.strftime("%Y-%m")
+    kept = old.where((F.col("txn_month") == month) & (F.col("balance_date") < F.lit(since)))
+    fresh = month_partition(core.daily_balance(*args, since, old.drop("txn_month")), "balance_date")
+    had = {r[0] for r in old.where(F.col("txn_month") >= month).select("txn_month").distinct().collect()}
+    has = {r[0] for r in out["fct_transactions"].where(F.col("txn_month") >= month).select("txn_month").distinct().collect()}
+    return warehouse.rewrite(kept.unionByName(fresh), name, "txn_month", sorted(m for m in had if m > max(has | {month})), "balance_date")

@@ -60,13 +60,14 @@ def fx_daily(stg_fx: DataFrame, p: Params = Params()) -> DataFrame:
 def validate(txns: DataFrame, accounts: DataFrame) -> DataFrame:
     """txns with rejection_reason (the first rule that fails, or null), warning_reason and the account's currency.
 
-    No row is lost. accounts: one row an account. Both sides keep their own size: the join shuffles on account_id and
+    No row is lost. A blank id or time is there, so it isn't missing; a blank time is invalid. accounts: one row an account. Both sides keep their own size: the join shuffles on account_id and
     the optimiser broadcasts accounts where they are small."""
     a = accounts.select(F.col("account_id").alias("_account"), F.col("currency").alias("account_currency"), "customer_id")
     joined = txns.join(a, txns.account_id == F.col("_account"), "left")
+    # The reasons, in the order in which they apply.
     rules: list[tuple[Column, str]] = [
-        (F.col("txn_id").isNull() | (F.col("txn_id") == ""), "MISSING_TXN_ID"),
-        (F.col("txn_ts_raw").isNull() | (F.trim("txn_ts_raw") == ""), "MISSING_TIMESTAMP"),
+        (F.col("txn_id").isNull(), "MISSING_TXN_ID"),
+        (F.col("txn_ts_raw").isNull(), "MISSING_TIMESTAMP"),
         (F.col("txn_ts").isNull(), "INVALID_TIMESTAMP"),
         (F.col("amount").isNull(), "INVALID_AMOUNT"),
         (F.col("amount") < 0, "NEGATIVE_AMOUNT"),
@@ -75,6 +76,7 @@ def validate(txns: DataFrame, accounts: DataFrame) -> DataFrame:
         (F.col("direction").isNull() | ~F.col("direction").isin("DR", "CR"), "INVALID_DIRECTION"),
         (F.col("currency") != F.col("account_currency"), "CURRENCY_MISMATCH"),
     ]
+    # End of the fixed values.
     reason = F.coalesce(*[F.when(test, name) for test, name in rules])
     warning = F.when((F.col("txn_type") == "CARD_PAYMENT") & F.col("merchant_id").isNull(), "MISSING_MERCHANT")
     return joined.withColumns({"rejection_reason": reason, "warning_reason": warning}).drop("_account")
@@ -111,18 +113,25 @@ def fct_transactions(validated: DataFrame, fx: DataFrame, types: DataFrame) -> D
     )
 
 
+def released(quarantined: DataFrame | None, validated: DataFrame) -> DataFrame:
+    """Rows of validated that are in the quarantine but valid now."""
+    valid = validated.where("rejection_reason is null")
+    return valid.limit(0) if quarantined is None else valid.join(quarantined.select("_source_file", "_source_row"), ["_source_file", "_source_row"], "left_semi")
+
+
 def recompute_from(fct: DataFrame, balances: DataFrame | None, before: DataFrame | None = None) -> dt.date | None:
     """First day whose balances may have changed since they were built; None if nothing new came.
 
     before: the fact as the balances saw it; with it, a transaction that moved to another day counts on its old day too."""
     if balances is None:
         return fct.agg(F.min("txn_date")).first()[0]
-    through = balances.agg(F.max("source_loaded_through")).first()[0]
+    through, last = balances.agg(F.max("source_loaded_through"), F.max("balance_date")).first()
     news = fct if through is None else fct.where(F.col("_loaded_at") > F.lit(through))
     days = news.select("txn_date")
     if before is not None:
         days = days.unionByName(before.join(news.select("txn_id"), "txn_id", "left_semi").select("txn_date"))
-    return days.agg(F.min("txn_date")).first()[0]
+    day = days.agg(F.min("txn_date")).first()[0]
+    return day if day is None or last is None else min(day, last + dt.timedelta(days=1))  # days without any transaction count too
 
 
 def daily_balance(fct: DataFrame, accounts: DataFrame, fx: DataFrame, from_day: dt.date | None = None, prior: DataFrame | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,14 +46,12 @@ def pending_files(files: DataFrame, audit: DataFrame | None = None, through: dt.
 
 
 def header_groups(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Header line -> files that have it. One line of each file is read."""
-    if not paths:
-        return {}
-    first = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
-    heads = first.groupBy("path").agg(F.min_by("value", "at").alias("head")).collect()  # one short row a file
+    """Header line -> files that have it. Of each file the first line is read, several files at a time."""
     groups: dict[str, list[str]] = {}
-    for r in sorted(heads, key=lambda r: r["path"]):
-        groups.setdefault(r["head"].lstrip("﻿").rstrip("\r"), []).append(r["path"])
+    with ThreadPoolExecutor(16) as pool:
+        for path, first in zip(paths, pool.map(lambda path: spark.read.text(path).first(), paths), strict=True):
+            if first is not None:  # an empty file has no header and no rows
+                groups.setdefault(first["value"].lstrip("\ufeff").rstrip("\r"), []).append(path)
     return groups
 
 
@@ -64,7 +63,7 @@ def read_landing(spark: SparkSession, paths: list[str], entity: str, loaded_at:
     groups of one header."""
     schema, found = raw_schema(entity), None
     stamp = F.lit(loaded_at) if loaded_at is not None else F.current_timestamp()
-    for head, members in header_groups(spark, paths).items():
+    for head, members in header_groups(spark, sorted(paths)).items():
         names = [h.strip().strip('"').lower() for h in head.split(",")]
         own = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))] + [T.StructField(CORRUPT, T.StringType())])
         rows = spark.read.schema(own).option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(members)
@@ -86,7 +85,7 @@ def read_landing(spark: SparkSession, paths: list[str], entity: str, loaded_at:
 def audit_rows(landed: DataFrame, entity: str, run_id: str, loaded_at: dt.datetime) -> DataFrame:
     """One audit row a file; a run without files says so in one row."""
     spark = landed.sparkSession
-    counted = landed.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"), F.count(CORRUPT).alias("bad"), F.min(CORRUPT).alias("first"))
+    counted = landed.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n"), F.count(CORRUPT).alias("bad"), F.min_by(CORRUPT, F.when(F.col(CORRUPT).isNotNull(), F.col("_source_row"))).alias("first"))
     rows = counted.select(
         F.lit(run_id).alias("run_id"), F.lit(entity).alias("entity"), F.col("_source_file").alias("file_name"), F.col("n").alias("rows_parsed"), F.col("n").alias("rows_loaded"), F.col("bad").alias("errors_seen"),
         F.col("first").alias("first_error"), F.lit("LOADED").alias("status"), F.lit(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
@@ -95,8 +94,14 @@ def audit_rows(landed: DataFrame, entity: str, run_id: str, loaded_at: dt.dateti
 
 
 def load_entity(spark: SparkSession, landing: str, warehouse, entity: str, through: dt.date | None = None, loaded_at: dt.datetime | None = None, run_id: str | None = None) -> DataFrame:
-    """Loads the entity's pending files into the warehouse and returns this run's audit rows."""
+    """Loads the entity's pending files into the warehouse and returns this run's audit rows.
+
+    Rows count once their audit is written: rows that a crash left without one are deleted first, and loaded again."""
     run_id, loaded_at = run_id or uuid.uuid4().hex, loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    audited = {b.rsplit("/batch=", 1)[1] for b in warehouse.batches("load_audit")}
+    for batch in [b.rsplit("/batch=", 1)[1] for b in warehouse.batches(f"raw_{entity}")]:
+        if f"{batch}-{entity}" not in audited:
+            warehouse.drop_batch(f"raw_{entity}", batch)
     audit = warehouse.read("load_audit")
     files = pending_files(list_files(spark, landing, entity), audit, through)
     landed = read_landing(spark, [r["path"] for r in files.select("path").collect()], entity, loaded_at).cache()

@@ -35,9 +35,11 @@ class Warehouse:
         return [f"{self.root}/{name}/{b}" for b in self._names(f"{self.root}/{name}") if b.startswith("batch=") and self._complete(f"{self.root}/{name}/{b}")]
 
     def read(self, name: str, version: int = -1) -> DataFrame | None:
-        """The newest version, or all appended batches; None if there is nothing yet."""
+        """All appended batches, the live partitions or the newest version; None if there is nothing yet."""
         if batches := self.batches(name):
             return self.spark.read.option("mergeSchema", True).parquet(*batches)
+        if self._complete(f"{self.root}/{name}/live"):
+            return self.spark.read.parquet(f"{self.root}/{name}/live")
         found = self.versions(name)
         return self.spark.read.parquet(found[version]) if found else None
 
@@ -48,12 +50,35 @@ class Warehouse:
         writer = df.write.partitionBy(partition_by) if partition_by else df.write
         if bloom:
             writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
-        writer.parquet(f"{self.root}/{name}/v{len(self.versions(name)):08d}-{uuid.uuid4().hex[:8]}")
+        numbers = [int(v[1:9]) for v in self._names(f"{self.root}/{name}") if v.startswith("v")]
+        writer.parquet(f"{self.root}/{name}/v{max(numbers, default=-1) + 1:08d}-{uuid.uuid4().hex[:8]}")
         return self.read(name)
 
+    def rewrite(self, df: DataFrame, name: str, partition_by: str, emptied: list | None = None, cluster_by: str | None = None, bloom: str | None = None) -> DataFrame:
+        """Writes the partitions that df holds rows of, whole, and leaves all other files of the table as they are.
+
+        emptied: values of partitions that have no rows any more. df may read the table; with emptied None it is the
+        whole table, and what was there before goes."""
+        at = f"{self.root}/{name}/live"
+        if cluster_by:
+            df = df.repartitionByRange(partition_by, cluster_by).sortWithinPartitions(partition_by, cluster_by)
+        writer = df.write.mode("overwrite").partitionBy(partition_by).option("partitionOverwriteMode", "static" if emptied is None else "dynamic")
+        if bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
+        writer.parquet(at)
+        for value in emptied or []:
+            self._fs.delete(self._path(f"{at}/{partition_by}={value}"), True)
+        return self.read(name)
+
+    def batch_path(self, name: str, batch: str) -> str:
+        return f"{self.root}/{name}/batch={batch}"
+
+    def drop_batch(self, name: str, batch: str) -> None:
+        self._fs.delete(self._path(self.batch_path(name, batch)), True)
+
     def append(self, df: DataFrame, name: str, batch: str) -> None:
         """Adds a batch; writing the same batch again replaces it, so a replay is harmless."""
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
+        df.write.mode("overwrite").parquet(self.batch_path(name, batch))
 
     def drop_older(self, name: str, keep: int = 2) -> None:
         """Deletes all but the newest versions."""

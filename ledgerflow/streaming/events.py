@@ -23,8 +23,8 @@ def encode_events(rows: DataFrame) -> DataFrame:
 def decode_events(messages: DataFrame) -> DataFrame:
     """messages (topic, partition, offset, timestamp_ms, value binary) as landed rows.
 
-    A null or empty value, bad UTF-8, bad JSON, anything but an object and junk behind it give null fields, the first
-    4000 characters and an error; two objects in a row pass as the first."""
+    A null or empty value, bad UTF-8, bad JSON, anything but an object and whatever stands behind it, be it another
+    object, give null fields, the first 4000 characters and an error."""
     text = F.col("value").cast("string")
     valid = F.is_valid_utf8(text)
     readable = F.make_valid_utf8(text)
@@ -38,6 +38,8 @@ def decode_events(messages: DataFrame) -> DataFrame:
         .when(~F.col("_valid"), "invalid utf-8")
         .when(F.col("_fields").isNull() | F.col("_fields._bad").isNotNull(), "invalid json")
         .when(~F.trim("_text").rlike(r"(?s)^\s*\{.*\}\s*$"), "not a json object")
+        # As the only element of an array the text holds one value and nothing else.
+        .when(~F.coalesce(F.json_array_length(F.concat(F.lit("["), F.col("_text"), F.lit("]"))) == 1, F.lit(False)), "invalid json")
     )
     parsed = parsed.withColumn("_error", error)
     good = F.col("_error").isNull()

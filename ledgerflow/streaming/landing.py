@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,14 +18,26 @@ POSITION = ["_kafka_topic", "_kafka_partition", "_kafka_offset"]
 def land_batch(warehouse: Warehouse, name: str, rows: DataFrame, batch: str) -> None:
     """Adds decoded rows that aren't landed yet, as one batch that counts whole or not at all.
 
-    The batch's own folder is left out when landed offsets are looked up, so that a replay after a crash writes it
-    again completely."""
-    before = [b for b in warehouse.batches(name) if not b.endswith(f"/batch={batch}")]
+    A small table beside it, a row for each batch and partition, holds the highest offsets, so that a batch needs no
+    look at what was landed before it; batches that a crash left without such rows are read instead. The batch's own
+    folder is left out, so that a replay writes it again completely."""
+    others = lambda table: {b.rsplit("/batch=", 1)[1]: b for b in warehouse.batches(table) if not b.endswith(f"/batch={batch}")}
+    data, noted = others(name), others(f"{name}_offsets")
+    known = [warehouse.spark.read.parquet(*noted.values())] if noted else []
+    unnoted = [path for b, path in data.items() if b not in noted]
+    known += [highest(warehouse.spark.read.parquet(*unnoted))] if unnoted else []
     fresh = rows.dropDuplicates(POSITION)
-    if before:
-        landed = warehouse.spark.read.parquet(*before).groupBy("_kafka_topic", "_kafka_partition").agg(F.max("_kafka_offset").alias("_high"))
+    if known:
+        landed = reduce(DataFrame.unionByName, known).groupBy("_kafka_topic", "_kafka_partition").agg(F.max("_high").alias("_high"))
         fresh = fresh.join(F.broadcast(landed), ["_kafka_topic", "_kafka_partition"], "left").where(F.col("_high").isNull() | (F.col("_kafka_offset") > F.col("_high"))).drop("_high").select(*rows.columns)
     warehouse.append(fresh, name, batch)
+    own = warehouse.spark.read.schema(fresh.schema).parquet(warehouse.batch_path(name, batch))
+    warehouse.append(highest(own).coalesce(1), f"{name}_offsets", batch)
+
+
+def highest(landed: DataFrame) -> DataFrame:
+    """The highest offset of each partition."""
+    return landed.groupBy("_kafka_topic", "_kafka_partition").agg(F.max("_kafka_offset").alias("_high"))
 
 
 def land_stream(source: DataFrame, warehouse: Warehouse, name: str, checkpoint: str, run_id: str = "run", trigger: dict | None = None) -> StreamingQuery:
@@ -70,12 +84,15 @@ def screen_stream(rows: DataFrame, warehouse: Warehouse, name: str, checkpoint:
 
 
 def latency(alerts: DataFrame) -> DataFrame:
-    """Median, 95th percentile and maximum, in seconds, of each leg from produced over landed to detected."""
+    """Median, 95th percentile and maximum, in seconds, of each leg from produced over landed to detected.
+
+    Equal gaps are counted first; the exact percentiles are those of the counted values."""
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     legs = {"produced_to_landed": ("produced_at", "landed_at"), "landed_to_alert": ("landed_at", "detected_at"), "produced_to_alert": ("produced_at", "detected_at")}
     gaps = F.array(*[F.struct(F.lit(k).alias("leg"), ((micros(b) - micros(a)) / 1_000_000).alias("s")) for k, (a, b) in legs.items()])
     rows = alerts.where("produced_at is not null").select(F.explode(gaps).alias("g")).select("g.*")
-    return rows.groupBy("leg").agg(F.count("s").alias("n"), F.percentile("s", 0.5).alias("p50_s"), F.percentile("s", 0.95).alias("p95_s"), F.max("s").alias("max_s"))
+    counted = rows.where("s is not null").groupBy("leg", "s").agg(F.count(F.lit(1)).alias("c"))
+    return counted.groupBy("leg").agg(F.sum("c").alias("n"), F.percentile("s", 0.5, F.col("c")).alias("p50_s"), F.percentile("s", 0.95, F.col("c")).alias("p95_s"), F.max("s").alias("max_s"))
 
 
 def missed_alerts(alerts: DataFrame, streamed_ids: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.change import symmetric_diff
+from ledgerflow.operators.quality import ChecksFailed, require_passed, run_checks
 from ledgerflow.plans.build import build
+from ledgerflow.plans.checks import model_checks
 from ledgerflow.schema import LOAD_ORDER, RAW_COLUMNS
 from ledgerflow.sources import landing
-from ledgerflow.sources.tables import Warehouse
+from ledgerflow.sources.tables import Warehouse, month_partition, write_table
 from ledgerflow.streaming.events import decode_events, encode_events
 from ledgerflow.streaming.landing import exactly_once, land_stream, latency, missed_alerts, screen_large
 
@@ -68,9 +70,85 @@ def test_loading_twice_adds_nothing_and_incremental_equals_rebuild(spark, tmp_pa
     for name in ("fct_transactions", "dq_rejected_transactions", "fct_account_daily_balance", "rpt_monthly_customer_summary"):
         assert symmetric_diff(step[name], whole[name], ("source_loaded_through",)).count() == 0, name
     assert {(r["txn_id"], float(r["amount"])) for r in step["fct_transactions"].collect()} == {("T1", 12.0), ("T4", 7.5)}
-    assert w.versions("fct_transactions")[0] != w.versions("fct_transactions")[1]
-    w.drop_older("fct_transactions", keep=1)
-    assert len(w.versions("fct_transactions")) == 1
+    assert w.versions("dim_account")[0] != w.versions("dim_account")[1]
+
+
+def test_versions_only_grow(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    for n in range(3):
+        w.replace(spark.range(n, n + 1), "t")
+    w.drop_older("t", keep=1)
+    assert len(w.versions("t")) == 1
+    assert [r[0] for r in w.replace(spark.range(99, 100), "t").collect()] == [99] == [r[0] for r in w.read("t").collect()]
+
+
+def files(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def test_only_touched_months_are_written_again(spark, tmp_path):
+    small_bank(tmp_path / "in")
+    head = ",".join(RAW_COLUMNS["transactions"])
+    line = lambda t, at, amount: f"{t},A1,{at} 10:00:00,{amount},EUR,DR,FEE,POSTED,,,,,,d\n"
+    put(tmp_path / "in", "transactions", "20250301", head + "\n" + line("M1", "2025-02-10", 1) + line("M2", "2025-03-01", 2) + line("M3", "2025-03-01", 3))
+    put(tmp_path / "in", "fx_rates", "20250301", "rate_date,currency,rate_to_eur,source\n2025-04-30,USD,0.9,ECB\n")
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    landing.load_all(spark, str(tmp_path / "in"), w, loaded_at=dt.datetime(2025, 3, 2, 6))
+    build(w)
+    before, held = files(tmp_path / "wh/fct_transactions/live"), files(tmp_path / "wh/fct_account_daily_balance/live")
+    # M2 moves from March to April and M3 changes; nothing else does
+    put(tmp_path / "in", "transactions", "20250402", head + "\n" + line("M2", "2025-04-01", 2) + line("M3", "2025-04-01", 4))
+    put(tmp_path / "in", "accounts", "20250402", "account_id,customer_id,iban,account_type,currency,status,opened_date,closed_date,opening_balance,updated_at\nA9,C1,DE1,CHECKING,EUR,ACTIVE,2025-01-01,,0,2025-04-01 00:00:00\n")
+    landing.load_all(spark, str(tmp_path / "in"), w, loaded_at=dt.datetime(2025, 4, 3, 6))
+    step = build(w)
+    after, kept = files(tmp_path / "wh/fct_transactions/live"), files(tmp_path / "wh/fct_account_daily_balance/live")
+    month = lambda found: {p.parent.name for p in found}
+    assert month(before) == {"txn_month=2025-01", "txn_month=2025-02", "txn_month=2025-03"} and month(after) == {"txn_month=2025-01", "txn_month=2025-02", "txn_month=2025-04"}
+    assert {p: t for p, t in after.items() if p in before} == {p: t for p, t in before.items() if p.parent.name < "txn_month=2025-03"}
+    assert {p: t for p, t in kept.items() if p in held} == {p: t for p, t in held.items() if p.parent.name < "txn_month=2025-03"}
+    full = Warehouse(spark, str(tmp_path / "full"))
+    for e in LOAD_ORDER:
+        full.append(w.read(f"raw_{e}"), f"raw_{e}", "all")
+    whole = build(full, full_refresh=True, check=False)
+    for name in ("fct_transactions", "dq_rejected_transactions"):
+        assert symmetric_diff(step[name], whole[name]).count() == 0, name
+    same = symmetric_diff(step["fct_account_daily_balance"].where("account_id = 'A1'"), whole["fct_account_daily_balance"].where("account_id = 'A1'"), ("source_loaded_through",))
+    assert same.count() == 0
+
+
+def test_quarantined_rows_are_released_when_their_account_arrives(spark, tmp_path):
+    small_bank(tmp_path / "in")
+    head = ",".join(RAW_COLUMNS["transactions"])
+    put(tmp_path / "in", "transactions", "20250103", f"{head}\nQ1,A5,2025-01-02 10:00:00,5,EUR,DR,FEE,POSTED,,,,,,d\n")
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    landing.load_all(spark, str(tmp_path / "in"), w, loaded_at=dt.datetime(2025, 1, 3, 6))
+    assert "Q1" in {r["txn_id"] for r in build(w)["dq_rejected_transactions"].collect()}
+    put(tmp_path / "in", "accounts", "20250120", "account_id,customer_id,iban,account_type,currency,status,opened_date,closed_date,opening_balance,updated_at\nA5,C1,DE1,CHECKING,EUR,ACTIVE,2024-01-01,,0,2025-01-19 00:00:00\n")
+    landing.load_all(spark, str(tmp_path / "in"), w, loaded_at=dt.datetime(2025, 1, 20, 6))
+    step = build(w)
+    assert "Q1" not in {r["txn_id"] for r in step["dq_rejected_transactions"].collect()} and "Q1" in {r["txn_id"] for r in step["fct_transactions"].collect()}
+
+
+def test_rows_of_a_crashed_load_are_loaded_once(spark, tmp_path):
+    small_bank(tmp_path / "in")
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    landing.load_entity(spark, str(tmp_path / "in"), w, "fx_rates", run_id="crashed")
+    w.drop_batch("load_audit", "crashed-fx_rates")  # the rows were written, their audit wasn't
+    landing.load_entity(spark, str(tmp_path / "in"), w, "fx_rates", run_id="again")
+    assert w.read("raw_fx_rates").count() == 2
+
+
+def test_a_failing_check_stops_a_build(spark):
+    good = spark.createDataFrame([(1, dt.date(2025, 1, 1))], "i int, date_day date")
+    require_passed(run_checks(model_checks({"dim_date": good})))
+    with pytest.raises(ChecksFailed, match="dim_date.unique.date_day"):
+        require_passed(run_checks(model_checks({"dim_date": good.unionByName(good)})))
+
+
+def test_tables_in_any_format(spark, tmp_path):
+    write_table(month_partition(spark.createDataFrame([(dt.date(2025, 1, 1),), (dt.date(2025, 2, 1),)], "d date"), "d"), str(tmp_path / "o"), "d", "txn_month", "orc")
+    got = spark.read.format("orc").load(str(tmp_path / "o"))
+    assert got.where("txn_month = '2025-02'").count() == 1 and got.count() == 2
 
 
 def test_unknown_entity_and_replay(spark, tmp_path):
@@ -94,7 +172,7 @@ def test_encode_and_decode(spark):
     one = encode_events(spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))).first()
     assert one["key"] == "A7" and '"device_id":null' in one["value"] and one["headers"][0]["key"] == "schema"
     good = one["value"].encode()
-    bad = [None, b"", good[:20], b"[1]", b"\xff\xfe", good + b" tail", b'"text"']
+    bad = [None, b"", good[:20], b"[1]", b"\xff\xfe", good + b" tail", b'"text"', good + good, good + b"," + good, good + b" x}", good + b"]"]
     got = decode_events(messages(spark, [good, *bad])).orderBy("_kafka_timestamp_ms").collect()
     assert got[0]["txn_id"] == "T1" and got[0]["_parse_error"] is None and got[0]["device_id"] is None
     assert all(r["txn_id"] is None and r["_parse_error"] for r in got[1:])
