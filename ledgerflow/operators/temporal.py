@@ -39,26 +39,21 @@ def trailing_count(df: DataFrame, keys: list[str], ts: str, minutes: int) -> Col
     return F.count(F.lit(1)).over(w)
 
 
-def window_members(anchors: DataFrame, events: DataFrame, keys: list[str], anchor_ts: str, ts: str, minutes: int) -> DataFrame:
-    """anchors joined with the events of their windows (t - window, t].
-
-    Each event is copied to the time buckets in which an anchor could see it, so that the join is one of equalities."""
-    bucket = minutes * MINUTE
-    a = anchors.withColumn("_bucket", F.floor(epoch_micros(F.col(anchor_ts)) / bucket))
-    own = F.floor(epoch_micros(F.col(ts)) / bucket)
-    e = events.withColumn("_bucket", F.explode(F.array(own, own + 1)))
-    near = (F.col(ts) <= F.col(anchor_ts)) & (epoch_micros(F.col(ts)) > epoch_micros(F.col(anchor_ts)) - bucket)
-    return a.join(e, [*keys, "_bucket"]).where(near).drop("_bucket")
-
-
-def islands(anchors: DataFrame, keys: list[str], ts: str, tie: str, minutes: int) -> DataFrame:
-    """anchors with `island_anchor`, the first tie value of their island: anchors less than a window apart."""
-    w = Window.partitionBy(*keys).orderBy(ts, tie)
-    gap = epoch_micros(F.col(ts)) - F.lag(epoch_micros(F.col(ts))).over(w)
-    starts = F.when(gap < minutes * MINUTE, 0).otherwise(1)
-    numbered = anchors.withColumn("_start", starts).withColumn("_island", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    whole = Window.partitionBy(*keys, "_island").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return numbered.withColumn("island_anchor", F.first(tie).over(whole)).drop("_start", "_island")
+def island_members(df: DataFrame, keys: list[str], ts: str, tie: str, anchor: str, minutes: Column | int) -> DataFrame:
+    """df with `island_anchor`: for rows in (t - window, t] of an anchor at t, the first anchor of its island, else null.
+
+    anchor: a column that is true for anchors; anchors less than a window apart are one island. The windows of an island
+    make one unbroken interval, so a row belongs to the island of the next anchor if that is less than a window away.
+    One shuffle by key and running frames only: work grows with the rows, however many windows hold one."""
+    at, span = epoch_micros(F.col(ts)), (minutes if isinstance(minutes, Column) else F.lit(minutes)).cast("long") * MINUTE
+    forward = Window.partitionBy(*keys).orderBy(ts, tie)
+    backward = Window.partitionBy(*keys).orderBy(F.desc(ts), F.desc(tie)).rowsBetween(Window.unboundedPreceding, 0)
+    previous = F.last(F.when(F.col(anchor), at), True).over(forward.rowsBetween(Window.unboundedPreceding, -1))
+    found = df.withColumn("_previous", previous)
+    starts = F.col(anchor) & (F.col("_previous").isNull() | (at - F.col("_previous") >= span))
+    found = found.withColumn("_first", F.last(F.when(starts, F.col(tie)), True).over(forward.rowsBetween(Window.unboundedPreceding, 0)))
+    found = found.withColumn("_next", F.last(F.when(F.col(anchor), F.struct(at.alias("at"), "_first")), True).over(backward))
+    return found.withColumn("island_anchor", F.when(F.col("_next.at") - at < span, F.col("_next._first"))).drop("_previous", "_first", "_next")
 
 
 def date_spine(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> DataFrame:

@@ -7,52 +7,56 @@ from pyspark.sql import functions as F
 
 from ledgerflow.config import Params
 from ledgerflow.functions.columns import surrogate_key
-from ledgerflow.operators.temporal import as_of_join, islands, rolling_zscore, trailing_count, window_members
+from ledgerflow.operators.temporal import as_of_join, island_members, rolling_zscore, trailing_count
 
 MEMBER = ["rule_code", "account_id", "alert_anchor_txn_id", "txn_id", "txn_ts", "amount_eur"]
+KEYS = ["account_id", "rule_code"]
 
 
-def structuring_events(fct: DataFrame, p: Params = Params()) -> DataFrame:
-    """Posted cash deposits just below the reporting limit."""
-    band = (F.col("amount_eur") >= p.structuring_floor_eur) & (F.col("amount_eur") < p.structuring_ceiling_eur)
-    return fct.where("txn_type = 'CASH_DEPOSIT' and is_posted").where(band)
-
+def rule_events(fct: DataFrame, p: Params = Params()) -> DataFrame:
+    """The events that each rule looks at, from one pass over the fact.
 
-def velocity_events(fct: DataFrame) -> DataFrame:
-    """Card attempts, posted or not."""
-    return fct.where("txn_type = 'CARD_PAYMENT'")
+    STRUCTURING: posted cash deposits just below the reporting limit. VELOCITY: card attempts, posted or not. OUTLIER:
+    posted card payments above 0."""
+    card = F.col("txn_type") == "CARD_PAYMENT"
+    band = (F.col("amount_eur") >= p.structuring_floor_eur) & (F.col("amount_eur") < p.structuring_ceiling_eur)
+    tests = {"STRUCTURING": (F.col("txn_type") == "CASH_DEPOSIT") & F.col("is_posted") & band, "VELOCITY": card, "OUTLIER": card & F.col("is_posted") & (F.col("amount_eur") > 0)}
+    rules = F.array_compact(F.array(*[F.when(test, F.lit(rule)) for rule, test in tests.items()]))
+    return fct.select(F.explode(rules).alias("rule_code"), "account_id", "txn_id", "txn_ts", "amount_eur")
 
 
-def window_alerts(events: DataFrame, rule: str, minutes: int, least: int) -> DataFrame:
-    """Members of the rule's alerts.
+def rule_members(fct: DataFrame, p: Params = Params()) -> DataFrame:
+    """Members of all rules' alerts. The fact is read once and shuffled once, by account and rule.
 
-    An event is an anchor if its trailing window holds enough events; anchors less than a window apart are one alert,
-    named after the first, whose members are the events in any of its windows."""
-    events = events.select("account_id", "txn_id", "txn_ts", "amount_eur")
-    anchors = events.withColumn("n", trailing_count(events, ["account_id"], "txn_ts", minutes)).where(F.col("n") >= least)
-    merged = islands(anchors, ["account_id"], "txn_ts", "txn_id", minutes).select("account_id", F.col("txn_ts").alias("anchor_ts"), F.col("island_anchor").alias("alert_anchor_txn_id"))
-    members = window_members(merged, events, ["account_id"], "anchor_ts", "txn_ts", minutes)
-    return members.withColumn("rule_code", F.lit(rule)).select(*MEMBER).distinct()
+    STRUCTURING and VELOCITY: an event is an anchor if its trailing window holds enough events; anchors less than a
+    window apart are one alert, named after the first, whose members are the events in any of its windows. OUTLIER:
+    payments far above the account's earlier ones, on a logarithmic scale; each is an alert of its own."""
+    events = rule_events(fct, p)
+    structuring, velocity, outlier = (F.col("rule_code") == rule for rule in ("STRUCTURING", "VELOCITY", "OUTLIER"))
+    many = lambda minutes, least: trailing_count(events, KEYS, "txn_ts", minutes) >= least
+    anchor = F.when(structuring, many(p.structuring_window_minutes, p.structuring_min_count)).when(velocity, many(p.velocity_window_minutes, p.velocity_min_count)).otherwise(False)
+    minutes = F.when(structuring, p.structuring_window_minutes).otherwise(p.velocity_window_minutes)
+    merged = island_members(events.withColumn("_anchor", anchor), KEYS, "txn_ts", "txn_id", "_anchor", minutes)
+    scored = rolling_zscore(merged, KEYS, ["txn_ts", "txn_id"], F.when(outlier, F.ln(F.col("amount_eur").cast("double"))), p.outlier_history)
+    far = (F.col("history_count") >= p.outlier_min_history) & (F.col("amount_eur") >= p.outlier_min_amount_eur) & (F.col("zscore") >= p.outlier_min_zscore)
+    named = scored.withColumn("alert_anchor_txn_id", F.when(outlier, F.when(far, F.col("txn_id"))).otherwise(F.col("island_anchor")))
+    return named.where("alert_anchor_txn_id is not null").select(*MEMBER)
 
 
 def structuring(fct: DataFrame, p: Params = Params()) -> DataFrame:
-    return window_alerts(structuring_events(fct, p), "STRUCTURING", p.structuring_window_minutes, p.structuring_min_count)
+    return rule_members(fct.where("txn_type = 'CASH_DEPOSIT'"), p)
 
 
 def velocity(fct: DataFrame, p: Params = Params()) -> DataFrame:
-    return window_alerts(velocity_events(fct), "VELOCITY", p.velocity_window_minutes, p.velocity_min_count)
+    return rule_members(fct.where("txn_type = 'CARD_PAYMENT'"), p).where("rule_code = 'VELOCITY'")
 
 
 def outlier(fct: DataFrame, p: Params = Params()) -> DataFrame:
-    """Posted card payments far above the account's earlier ones, on a logarithmic scale."""
-    card = fct.where("txn_type = 'CARD_PAYMENT' and is_posted and amount_eur > 0")
-    scored = rolling_zscore(card, ["account_id"], ["txn_ts", "txn_id"], F.ln(F.col("amount_eur").cast("double")), p.outlier_history)
-    hits = scored.where((F.col("history_count") >= p.outlier_min_history) & (F.col("amount_eur") >= p.outlier_min_amount_eur) & (F.col("zscore") >= p.outlier_min_zscore))
-    return hits.select(F.lit("OUTLIER").alias("rule_code"), "account_id", F.col("txn_id").alias("alert_anchor_txn_id"), "txn_id", "txn_ts", "amount_eur")
+    return rule_members(fct.where("txn_type = 'CARD_PAYMENT'"), p).where("rule_code = 'OUTLIER'")
 
 
 def alert_members(fct: DataFrame, p: Params = Params()) -> DataFrame:
-    every = structuring(fct, p).unionByName(velocity(fct, p)).unionByName(outlier(fct, p))
+    every = rule_members(fct, p)
     return every.select(surrogate_key(F.col("rule_code"), F.col("account_id"), F.col("alert_anchor_txn_id")).alias("alert_id"), *MEMBER)
 
 

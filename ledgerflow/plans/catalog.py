@@ -14,6 +14,7 @@ from ledgerflow.functions.columns import mask_email, mask_iban, masked_view
 from ledgerflow.operators import change, quality
 from ledgerflow.operators.temporal import as_of_join, latest_by
 from ledgerflow.plans import aml, controls, core, finance, oracle, reports, staging
+from ledgerflow.plans.checks import model_checks, stale_rates
 from ledgerflow.sources import adapters
 from ledgerflow.sources.seeds import mcc_codes, transaction_types
 from ledgerflow.streaming.events import decode_events, encode_events
@@ -248,12 +249,15 @@ def file_summary(l: Ledger) -> DataFrame:
 
 @query
 def stream_vs_batch(l: Ledger) -> DataFrame:
-    return controls.stream_vs_batch(staging.stg_transactions_stream(l.landed), l.staged)
+    """The stream having lost one event in four, and every event from 24 January on."""
+    heard = l.messages.where((F.col("n") % 4 != 0))
+    streamed = staging.stg_transactions_stream(decode_events(heard)).where(F.col("txn_ts") < F.lit("2024-01-24 00:00:00").cast("timestamp_ntz"))
+    return controls.stream_vs_batch(streamed, l.staged)
 
 
 @query
 def reconciliation(l: Ledger) -> DataFrame:
-    return controls.reconcile(l.raw, l.quarantined, l.fct, dt.date(2024, 1, 3), dt.date(2024, 1, 25))
+    return controls.reconcile(l.raw, l.quarantined, l.fct)
 
 
 @query
@@ -271,19 +275,45 @@ def balance_identity(l: Ledger) -> DataFrame:
 
 @query
 def reversal_match(l: Ledger) -> DataFrame:
-    return controls.unmatched_reversals(l.fct)
+    """Reversals that match nothing, after one reversal in ten was given another amount."""
+    number = F.substring("txn_id", 2, 20).cast("long")
+    spoilt = F.when((F.col("txn_type") == "REVERSAL") & (number % 10 == 0), F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)")
+    return controls.unmatched_reversals(l.fct.withColumn("amount", spoilt))
 
 
 @query
 def detection_report(l: Ledger) -> DataFrame:
     """Rows with a planted fault against rows rejected for it."""
     n = F.substring("txn_id", 2, 20).cast("long")
-    plants = {"INVALID_AMOUNT": n % 331 == 1, "NEGATIVE_AMOUNT": n % 337 == 2, "ZERO_AMOUNT": n % 347 == 3, "UNKNOWN_ACCOUNT": n % 349 == 4, "MISSING_TIMESTAMP": n % 353 == 5, "INVALID_DIRECTION": n % 359 == 6}
+    plants = {"INVALID_AMOUNT": n % 331 == 1, "NEGATIVE_AMOUNT": n % 337 == 2, "ZERO_AMOUNT": n % 347 == 3, "UNKNOWN_ACCOUNT": n % 349 == 4, "MISSING_TIMESTAMP": n % 353 == 5, "INVALID_DIRECTION": n % 359 == 6, "INVALID_TIMESTAMP": n % 367 == 7}
     planted = l.staged.select("txn_id", F.explode(F.array_compact(F.array(*[F.when(t, k) for k, t in plants.items()]))).alias("rejection_reason"))
     out = controls.detection_report(planted, l.quarantined, "rejection_reason", "txn_id")
     return out.withColumns({c: F.round(c, 6) for c in ("recall", "precision")})
 
 
+@query
+def aml_case_recall(l: Ledger) -> DataFrame:
+    """Days of three card attempts or two deposits in the band, as injected cases, against the alerts that hold one of their transactions."""
+    band = (F.col("amount_eur") >= PARAMS.structuring_floor_eur) & (F.col("amount_eur") < PARAMS.structuring_ceiling_eur)
+    rule = F.when(F.col("txn_type") == "CARD_PAYMENT", "VELOCITY").when((F.col("txn_type") == "CASH_DEPOSIT") & F.col("is_posted") & band, "STRUCTURING")
+    events = l.fct.select(rule.alias("rule"), F.concat_ws("|", "account_id", F.col("txn_date").cast("string")).alias("case_id"), "txn_id").where("rule is not null")
+    dense = events.groupBy("rule", "case_id").count().where("count >= if(rule = 'VELOCITY', 3, 2)").drop("count")
+    out = controls.case_recall(events.join(dense, ["rule", "case_id"], "left_semi"), l.members)
+    return out.withColumn("precision", F.round("precision", 6))
+
+
+@query
+def fx_stale_rates(l: Ledger) -> DataFrame:
+    return stale_rates(l.fx)
+
+
+@query
+def model_check_results(l: Ledger) -> DataFrame:
+    """Failing rows of each check of the fact, its accounts and merchants, as one table."""
+    every = [c.failing.agg(F.count(F.lit(1)).alias("failing")).select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failing") for c in model_checks({"fct_transactions": l.fct, "dim_account": l.accounts, "dim_merchant": l.merchants})]
+    return reduce(DataFrame.unionByName, every)
+
+
 # ---- incremental layer
 def _order_batches(l: Ledger) -> tuple[DataFrame, DataFrame]:
     """Orders in two deliveries: the second repeats one in five of the first with another status, and brings the rest."""
@@ -400,6 +430,27 @@ def month_report_range(l: Ledger) -> DataFrame:
     return reports.month_report(l.table("lineitem").withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)")), "l_shipdate", "l_returnflag", "amount", dt.date(1996, 3, 1))
 
 
+@query
+def month_report_wrapped(l: Ledger) -> DataFrame:
+    """The month report by a function of the date, which no scan can skip by: the slow half of the pair."""
+    rows = l.table("lineitem").withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)"))
+    return reports.month_report_wrapped(rows, "l_shipdate", "l_returnflag", "amount", "1996-03")
+
+
+@query
+def largest_transactions(l: Ledger) -> DataFrame:
+    """The ten largest transactions in euro; of equal ones the smaller id comes first."""
+    return reports.top_k(l.fct, [F.desc("amount_eur"), F.col("txn_id")], 10).select("txn_id", "account_id", "amount_eur")
+
+
+@query
+def active_accounts_approx_error(l: Ledger) -> DataFrame:
+    """Exact active accounts of each month, and whether the approximate count is within a twentieth."""
+    exact, close = (reports.active_by_month(l.table("orders"), "o_orderdate", "o_custkey", approximate=x) for x in (False, True))
+    both = exact.join(close.withColumnRenamed("active", "approximate"), "month_start")
+    return both.select("month_start", "active", (F.abs(F.col("active") - F.col("approximate")) <= F.greatest(F.lit(1.0), F.col("active") / 20)).alias("within_a_twentieth"))
+
+
 @query
 def active_accounts_exact(l: Ledger) -> DataFrame:
     return reports.active_by_month(l.table("orders"), "o_orderdate", "o_custkey")

@@ -16,11 +16,15 @@ REASONS = ("MISSING_TIMESTAMP", "INVALID_TIMESTAMP", "INVALID_AMOUNT", "NEGATIVE
 def file_summary(validated: DataFrame) -> DataFrame:
     """What each file brought: rows, repeats of rows delivered before, rejections by reason, warnings, late rows.
 
-    Rows without a txn_id are repeats of each other; they meet in one window partition, which spills but is skewed."""
+    Rows without a txn_id are repeats of the first of them, which an aggregate finds: they never meet in one task."""
     file_date = F.try_to_date(F.left(F.right("_source_file", F.lit(15)), F.lit(8)), "yyyyMMdd")
-    occurrence = F.row_number().over(Window.partitionBy("txn_id").orderBy("_source_file", "_source_row"))
+    place = F.struct("_source_file", "_source_row")
+    no_id = validated.where("txn_id is null").agg(F.min(place).alias("_first"))
+    alone = F.when(F.col("txn_id").isNull(), F.xxhash64("_source_file", "_source_row"))
+    nth = F.row_number().over(Window.partitionBy("txn_id", alone).orderBy("_source_file", "_source_row"))
     day = F.col("txn_ts").cast("date")
-    rows = validated.withColumns({"file_date": file_date, "occurrence": occurrence})
+    rows = validated.withColumns({"file_date": file_date, "nth": nth}).crossJoin(F.broadcast(no_id))
+    rows = rows.withColumn("occurrence", F.when(F.col("txn_id").isNotNull(), F.col("nth")).when(place == F.col("_first"), 1).otherwise(2))
     late = (F.col("occurrence") == 1) & F.col("rejection_reason").isNull() & (day < F.date_sub("file_date", 1))
     return rows.groupBy(F.col("_source_file").alias("source_file"), "file_date").agg(
         F.min("_loaded_at").alias("loaded_at"),
@@ -49,14 +53,20 @@ def stream_vs_batch(stg_stream: DataFrame, stg_txns: DataFrame) -> DataFrame:
     return counted.withColumn("stream_coverage", (F.col("in_both") / F.nullif("batch_txns", F.lit(0))).cast("decimal(7,4)"))
 
 
-def reconcile(raw: DataFrame, quarantined: DataFrame, fct: DataFrame, from_date, to_date) -> DataFrame:
-    """Daily count and net amount from the landed text, parsed here and nowhere else, against the fact: PASS or FAIL."""
+def reconcile(raw: DataFrame, quarantined: DataFrame, fct: DataFrame, from_date=None, to_date=None) -> DataFrame:
+    """Daily count and net amount from the landed text, parsed here and nowhere else, against the fact: PASS or FAIL.
+
+    All days are compared, or those from from_date to to_date."""
     own_ts = F.coalesce(F.try_to_timestamp(F.trim("txn_ts"), F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(F.trim("txn_ts"), F.lit("dd/MM/yyyy HH:mm:ss")))
     parsed = raw.select(
         F.trim("txn_id").alias("txn_id"), F.replace(F.trim("amount"), F.lit(","), F.lit(".")).try_cast("decimal(18,2)").alias("amount"), F.upper(F.trim("direction")).alias("direction"), own_ts.cast("date").alias("txn_date"), *BY_FILE
     )
     accepted = latest_by(parsed.join(quarantined.select("_source_file", "_source_row"), ["_source_file", "_source_row"], "left_anti"), ["txn_id"], BY_FILE)
-    inside = F.col("txn_date").between(F.lit(from_date), F.lit(to_date))
+    inside = F.lit(True)
+    if from_date is not None:
+        inside = inside & (F.col("txn_date") >= F.lit(from_date))
+    if to_date is not None:
+        inside = inside & (F.col("txn_date") <= F.lit(to_date))
     signed = F.when(F.col("direction") == "DR", -F.col("amount")).otherwise(F.col("amount"))
     source = accepted.where(inside).groupBy("txn_date").agg(F.count(F.lit(1)).alias("source_rows"), F.sum(signed).cast("decimal(18,2)").alias("source_net_amount"))
     target = fct.where(inside).groupBy("txn_date").agg(F.count(F.lit(1)).alias("target_rows"), F.sum("signed_amount").cast("decimal(18,2)").alias("target_net_amount"))

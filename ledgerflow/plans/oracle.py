@@ -23,7 +23,7 @@ sent as (select *, (moment::date + if(i % 50 = 1, 5, 1)::int)::date as day, (mom
 delivered as (select * from sent union all select * replace ((day + 1)::date as day, loaded - interval 1 hour as loaded) from sent where i % 97 = 0),
 dirty as (
     select txn_id, if(i % 349 = 4, 'A999999999', 'A' || user_id) as account_id,
-        case when i % 353 = 5 then null when i % 7 = 0 then strftime(moment, '%d/%m/%Y %H:%M:%S') else strftime(moment, '%Y-%m-%d %H:%M:%S') end as txn_ts,
+        case when i % 353 = 5 then null when i % 367 = 7 then '  ' when i % 7 = 0 then strftime(moment, '%d/%m/%Y %H:%M:%S') else strftime(moment, '%Y-%m-%d %H:%M:%S') end as txn_ts,
         case when i % 331 = 1 then 'N/A' when i % 337 = 2 then '-' || value when i % 347 = 3 then '0.00' else value::varchar end as plain,
         case user_id % 10 when 8 then 'USD' when 9 then 'GBP' else 'EUR' end as ccy, if(i % 359 = 6, 'XX', direction) as direction, txn_type, status,
         if(txn_type = 'CARD_PAYMENT', 'card ', 'BRANCH') as channel, merchant_id, original_txn_id, ' payment ' || i as description, if(i % 5 = 0, '', 'dev' || user_id) as device_id,
@@ -117,8 +117,9 @@ merch as (
 undone as (select distinct original_txn_id as txn_id from fct where txn_type = 'REVERSAL' and is_posted and original_txn_id is not null),
 once as (select *, row_number() over (partition by txn_id order by _source_file, _source_row) as occurrence, try_strptime(left(right(_source_file, 15), 8), '%Y%m%d')::date as file_date from val),
 streamed as (
-    select r.*, (substr(txn_id, 2)::bigint % 3)::bigint as part from (select distinct on (txn_id) * from raw where txn_id like 'T%' and _source_file >= 'transactions/transactions_20240111' and i % 4 <> 0 order by txn_id, _source_file) r),
-placed as (select *, row_number() over (partition by part order by i) - 1 as place, i % 500 <> 10 as whole from streamed),
+    select r.*, (substr(txn_id, 2)::bigint % 3)::bigint as part from (select distinct on (txn_id) * from raw where txn_id like 'T%' order by txn_id, _source_file) r),
+placed as (select *, i // 3 as place, i % 500 <> 10 as whole from streamed),
+heard as (select * from placed where whole and i % 4 <> 0),
 paths as (
     select 'T' || o_orderkey as txn_id, 'A' || o_custkey as account_id, o_totalprice::decimal(18,2) as amount, if(o_orderkey % 11 = 0, 'DECLINED', 'POSTED') as status, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as txn_ts_raw, path as ingest_path,
         if(path = 'KAFKA', o_orderdate::timestamp, null) as produced_at, (o_orderdate + to_seconds(o_orderkey % 60))::timestamp as landed_at, if(path = 'FILE', 'f0', null) as _source_file, o_orderkey
@@ -198,22 +199,35 @@ _QUERIES = {
     "stream_vs_batch": """select txn_date, count(s) as streamed_txns, count(b) as batch_txns, count(*) filter (s = b or (s is not null and b is not null)) as in_both, count(*) filter (b is null) as stream_only, count(*) filter (s is null) as batch_only,
             (count(*) filter (s is not null and b is not null) / nullif(count(b), 0))::decimal(7,4) as stream_coverage
         from (select coalesce(s.txn_id, b.txn_id) as t, s.txn_id as s, b.txn_id as b, coalesce(s.d, b.d) as txn_date
-            from (select x.txn_id, min(x.txn_ts::date) as d from placed p join stg x on x.txn_id = p.txn_id where whole and x.txn_ts is not null group by all) s
-            full join (select txn_id, min(txn_ts::date) as d from stg where txn_ts::date in (select x.txn_ts::date from placed p join stg x on x.txn_id = p.txn_id where whole) group by all) b on s.txn_id = b.txn_id)
+            from (select x.txn_id, min(x.txn_ts::date) as d from heard p join stg x on x.txn_id = p.txn_id where x.txn_ts < timestamp '2024-01-24 00:00:00' group by all) s
+            full join (select txn_id, min(txn_ts::date) as d from stg where txn_ts::date in (select x.txn_ts::date from heard p join stg x on x.txn_id = p.txn_id where x.txn_ts < timestamp '2024-01-24 00:00:00') group by all) b on s.txn_id = b.txn_id)
         group by all""",
     "reconciliation": """select txn_date, n as source_rows, n as target_rows, net as source_net_amount, net as target_net_amount, 'PASS' as status
-        from (select txn_date, count(*) as n, sum(signed_amount)::decimal(18,2) as net from fct where txn_date between date '2024-01-03' and date '2024-01-25' group by all)""",
+        from (select txn_date, count(*) as n, sum(signed_amount)::decimal(18,2) as net from fct group by all)""",
     "row_accounting": """select (select count(*) from raw) as delivered_rows, (select count(*) from val) as validated_rows, (select count(*) from rejected) as rejected_rows, (select count(distinct txn_id) from val where rejection_reason is null) as valid_txns,
         (select count(*) from rejected) as quarantined_rows, (select count(*) from fct) as fact_rows, true as all_accounted_for""",
     "balance_identity": """select account_id, balance_date, (closing_balance + 1)::decimal(18,2) as closing_balance, closing_balance as expected_balance from balances b
         where substr(account_id, 2)::bigint % 9 = 0 and balance_date = (select max(balance_date) from balances c where c.account_id = b.account_id)""",
-    "reversal_match": """select r.txn_id, r.account_id, r.original_txn_id, r.amount from fct r where r.txn_type = 'REVERSAL'
-        and not exists (select 1 from fct c where c.txn_id = r.original_txn_id and c.txn_type = 'CARD_PAYMENT' and c.account_id = r.account_id and c.amount = r.amount)""",
+    "reversal_match": """select r.txn_id, r.account_id, r.original_txn_id, r.amount from (select * replace (if(substr(txn_id, 2)::bigint % 10 = 0, amount + 1, amount)::decimal(18,2) as amount) from fct where txn_type = 'REVERSAL') r
+        where not exists (select 1 from fct c where c.txn_id = r.original_txn_id and c.txn_type = 'CARD_PAYMENT' and c.account_id = r.account_id and c.amount = r.amount)""",
+    "aml_case_recall": """select rule, count(distinct case_id) as cases, count(distinct if(alert_id is not null, case_id, null)) as cases_found, count(distinct alert_id) as true_alerts, any_value(alerts) as alerts, round(count(distinct alert_id) / any_value(alerts), 6) as precision
+        from (select rule_code as rule, account_id || '|' || strftime(txn_ts, '%Y-%m-%d') as case_id, txn_id, count(*) over (partition by rule_code, account_id, txn_ts::date) as n from hits) h
+        left join (select rule_code, txn_id, alert_id from members) m on m.rule_code = h.rule and m.txn_id = h.txn_id
+        join (select rule_code, count(distinct alert_id) as alerts from members group by all) a on a.rule_code = h.rule
+        where n >= if(rule = 'VELOCITY', 3, 2) group by rule
+        union all select rule_code, null, null, null, count(distinct alert_id), null from members where rule_code = 'OUTLIER' group by all""",
+    "fx_stale_rates": "select * from fxd where rate_date - published_date > 4",
+    "model_check_results": """select * from (values ('fct_transactions.unique.txn_id', 'error'), ('fct_transactions.not_null.txn_id', 'error'), ('fct_transactions.not_null.amount', 'error'), ('fct_transactions.not_null.txn_category', 'error'),
+            ('dim_account.unique.account_id', 'error'), ('dim_account.not_null.account_id', 'error'), ('dim_account.not_null.customer_id', 'error'), ('dim_merchant.unique.merchant_id', 'error'), ('dim_merchant.not_null.merchant_id', 'error'),
+            ('dim_account.accepted.account_type', 'warn'), ('fct_transactions.accepted.warning_reason', 'warn'), ('fct_transactions.relationships.account_id', 'warn'), ('fct_transactions.relationships.merchant_id', 'warn'),
+            ('fct_transactions.rate_age.fx_rate_published_date', 'warn'), ('fct_transactions.future.txn_ts', 'warn'), ('fct_transactions.rate_missing.fx_rate_to_eur', 'warn'), ('fct_transactions.positive.amount', 'error')) v("check", severity),
+        lateral (select case "check" when 'fct_transactions.relationships.merchant_id' then (select count(*) from fct where merchant_id not in (select merchant_id from merch)) when 'fct_transactions.rate_age.fx_rate_published_date' then (select count(*) from fct where txn_date - fx_rate_published_date > 4)
+            when 'fct_transactions.future.txn_ts' then (select count(*) from fct where txn_ts > _loaded_at) when 'fct_transactions.rate_missing.fx_rate_to_eur' then (select count(*) from fct where fx_rate_to_eur is null) when 'fct_transactions.not_null.txn_category' then (select count(*) from fct where txn_category is null) else 0 end as failing)""",
     "detection_report": """select rejection_reason, count(distinct p) as injected, count(distinct f) as found, count(distinct if(f is not null, p, null)) as hits, round(count(distinct if(f is not null, p, null)) / count(distinct p), 6) as recall,
             round(count(distinct if(p is not null, f, null)) / nullif(count(distinct f), 0), 6) as precision
         from (select coalesce(a.r, b.r) as rejection_reason, a.txn_id as p, b.txn_id as f from (
                 select txn_id, unnest(list_filter([if(i % 331 = 1, 'INVALID_AMOUNT', null), if(i % 337 = 2, 'NEGATIVE_AMOUNT', null), if(i % 347 = 3, 'ZERO_AMOUNT', null), if(i % 349 = 4, 'UNKNOWN_ACCOUNT', null), if(i % 353 = 5, 'MISSING_TIMESTAMP', null),
-                    if(i % 359 = 6, 'INVALID_DIRECTION', null)], lambda x: x is not null)) as r from raw) a
+                    if(i % 359 = 6, 'INVALID_DIRECTION', null), if(i % 367 = 7, 'INVALID_TIMESTAMP', null)], lambda x: x is not null)) as r from raw) a
             full join (select txn_id, rejection_reason as r from rejected) b on a.txn_id = b.txn_id and a.r = b.r) group by all""",
     "incremental_upsert": "select * from two union all select * from one where o_orderkey not in (select o_orderkey from two)",
     "incremental_equals_rebuild": """select o_orderkey, o_custkey, if(side = 'right', '?', o_orderstatus) as o_orderstatus, amount, order_date, side
@@ -237,6 +251,9 @@ _QUERIES = {
     "running_balance_window": f"select a.event_id, a.user_id, a.ts, a.amount, sum(b.amount)::decimal(18,2) as running_balance from ({_MONEY_EVENTS}) a join ({_MONEY_EVENTS}) b on a.user_id = b.user_id and b.ts <= a.ts group by all",
     "running_balance_self_join": f"select event_id, user_id, ts, amount, sum(amount) over (partition by user_id order by ts)::decimal(18,2) as running_balance from ({_MONEY_EVENTS})",
     "month_report_range": "select l_returnflag, count(*) as n, sum(l_extendedprice::decimal(18,2))::decimal(18,2) as total from lineitem where strftime(l_shipdate, '%Y-%m') = '1996-03' group by all",
+    "month_report_wrapped": "select l_returnflag, count(*) as n, sum(l_extendedprice::decimal(18,2))::decimal(18,2) as total from lineitem where l_shipdate >= date '1996-03-01' and l_shipdate < date '1996-04-01' group by all",
+    "largest_transactions": "select txn_id, account_id, amount_eur from (select *, row_number() over (order by amount_eur desc nulls last, txn_id) as n from fct) where n <= 10",
+    "active_accounts_approx_error": "select date_trunc('month', o_orderdate)::date as month_start, count(distinct o_custkey) as active, true as within_a_twentieth from orders group by all",
     "active_accounts_exact": "select date_trunc('month', o_orderdate)::date as month_start, count(distinct o_custkey) as active from orders group by all",
     "full_history_rollup": "select date_trunc('month', l_shipdate)::date as month_start, l_returnflag, l_linestatus, count(*) as n, sum(l_extendedprice::decimal(18,2))::decimal(18,2) as total from lineitem group by all",
     "point_lookup": "select o_orderkey, o_custkey, o_totalprice::decimal(18,2) as amount from orders where o_orderkey = 777",

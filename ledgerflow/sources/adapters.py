@@ -125,8 +125,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "txn_id",
         F.when(i % 349 == 4, "A999999999").otherwise(F.concat(F.lit("A"), "user_id")).alias("account_id"),
-        F.when(i % 353 == 5, None).otherwise(F.date_format("at", "yyyy-MM-dd HH:mm:ss")).alias("iso"),
-        F.date_format("at", "dd/MM/yyyy HH:mm:ss").alias("eu"),
+        F.when(i % 353 == 5, None).when(i % 367 == 7, "  ").otherwise(F.date_format("at", "yyyy-MM-dd HH:mm:ss")).alias("iso"),
+        F.when(i % 367 == 7, "  ").otherwise(F.date_format("at", "dd/MM/yyyy HH:mm:ss")).alias("eu"),
         F.when(i % 7 == 0, F.replace(amount, F.lit("."), F.lit(","))).otherwise(amount).alias("amount"),
         F.when(i % 11 == 0, F.lower(own)).otherwise(own).alias("currency"),
         F.when(i % 359 == 6, "XX").otherwise(F.col("direction")).alias("direction"),
@@ -148,15 +148,14 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three quarters of the events from 10 January on, as landed from a topic of three partitions; some payloads are cut short."""
+    """The events as landed from a topic of three partitions, an event's offset following from its number; some payloads are cut short."""
     from ledgerflow.schema import RAW_COLUMNS
     from ledgerflow.streaming.events import encode_events
 
-    keyed = raw_transactions(spark, sf_dir).where("txn_id like 'T%' and _source_file >= 'transactions/transactions_20240111'")
-    number = F.substring("txn_id", 2, 20).cast("long")
-    once = keyed.dropDuplicates(["txn_id"]).where(number % 4 != 0).select(*RAW_COLUMNS["transactions"])
+    once = raw_transactions(spark, sf_dir).where("txn_id like 'T%'").dropDuplicates(["txn_id"]).select(*RAW_COLUMNS["transactions"])
     n = F.substring(F.get_json_object("value", "$.txn_id"), 2, 20).cast("long")
-    sent = encode_events(once).select("key", "value", n.alias("n")).withColumn("partition", F.pmod("n", F.lit(3)).cast("int"))
-    at = F.row_number().over(Window.partitionBy("partition").orderBy("n")) - 1
+    sent = encode_events(once).select("key", "value", n.alias("n"))
     cut = F.when(F.col("n") % 500 == 10, F.left("value", (F.length("value") / 2).cast("int"))).otherwise(F.col("value"))
-    return sent.select(F.lit("bank.transactions").alias("topic"), "partition", at.cast("long").alias("offset"), (F.lit(1706745600000) + F.col("n") * 1000).alias("timestamp_ms"), cut.cast("binary").alias("value"), "n")
+    return sent.select(
+        F.lit("bank.transactions").alias("topic"), F.pmod("n", F.lit(3)).cast("int").alias("partition"), F.floor(F.col("n") / 3).alias("offset"), (F.lit(1706745600000) + F.col("n") * 1000).alias("timestamp_ms"), cut.cast("binary").alias("value"), "n"
+    )

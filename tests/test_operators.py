@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerflow.config import Params
 from ledgerflow.functions.columns import full_match, mask_email, mask_iban, parse_ts, surrogate_key
 from ledgerflow.operators import change, quality
-from ledgerflow.operators.temporal import as_of_join, explode_days, forward_fill, islands, latest_by, rolling_zscore, trailing_count, window_members
+from ledgerflow.operators.temporal import as_of_join, explode_days, forward_fill, island_members, latest_by, rolling_zscore, trailing_count
 from ledgerflow.plans import aml, controls, core
 
 FCT = "account_id string, txn_id string, txn_ts timestamp_ntz, amount_eur decimal(18,2), txn_type string, is_posted boolean"
@@ -80,18 +80,60 @@ def test_window_is_open_at_its_old_end(spark):
     df = facts(spark, rows, "X")
     got = {r["txn_id"]: r["n"] for r in df.withColumn("n", trailing_count(df, ["account_id"], "txn_ts", 60)).collect()}
     assert got == {"1": 1, "2": 1, "3": 1, "4": 3, "5": 3}
-    anchors = df.select("account_id", F.col("txn_ts").alias("anchor_ts"), F.col("txn_id").alias("anchor"))
-    pairs = window_members(anchors, df, ["account_id"], "anchor_ts", "txn_ts", 60).groupBy("anchor").count().collect()
-    assert {r["anchor"]: r["count"] for r in pairs} == got
+    marked = df.withColumn("anchor", F.col("txn_id").isin("2", "5"))
+    held = {r["txn_id"]: r["island_anchor"] for r in island_members(marked, ["account_id"], "txn_ts", "txn_id", "anchor", 60).collect()}
+    assert held == {"1": None, "2": "2", "3": "5", "4": "5", "5": "5"}
 
 
 def test_islands_split_where_anchors_are_a_window_apart(spark):
     at = ts("2025-01-01 00:00:00")
     rows = [("A", str(i), str(at + dt.timedelta(minutes=m)), 1, True) for i, m in enumerate((0, 59, 118, 178))]
-    got = {r["txn_id"]: r["island_anchor"] for r in islands(facts(spark, rows, "X"), ["account_id"], "txn_ts", "txn_id", 60).collect()}
+    got = {r["txn_id"]: r["island_anchor"] for r in island_members(facts(spark, rows, "X").withColumn("anchor", F.lit(True)), ["account_id"], "txn_ts", "txn_id", "anchor", 60).collect()}
     assert got == {"0": "0", "1": "0", "2": "0", "3": "3"}
 
 
+def test_members_equal_brute_force(spark):
+    import random
+
+    rng, start = random.Random(5), ts("2025-01-01 00:00:00")
+    rows = [(a, f"{i:03d}", start + dt.timedelta(minutes=rng.randrange(900)), rng.random() < 0.3) for a in "AB" for i in range(80)]
+    df = spark.createDataFrame(rows, "account_id string, txn_id string, txn_ts timestamp_ntz, anchor boolean")
+    got = {(r["account_id"], r["txn_id"]): r["island_anchor"] for r in island_members(df, ["account_id"], "txn_ts", "txn_id", "anchor", 20).collect()}
+    window, want = dt.timedelta(minutes=20), {}
+    for a in "AB":
+        anchors, last, first = {}, None, None
+        for _, i, at, own in sorted((r for r in rows if r[0] == a), key=lambda r: (r[2], r[1])):
+            if own:
+                first = first if last is not None and at - last < window else i
+                anchors[i], last = (at, first), at
+        for _, i, at, _ in (r for r in rows if r[0] == a):
+            # of anchors at one instant one sees as much as another; the earliest island that sees a row has it
+            seen = sorted((t, f) for t, f in anchors.values() if at <= t < at + window)
+            want[a, i] = seen[0][1] if seen else None
+    assert got == want
+
+
+def test_a_hot_account_takes_linear_work(spark):
+    events = spark.range(20_000).select(F.lit("A").alias("account_id"), F.col("id").cast("string").alias("txn_id"), F.timestamp_add("SECOND", (F.col("id") % 3000).cast("int"), F.lit(ts("2025-01-01")).cast("timestamp_ntz")).alias("txn_ts"),
+                                        F.lit(10).cast("decimal(18,2)").alias("amount_eur"), F.lit("CARD_PAYMENT").alias("txn_type"), F.lit(True).alias("is_posted"))
+    got = aml.velocity(events)
+    assert got.count() == 20_000 and got.select("alert_anchor_txn_id").distinct().count() == 1
+
+
+def test_blank_ids_and_times_are_not_missing(spark):
+    rows = [("T1", None, None), ("T2", " ", None), (" ", "2025-01-01 00:00:00", ts("2025-01-01")), (None, "2025-01-01 00:00:00", ts("2025-01-01"))]
+    txns = spark.createDataFrame([(t, "A", raw, at, "DR", "EUR", "FEE", None) for t, raw, at in rows], "txn_id string, account_id string, txn_ts_raw string, txn_ts timestamp_ntz, direction string, currency string, txn_type string, merchant_id string").withColumn("amount", F.lit(1))
+    accounts = spark.createDataFrame([("A", "EUR", "C")], "account_id string, currency string, customer_id string")
+    got = {(r["txn_id"], r["txn_ts_raw"]): r["rejection_reason"] for r in core.validate(txns, accounts).collect()}
+    assert list(got.values()) == ["MISSING_TIMESTAMP", "INVALID_TIMESTAMP", None, "MISSING_TXN_ID"]
+
+
+def test_rows_without_an_id_repeat_the_first_of_them(spark):
+    rows = [(None, f"transactions/transactions_2025010{d}.csv.gz", "2025-01-03 10:00:01", "2025-01-01 12:00:00") for d in (2, 3, 3)]
+    got = {r["source_file"][-15:-7]: r["duplicate_rows"] for r in controls.file_summary(validated(spark, rows)).collect()}
+    assert got == {"20250102": 0, "20250103": 2}
+
+
 def test_zscore_is_null_without_variation(spark):
     df = spark.createDataFrame([("A", i, 5.0) for i in range(4)] + [("A", 4, 9.0)], "k string, i int, v double")
     got = rolling_zscore(df, ["k"], ["i"], F.col("v")).orderBy("i").collect()
