@@ -253,11 +253,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     if repeats:
         keyed = keyed.dropDuplicates(["doc_id", "which"])
     keyed = materialise(join_ids(keyed, copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti"), "keyed")
-    each = keyed.select("doc_id", "which", "n", F.explode("keys").alias("key"))
-    shared = each.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.bit_xor(F.xxhash64("doc_id", "which")).alias("who"), F.bit_xor(F.xxhash64("which", "doc_id")).alias("too")).where("docs > 1")
+    own = ["doc_id", "which", "n"] if repeats else ["doc_id", "n"]
+    each = keyed.select(*own, F.explode("keys").alias("key"))
+    # Most keys have one document. The others' rows are found by a shuffle at any size, in which Spark splits a hot key.
+    often = materialise(each.groupBy("key").count().where("count > 1").select("key"), "often")
+    shared = materialise(each.join(often.hint("merge"), "key", "left_semi"), "shared")
     # Copies with few changes share many keys; of keys with the same documents one is enough.
-    once = materialise(shared.groupBy("docs", "who", "too").agg(F.min("key").alias("key")).select("key"), "once")
-    met = join_ids(each, once, "key", "left_semi").select("doc_id", F.col("key").alias("family"), "n")
+    alike = shared.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), *[F.bit_xor(F.xxhash64(*own, F.lit(i))).alias(f"who_{i}") for i in (1, 2)])
+    once = materialise(alike.groupBy("docs", "who_1", "who_2").agg(F.min("key").alias("key")).select("key"), "once")
+    met = join_ids(shared, once, "key", "left_semi").select("doc_id", F.col("key").alias("family"), "n")
     close = family_tiles(met.distinct() if repeats else met, tile_docs, tile_shingles)
     families = tile_components(close, known.select("doc_id", "n", "map"), percent, pack_docs, tile_shingles, False)
 
