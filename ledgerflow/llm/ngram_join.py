@@ -192,7 +192,7 @@ def group_links(table: pa.Table, percent: int, exact: bool) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_docs: int = 2_000, tile_shingles: int = 4_000_000, pack_docs: int = 500) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_docs: int = 500, tile_shingles: int = 2_000_000, pack_docs: int = 500) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs (doc_id, text).
 
     Two documents link if the Jaccard index of their sets of `words`-word shingles is at least percent / 100;
