@@ -299,7 +299,7 @@ def tile_components(tiles: DataFrame, payload: DataFrame, percent: int, pack_doc
     columns = ["pack", "one", "other", "family", "side", "known", "doc_id", "hashes" if exact else "map", *([] if exact else ["n"])]
 
     def links(places: DataFrame) -> DataFrame:
-        held = places.join(payload, "doc_id").select(*columns)
+        held = places.join(payload.hint("merge"), "doc_id").select(*columns)  # one plan at any size
         return held.groupBy("pack", "one", "other").applyInArrow(lambda t: group_links(t, percent, exact), "a long, b long")
 
     fresh = tiles.withColumn("known", F.col("doc_id"))
