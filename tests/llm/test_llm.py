@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 from math import log2
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
-from ledgerflow.llm import chat_format, components, decontaminate, hamming_search, license_scan, mixing, ngram_join, queries, token_counts, toxicity, url_filter, warc  # noqa: E402
+from ledgerflow.llm import chat_format, common, components, decontaminate, hamming_search, license_scan, mixing, ngram_join, queries, token_counts, toxicity, url_filter, warc  # noqa: E402
 from ledgerflow.llm.common import word_count  # noqa: E402
 
 from ..compare import canonical, duck  # noqa: E402
@@ -28,6 +29,21 @@ def test_query_equals_oracle(spark, data, name):
     assert sorted(got.columns) == sorted(want.columns) and canonical(got) == canonical(want)
 
 
+def test_intermediates_can_be_cleared(spark):
+    df = common.materialise(spark.range(3), "cleared")
+    assert df.count() == 3
+    common.clear(spark)
+    with pytest.raises(Exception, match="cleared-"):
+        df.count()
+
+
+def test_a_cluster_needs_a_shared_folder():
+    nowhere = SimpleNamespace(get=lambda *_: None)
+    context = SimpleNamespace(getConf=lambda: nowhere, master="spark://host:7077", applicationId="app")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(SimpleNamespace(conf=nowhere, sparkContext=context))
+
+
 # ---- 1
 def codes(spark, rows):
     return spark.createDataFrame(rows, "id long, code long, extra string")
@@ -209,6 +225,26 @@ def test_best_branch_of_a_tree(spark):
     assert chat_format.unescape(got[1, 1]["formatted"][span["start"] : span["end"]]) == "good </s>"
 
 
+def test_branches_equal_brute_force(spark):
+    rng = random.Random(21)
+    rows, want = [], set()
+    for tree in range(12):
+        n = rng.choice([1, 2, 9, 40])
+        parent = {i: rng.choice([None, 99, *range(i)]) if i == 0 or rng.random() < 0.1 else rng.randrange(max(0, i - 4), i) for i in range(n)}
+        score = {i: rng.choice([None, 0.0, 0.5, 1.0]) for i in range(n)}
+        rows += [(tree, i, parent[i], "user", str(i), score[i]) for i in range(n)]
+        paths = []
+        for leaf in set(range(n)) - set(parent.values()):
+            path = [leaf]
+            while parent[path[-1]] is not None and parent[path[-1]] < n:
+                path.append(parent[path[-1]])
+            paths.append((-sum(score[i] or 0.0 for i in path), leaf, path[::-1]))
+        for rank, (_, _, path) in enumerate(sorted(paths)[:3], 1):
+            want |= {(tree, rank, node, place) for place, node in enumerate(path)}
+    got = chat_format.best_paths(spark.createDataFrame(rows, MESSAGES), per_tree=3)
+    assert {tuple(r) for r in got.select("tree", "path", "node", "position").collect()} == want
+
+
 def test_deep_tree_and_empty_table(spark):
     deep = spark.createDataFrame([(1, i, i - 1 if i else None, "user", str(i), 1.0) for i in range(100)], MESSAGES)
     got = chat_format.format_chats(deep).first()

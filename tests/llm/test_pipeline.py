@@ -57,6 +57,11 @@ def test_stages_do_what_they_say(spark, corpus):
 
 def test_whole_run(spark, corpus):
     folder, docs = corpus
-    got = {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()}
+    result = corpus_pipeline.run(spark, folder)
+    assert result.columns == ["doc_id", "text", "lang", "source", "n_chars", "size", "target", "epochs", "taken"]
+    texts = {d[0]: d[1] for d in docs}
+    rows = result.collect()
+    assert all(r["text"] == texts[r["doc_id"]] and 0 < r["taken"] <= 3 * r["size"] for r in rows)
+    got = {r["doc_id"] for r in rows}
     assert got and not got & {3, 13, 400, 500, 504} and got <= {d[0] for d in docs}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "benchmark_decontamination", "source_mixing"]
