@@ -28,7 +28,7 @@ from ledgerflow.llm.components import components, join_ids
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _ODD = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64) | 1) for k in range(1, 65)]
 #: Counters of the sketch, as a power of two, and the counters that travel in one row.
-SKETCH_BITS, BLOCK_BITS = 22, 16
+SKETCH_BITS, BLOCK_BITS = 24, 18
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -71,16 +71,43 @@ def prefix_keys(hashes: np.ndarray, percent: int, ranks: np.ndarray) -> np.ndarr
     return hashes[np.argpartition(place, take - 1)[:take]]
 
 
-def packed_counts(counts: np.ndarray) -> bytes:
-    """The counters of a block that aren't 0: their places, then their values."""
-    at = np.flatnonzero(counts)
-    return zlib.compress(at.astype(np.uint16).tobytes() + counts[at].astype(np.int64).tobytes(), 1)
+def packed_counts(at: np.ndarray, counts: np.ndarray) -> bytes:
+    """The counters of a block that aren't 0: the steps from place to place and the values, byte by byte of a number."""
+    numbers = np.concatenate((np.diff(at, prepend=0), counts)).astype("<u4")
+    return zlib.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
 
 def unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    raw = zlib.decompress(packed)
-    n = len(raw) // 10
-    return np.frombuffer(raw, np.uint16, n).astype(np.int64), np.frombuffer(raw, np.int64, n, 2 * n)
+    numbers = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+    n = len(numbers) // 2
+    return np.cumsum(numbers[:n]), numbers[n:]
+
+
+class Sketch:
+    """Counts of a task's shingles by counter, kept as sorted places and values."""
+
+    def __init__(self, most: int = 4_000_000):
+        self.places, self.counts, self.fresh, self.held, self.most = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0, most
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.fresh.append(counters(hashes).astype(np.int32))
+        self.held += len(hashes)
+        if self.held > self.most:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.fresh:
+            new, n = np.unique(np.concatenate(self.fresh), return_counts=True)
+            self.places, back = np.unique(np.concatenate((self.places, new)), return_inverse=True)
+            self.counts = np.bincount(back, np.concatenate((self.counts, n))).astype(np.int64)
+            self.fresh, self.held = [], 0
+
+    def blocks(self) -> Iterator[tuple[int, bytes]]:
+        """Each block with its packed counters; a count beyond 2^32 - 1 stops there."""
+        self.settle()
+        for block in np.unique(self.places >> BLOCK_BITS).tolist():
+            low, high = np.searchsorted(self.places, (block << BLOCK_BITS, (block + 1) << BLOCK_BITS))
+            yield block, packed_counts(self.places[low:high] - (block << BLOCK_BITS), np.minimum(self.counts[low:high], (1 << 32) - 1))
 
 
 def sketch_ranks(pieces: DataFrame) -> np.ndarray:
@@ -97,13 +124,15 @@ def sketch_ranks(pieces: DataFrame) -> np.ndarray:
         return sums
 
     def add_up(table: pa.Table) -> pa.Table:
-        return pa.table({"block": table.column("block")[:1], "counts": pa.array([packed_counts(total(table))], pa.binary())})
+        sums = np.minimum(total(table), (1 << 32) - 1)
+        at = np.flatnonzero(sums)
+        return pa.table({"block": table.column("block")[:1], "counts": pa.array([packed_counts(at, sums[at])], pa.binary())})
 
     def rank(table: pa.Table) -> pa.Table:
         steps = np.minimum(255, 8 * np.log2(total(table) + 1.0)).astype(np.uint8)
         return pa.table({"block": table.column("block")[:1], "ranks": pa.array([steps.tobytes()], pa.binary())})
 
-    some = pieces.groupBy("block", F.pmod("piece", F.lit(256)).alias("share")).applyInArrow(add_up, "block int, counts binary")
+    some = pieces.groupBy("block", F.floor(F.col("piece") / 512).alias("share")).applyInArrow(add_up, "block int, counts binary")
     ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
     for row in some.groupBy("block").applyInArrow(rank, "block int, ranks binary").collect():
         ranks[row["block"] << BLOCK_BITS : (row["block"] + 1) << BLOCK_BITS] = np.frombuffer(row["ranks"], np.uint8)
@@ -205,7 +234,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Size, digest and bitmap of each row; after the last one, the task's piece of the sketch."""
         names = ["doc_id", "n", "name", "map", "block", "piece", "counts"]
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch = Sketch()
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
@@ -213,15 +242,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
                 sizes = [len(s) for s in sets]
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 maps = [bitmap(s, bitmap_bits(len(s))).tobytes() for s in sets]
-                counts += np.bincount(counters(np.concatenate(sets)), minlength=len(counts))
+                sketch.add(np.concatenate(sets))
                 none = [pa.nulls(len(sets), t) for t in (pa.int32(), pa.int32(), pa.binary())]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(maps, pa.binary()), *none], names)
         piece = TaskContext.get().partitionId()
-        for block, own in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
-            if own.any():
-                none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
-                packed = pa.array([packed_counts(own)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*none, pa.array([block], pa.int32()), pa.array([piece], pa.int32()), packed], names)
+        for block, packed in sketch.blocks():
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([block], pa.int32()), pa.array([piece], pa.int32()), pa.array([packed], pa.binary())], names)
 
     both = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, block int, piece int, counts binary"), "described")
     described = both.where("block is null")

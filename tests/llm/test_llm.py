@@ -171,10 +171,24 @@ def test_similar_sets_share_a_key(size, changes, seed, percent):
     b = np.unique(np.concatenate((keep, rng.integers(0, 2**64, changes - changes // 2, dtype=np.uint64))))
     both = len(np.intersect1d(a, b))
     if 100 * both >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
-        ranks = rng.integers(0, 9, 1 << ngram_join.SKETCH_BITS).astype(np.uint8)
+        ranks = np.tile(rng.integers(0, 9, 1 << 16, dtype=np.uint8), 1 << ngram_join.SKETCH_BITS - 16)
         assert set(ngram_join.prefix_keys(a, percent, ranks).tolist()) & set(ngram_join.prefix_keys(b, percent, ranks).tolist())
 
 
+def test_sketch_counts_what_it_saw():
+    rng = np.random.default_rng(2)
+    sketch, want = ngram_join.Sketch(most=1000), np.zeros(1 << ngram_join.SKETCH_BITS, np.int64)
+    for n in (0, 5, 700, 3000, 1):
+        hashes = rng.integers(0, 2**64, n, dtype=np.uint64) >> np.uint64(rng.integers(0, 45)) << np.uint64(3)
+        sketch.add(hashes)
+        want += np.bincount(ngram_join.counters(hashes), minlength=len(want))
+    got = np.zeros_like(want)
+    for block, packed in sketch.blocks():
+        at, counts = ngram_join.unpacked(packed)
+        got[at + (block << ngram_join.BLOCK_BITS)] += counts
+    assert np.array_equal(got, want) and list(ngram_join.Sketch().blocks()) == []
+
+
 def test_unrelated_sets_and_a_shared_passage_give_no_common_key():
     rng = np.random.default_rng(1)
     passage = rng.integers(0, 2**64, 48, dtype=np.uint64)
