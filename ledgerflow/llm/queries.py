@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, decontaminate, hamming_search, license_scan, mixing, ngram_join, token_counts, toxicity, url_filter, warc
+from ledgerflow.llm import chat_format, decontaminate, filter_audit, hamming_search, license_scan, mixing, ngram_join, token_counts, toxicity, url_filter, warc
 from ledgerflow.llm.common import materialise, table, word_count
 
 
@@ -205,6 +205,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Labelled documents that the toxicity chain is fitted on, at most about.
 TOXIC_SAMPLE = 20_000
 
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all their orders over all documents, by language."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE_OP12 = """
+with docs as (select doc_id, coalesce(text, '') as text, coalesce(lang, '') as part from documents),
+marks as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+split as (select *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w, min(doc_id) over (partition by text) as low from docs),
+judged as (
+    select part, coalesce(good, false)::int as good, coalesce(toxic, false)::int as toxic,
+        len(w) < 200 as a, 100 * len(list_distinct(w)) < 50 * len(w) as b, 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) as c,
+        regexp_matches(text, '[#$%&*|]') as d, coalesce(s.doc_id > low, false) as e
+    from split s left join marks m on s.doc_id = m.doc_id),
+counted as (select part, good, toxic, a, b, c, d, e, count(*) as n from judged group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+    select p.x || q.x || r.x || s.x || t.x as o from letters p, letters q, letters r, letters s, letters t
+    where len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+placed as (
+    select *, list_transform(range(1, 6), lambda k: case substr(o, k::int, 1) when 'A' then a when 'B' then b when 'C' then c when 'D' then d else e end) as fails from counted, orders),
+ranked as (select *, coalesce(list_position(fails, true), 6) as gone, len(list_filter(fails, lambda x: x)) as n_fails from placed),
+report as (
+    select part, o as filter_order, k::int as step, substr(o, k::int, 1) as filter, sum(n) filter (gone > k) as kept, sum(n) filter (gone = k) as removed,
+        sum(n) filter (fails[k] and gone < k) as redundant, sum(n) filter (fails[k] and n_fails = 1) as unique_fails, sum(n * good) filter (gone = k) as good_lost, sum(n * toxic) filter (gone = k) as toxic_lost
+    from ranked, range(1, 6) as steps(k) group by part, o, k)
+select part, filter_order, step, filter, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+    coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost, (coalesce(sum(removed) over (partition by part, filter), 0))::bigint as shapley
+from report
+"""
+
 QUERIES = {
     "op1_hamming_search": op1_hamming_search,
     "op2_ngram_join": op2_ngram_join,
@@ -216,5 +248,6 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
+    "op12_filter_audit": op12_filter_audit,
 }
-ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8}
+ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8, "op12_filter_audit": ORACLE_OP12}
