@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, decontaminate, filter_audit, hamming_search, license_scan, mixing, ngram_join, token_counts, toxicity, url_filter, warc
+from ledgerflow.llm import chat_format, decontaminate, filter_audit, hamming_search, license_scan, mixing, ngram_join, secret_scan, token_counts, toxicity, url_filter, warc
 from ledgerflow.llm.common import materialise, table, word_count
 
 
@@ -206,6 +206,36 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOXIC_SAMPLE = 20_000
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: one row for each row, null and empty texts without spans."""
+    return secret_scan.secret_digest(secret_scan.secret_scan(table(spark, sf_dir, "documents")))
+
+
+def spans_sql(rules: tuple[secret_scan.Rule, ...]) -> str:
+    """The rules' matches by regex functions: what lies between matches says where they begin."""
+    parts = []
+    for number, rule in enumerate(rules):
+        head, whole = rule.head.replace("'", "''"), (rule.head + rule.value).replace("'", "''")
+        parts.append(f"""
+    select doc_id, copy, {number} as rank, '{rule.kind}' as kind, start, start + length(m[k]) as stop from (
+        select doc_id, copy, m, unnest(range(1, len(m) + 1))::int as k, list_sum(list_transform(b[:k], lambda x: length(x)))::bigint + coalesce(list_sum(list_transform(m[:k - 1], lambda x: length(x))), 0)::bigint as start from (
+            select doc_id, copy, regexp_extract_all(text, '{whole}') as m, regexp_split_to_array(text, '{whole}') as b from docs) where len(m) > 0)
+    where length(m[k]) - length(regexp_extract(m[k], '^{head}')) >= {rule.least}""")
+    return "\n    union all".join(parts)
+
+
+ORACLE_OP11 = f"""
+with docs as (select doc_id, row_number() over () as copy, coalesce(text, '') as text from documents),
+spans as ({spans_sql(secret_scan.BASE_RULES + secret_scan.MORE_RULES)}),
+listed as (
+    select copy, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+        string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) as spans, string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (kind in ('assign', 'access', 'hex')) as base
+    from spans group by copy)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join listed using (copy)
+"""
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all their orders over all documents, by language."""
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -248,6 +278,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_license_scan": op9_license_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_secret_scan": op11_secret_scan,
     "op12_filter_audit": op12_filter_audit,
 }
-ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8, "op12_filter_audit": ORACLE_OP12}
+ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8, "op11_secret_scan": ORACLE_OP11, "op12_filter_audit": ORACLE_OP12}
