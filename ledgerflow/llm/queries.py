@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat_format, decontaminate, filter_audit, hamming_search, license_scan, mixing, ngram_join, secret_scan, token_counts, toxicity, url_filter, warc
+from ledgerflow.llm import chat_format, decontaminate, filter_audit, hamming_search, importance, license_scan, mixing, ngram_join, secret_scan, token_counts, toxicity, url_filter, warc
 from ledgerflow.llm.common import materialise, table, word_count
 
 
@@ -267,6 +267,37 @@ select part, filter_order, step, filter, coalesce(kept, 0)::bigint as kept, coal
 from report
 """
 
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents of 20 words and more, drawn towards the benchmark; one row for each row."""
+    drawn = importance.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE_OP13 = """
+with crc_table as (
+    select list_transform(range(0, 256), lambda n: list_reduce(range(0, 8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n)) as t),
+texts as (
+    select doc_id, row_number() over () as copy, text, false as target from documents
+    union all select null, -1 - row_number() over (), text, true from benchmark),
+split as (
+    select doc_id, copy, target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from texts),
+runs as (select copy, target, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f from split),
+counted as (select copy, target, f, count(*) as n from runs group by copy, target, f),
+bytes as (select f, hex(encode(f)) as h from counted group by f),
+buckets as (
+    select f, xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, (2 * i + 1)::int, 2))::bigint), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 10000 as bucket
+    from bytes, crc_table),
+hist as (select bucket, coalesce(sum(n) filter (not target), 0) as s, coalesce(sum(n) filter (target), 0) as t from counted join buckets using (f) group by bucket),
+gains as (select bucket, floor(1000 * ln(((t + 1) * (sum(s) over () + 10000))::double / ((s + 1) * (sum(t) over () + 10000))::double)) as gain from hist),
+weights as (select copy, sum(n)::bigint as n_features, floor(sum(n * gain)::double / sum(n))::bigint as weight from counted join buckets using (f) join gains using (bucket) where not target group by copy),
+scored as (
+    select doc_id, copy, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+    from split left join weights using (copy) where not target),
+ranked as (select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id nulls last) as place, count(*) over (partition by n_words >= 20) as fit from scored)
+select doc_id, n_features, weight, score, case when n_words >= 20 and place <= 25 * fit // 100 then place end as rank from ranked
+"""
+
 QUERIES = {
     "op1_hamming_search": op1_hamming_search,
     "op2_ngram_join": op2_ngram_join,
@@ -280,5 +311,6 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_secret_scan": op11_secret_scan,
     "op12_filter_audit": op12_filter_audit,
+    "op13_importance_resample": op13_importance_resample,
 }
-ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8, "op11_secret_scan": ORACLE_OP11, "op12_filter_audit": ORACLE_OP12}
+ORACLE: dict[str, str] = {"op1_hamming_search": ORACLE_OP1, "op2_ngram_join": ORACLE_OP2, "op3_chat_format": ORACLE_OP3, "op5_warc": ORACLE_OP5, "op8_source_mix": ORACLE_OP8, "op11_secret_scan": ORACLE_OP11, "op12_filter_audit": ORACLE_OP12, "op13_importance_resample": ORACLE_OP13}

@@ -61,7 +61,7 @@ def keys(df, key):
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_query_on_hostile_tables(spark, hostile, name):
     got = queries.QUERIES[name](spark, hostile)
-    if name in ("op2_ngram_join", "op5_warc"):  # the other formulations don't cover null keys
+    if name in ("op2_ngram_join", "op5_warc", "op11_secret_scan", "op12_filter_audit", "op13_importance_resample"):  # the other formulations don't cover null keys
         want = duck(hostile).execute(queries.ORACLE[name]).df()
         if name == "op2_ngram_join":
             got, want = got.where("doc_id is not null"), want[want["doc_id"].notna()]
