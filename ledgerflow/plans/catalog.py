@@ -310,8 +310,8 @@ def fx_stale_rates(l: Ledger) -> DataFrame:
 @query
 def model_check_results(l: Ledger) -> DataFrame:
     """Failing rows of each check of the fact, its accounts and merchants, as one table."""
-    every = [c.failing.agg(F.count(F.lit(1)).alias("failing")).select(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "failing") for c in model_checks({"fct_transactions": l.fct, "dim_account": l.accounts, "dim_merchant": l.merchants})]
-    return reduce(DataFrame.unionByName, every)
+    every = model_checks({"fct_transactions": l.fct, "dim_account": l.accounts, "dim_merchant": l.merchants})
+    return reduce(DataFrame.unionByName, map(quality.check_rows, every))
 
 
 # ---- incremental layer

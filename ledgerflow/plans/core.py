@@ -89,12 +89,6 @@ def quarantine(validated: DataFrame) -> DataFrame:
     )
 
 
-def revalidate_quarantine(quarantined: DataFrame, validated: DataFrame) -> DataFrame:
-    """quarantined without rows that are valid now, for example because their account has arrived since."""
-    valid = validated.where("rejection_reason is null").select("_source_file", "_source_row")
-    return quarantined.join(valid, ["_source_file", "_source_row"], "left_anti")
-
-
 def fct_transactions(validated: DataFrame, fx: DataFrame, types: DataFrame) -> DataFrame:
     """The last delivered version of each valid transaction, in its own currency and in euro.
 
@@ -113,12 +107,6 @@ def fct_transactions(validated: DataFrame, fx: DataFrame, types: DataFrame) -> D
     )
 
 
-def released(quarantined: DataFrame | None, validated: DataFrame) -> DataFrame:
-    """Rows of validated that are in the quarantine but valid now."""
-    valid = validated.where("rejection_reason is null")
-    return valid.limit(0) if quarantined is None else valid.join(quarantined.select("_source_file", "_source_row"), ["_source_file", "_source_row"], "left_semi")
-
-
 def recompute_from(fct: DataFrame, balances: DataFrame | None, before: DataFrame | None = None) -> dt.date | None:
     """First day whose balances may have changed since they were built; None if nothing new came.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerflow.operators.rank import exact_percentiles
 from ledgerflow.operators.temporal import latest_by
 from ledgerflow.sources.tables import Warehouse
 from ledgerflow.streaming.events import decode_events
@@ -84,15 +85,14 @@ def screen_stream(rows: DataFrame, warehouse: Warehouse, name: str, checkpoint:
 
 
 def latency(alerts: DataFrame) -> DataFrame:
-    """Median, 95th percentile and maximum, in seconds, of each leg from produced over landed to detected.
+    """Rows, median, 95th percentile and maximum, in seconds, of each leg from produced over landed to detected.
 
-    Equal gaps are counted first; the exact percentiles are those of the counted values."""
+    The percentiles are exact; gaps are counted by value and by ranges of values, so no task holds all gaps of a leg."""
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     legs = {"produced_to_landed": ("produced_at", "landed_at"), "landed_to_alert": ("landed_at", "detected_at"), "produced_to_alert": ("produced_at", "detected_at")}
     gaps = F.array(*[F.struct(F.lit(k).alias("leg"), ((micros(b) - micros(a)) / 1_000_000).alias("s")) for k, (a, b) in legs.items()])
     rows = alerts.where("produced_at is not null").select(F.explode(gaps).alias("g")).select("g.*")
-    counted = rows.where("s is not null").groupBy("leg", "s").agg(F.count(F.lit(1)).alias("c"))
-    return counted.groupBy("leg").agg(F.sum("c").alias("n"), F.percentile("s", 0.5, F.col("c")).alias("p50_s"), F.percentile("s", 0.95, F.col("c")).alias("p95_s"), F.max("s").alias("max_s"))
+    return exact_percentiles(rows, ["leg"], "s", {"p50_s": 0.5, "p95_s": 0.95, "max_s": 1.0})
 
 
 def missed_alerts(alerts: DataFrame, streamed_ids: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,13 +78,15 @@ def test_versions_only_grow(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     for n in range(3):
         w.replace(spark.range(n, n + 1), "t")
-    w.drop_older("t", keep=1)
+    w.drop_older(keep=1)
     assert len(w.versions("t")) == 1
     assert [r[0] for r in w.replace(spark.range(99, 100), "t").collect()] == [99] == [r[0] for r in w.read("t").collect()]
 
 
-def files(folder):
-    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+def files(table):
+    """The files that a table consists of, and when they were written."""
+    paths = [Path(f.removeprefix("file://")) for f in table.inputFiles()]
+    return {p: p.stat().st_mtime_ns for p in paths}
 
 
 def test_only_touched_months_are_written_again(spark, tmp_path):
@@ -95,13 +98,13 @@ def test_only_touched_months_are_written_again(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path / "wh"))
     landing.load_all(spark, str(tmp_path / "in"), w, loaded_at=dt.datetime(2025, 3, 2, 6))
     build(w)
-    before, held = files(tmp_path / "wh/fct_transactions/live"), files(tmp_path / "wh/fct_account_daily_balance/live")
+    before, held = files(w.read("fct_transactions")), files(w.read("fct_account_daily_balance"))
     # M2 moves from March to April and M3 changes; nothing else does
     put(tmp_path / "in", "transactions", "20250402", head + "\n" + line("M2", "2025-04-01", 2) + line("M3", "2025-04-01", 4))
     put(tmp_path / "in", "accounts", "20250402", "account_id,customer_id,iban,account_type,currency,status,opened_date,closed_date,opening_balance,updated_at\nA9,C1,DE1,CHECKING,EUR,ACTIVE,2025-01-01,,0,2025-04-01 00:00:00\n")
     landing.load_all(spark, str(tmp_path / "in"), w, loaded_at=dt.datetime(2025, 4, 3, 6))
     step = build(w)
-    after, kept = files(tmp_path / "wh/fct_transactions/live"), files(tmp_path / "wh/fct_account_daily_balance/live")
+    after, kept = files(w.read("fct_transactions")), files(w.read("fct_account_daily_balance"))
     month = lambda found: {p.parent.name for p in found}
     assert month(before) == {"txn_month=2025-01", "txn_month=2025-02", "txn_month=2025-03"} and month(after) == {"txn_month=2025-01", "txn_month=2025-02", "txn_month=2025-04"}
     assert {p: t for p, t in after.items() if p in before} == {p: t for p, t in before.items() if p.parent.name < "txn_month=2025-03"}
