@@ -107,8 +107,8 @@ def merge_by_partition(
 ) -> tuple[DataFrame, list[str]]:
     """Puts a batch into a table by key, or takes the keys of removed out; returns the new table and the partitions written.
 
-    These are the batch's own and those in which its keys were before, where a row may win against the batch's; of the
-    table, only keys and partitions are read to find them. Partitions without rows afterwards go. Their names, one for
+    These are the batch's own and those in which its keys were before; of the table, only keys, precedence and partitions
+    are read to find them, once rows that are there already or lose have been left out. Partitions without rows afterwards go. Their names, one for
     each month, are all that comes to the driver."""
     if old is None:
         merged = warehouse.write(upsert(None, batch, keys, precedence), name, partition, None, cluster_by, bloom)
@@ -118,6 +118,9 @@ def merge_by_partition(
     months = [r[0] for r in batch.select(partition).distinct().collect()]
     seen = old.where(F.col(partition).isin(months)).select(*keys, F.xxhash64(*columns).alias("_same"))
     batch = batch.withColumn("_same", F.xxhash64(*columns)).join(seen, [*keys, "_same"], "left_anti").select(*batch.columns)
+    if precedence:  # so is what loses against a stored row
+        held = old.select(*keys, F.struct(*precedence).alias("_best")).join(batch.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.max("_best").alias("_best"))
+        batch = warehouse.step(batch.join(held, keys, "left").where(F.col("_best").isNull() | (F.col("_best") <= F.struct(*precedence))).select(*batch.columns))
     moving = batch.select(*keys) if removed is None else batch.select(*keys).unionByName(removed.select(*keys))
     touched = batch.select(partition).unionByName(old.select(*keys, partition).join(moving.distinct(), keys, "left_semi").select(partition))
     touched = sorted(r[0] for r in touched.distinct().collect())
