@@ -81,7 +81,7 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], at: str, amoun
 
 def with_halo(cut: DataFrame, at: str, span: Column) -> DataFrame:
     """cut_hot()'s rows, and copies of them (_halo true) in each later chunk that begins less than span after them."""
-    reach = F.size(F.filter(BOUNDS, lambda b: b < F.col(at) + span))
+    reach = F.size(F.filter(BOUNDS, lambda b: b < F.col(at) + span))  # -1 or less without bounds
     last = F.when(F.col(BOUNDS).isNotNull() & F.col(at).isNotNull(), F.greatest(reach, F.col(CHUNK))).otherwise(F.col(CHUNK))
     return cut.withColumn("_to", F.explode(F.sequence(CHUNK, last))).withColumns({HALO: F.col("_to") > F.col(CHUNK), CHUNK: F.col("_to")}).drop("_to")
 

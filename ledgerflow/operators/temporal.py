@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,12 @@ from ledgerflow.functions.columns import epoch_micros
 from ledgerflow.operators.chunks import BOUNDS, CHUNK, HALO, cut_hot, running_last, with_halo, with_row_halo
 
 MINUTE = 60_000_000
+#: How rows that are looked at several times are held: written and read back, or as they are.
+Hold = Callable[[DataFrame], DataFrame]
+
+
+def as_it_is(df: DataFrame) -> DataFrame:
+    return df
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
@@ -19,7 +26,7 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str | Column]) -> Data
     return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
 
 
-def as_of_join(left: DataFrame, versions: DataFrame, key: str, at: Column, mode: str = "instant", keep: tuple[str, ...] = (), hot_rows: int | None = None) -> DataFrame:
+def as_of_join(left: DataFrame, versions: DataFrame, key: str, at: Column, mode: str = "instant", keep: tuple[str, ...] = (), hot_rows: int | None = None, hold: Hold = as_it_is) -> DataFrame:
     """left with the columns `keep` of the version of its key that was valid at `at`; nulls where there is none.
 
     versions: key, valid_from, valid_to (null: still valid), half-open; versions of a key don't overlap. mode "before":
@@ -36,7 +43,9 @@ def as_of_join(left: DataFrame, versions: DataFrame, key: str, at: Column, mode:
     states = versions.where(F.col(key).isNotNull() & F.col("valid_from").isNotNull()).select(F.col(key).alias("_key"), epoch_micros(F.col("valid_from")).alias("_at"), F.lit(0 if first else 1).alias("_order"), state.alias("_state"))
     both = rows.unionByName(states, allowMissingColumns=True)
     both = both.withColumn("_spread", F.when(F.col("_key").isNull() | F.col("_at").isNull(), F.pmod(F.xxhash64("_row"), F.lit(4096))))
-    found = running_last(cut_hot(both, ["_key", "_spread"], "_at", hot_rows), ["_key", "_spread"], ["_at", "_order"], F.col("_state"), "_found", hot=hot_rows is not None)
+    keys, hot = ["_key", "_spread"], hot_rows is not None
+    cut = hold(cut_hot(hold(both), keys, "_at", hot_rows)) if hot else cut_hot(both, keys, "_at", None)
+    found = running_last(cut, keys, ["_at", "_order"], F.col("_state"), "_found", hot=hot)
     to = F.col("_found.to")
     valid = F.col("_spread").isNull() & (to.isNull() | ((F.col("_at") < to) if first else (to >= F.col("_at"))))
     return found.where(F.col("_row").isNotNull()).select("_row.*", *[F.when(valid, F.col(f"_found.{c}")).alias(c) for c in keep])
@@ -48,30 +57,36 @@ def trailing_count(df: DataFrame, keys: list[str], ts: str, minutes: int) -> Col
     return F.count(F.lit(1)).over(w)
 
 
+def cut_by(df: DataFrame, keys: list[str], ts: str, hot_rows: int | None) -> DataFrame:
+    """df with _at and cut_hot()'s columns; as it is if it has them."""
+    return df if CHUNK in df.columns else cut_hot(df.withColumn("_at", epoch_micros(F.col(ts))), keys, "_at", hot_rows)
+
+
 def trailing_counts(df: DataFrame, keys: list[str], ts: str, minutes: int, name: str, hot_rows: int | None = None) -> DataFrame:
     """df with trailing_count() as a column. With hot_rows, keys of more rows are cut in time, and each chunk gets copies
-    of the rows before it that its first windows reach back to."""
-    cut = cut_hot(df.withColumn("_at", epoch_micros(F.col(ts))), keys, "_at", hot_rows)
-    cut = with_halo(cut, "_at", F.lit(minutes * MINUTE)) if hot_rows is not None else cut.withColumn(HALO, F.lit(False))
-    return cut.withColumn(name, trailing_count(cut, [*keys, CHUNK], ts, minutes)).where(~F.col(HALO)).drop("_at", CHUNK, BOUNDS, HALO)
+    of the rows before it that its first windows reach back to. df may be the result of cut_by()."""
+    cut = cut_by(df, keys, ts, hot_rows)
+    kept = [c for c in cut.columns if c in df.columns]
+    counted = with_halo(cut, "_at", F.lit(minutes * MINUTE)).withColumn(name, trailing_count(cut, [*keys, CHUNK], ts, minutes))
+    return counted.where(~F.col(HALO)).select(*kept, name)
 
 
-def island_members(df: DataFrame, keys: list[str], ts: str, tie: str, anchor: str, minutes: Column | int, hot_rows: int | None = None) -> DataFrame:
+def island_members(df: DataFrame, keys: list[str], ts: str, tie: str, anchor: str, minutes: Column | int, hot_rows: int | None = None, hold: Hold = as_it_is) -> DataFrame:
     """df with `island_anchor`: for rows in (t - window, t] of an anchor at t, the first anchor of its island, else null.
 
     anchor: a column that is true for anchors; anchors less than a window apart are one island. The windows of an island
     make one unbroken interval, so a row belongs to the island of the next anchor if that is less than a window away.
     One shuffle by key and running frames only: work grows with the rows, however many windows hold one. With hot_rows,
-    keys of more rows are cut in time; the last anchor, its island and the next anchor are carried over the cuts, so df
-    is read several times and should be a table."""
+    keys of more rows are cut in time; the last anchor, its island and the next anchor are carried over the cuts. Each
+    of these looks at the rows twice, so hold, if given, writes them in between. df may be the result of cut_by()."""
     hot, order = hot_rows is not None, ["_at", tie]
-    found = cut_hot(df.withColumns({"_at": epoch_micros(F.col(ts)), "_span": (minutes if isinstance(minutes, Column) else F.lit(minutes)).cast("long") * MINUTE}), keys, "_at", hot_rows)
-    at = F.col("_at")
-    found = running_last(found, keys, order, F.when(F.col(anchor), at), "_previous", before=True, hot=hot)
+    found = cut_by(df, keys, ts, hot_rows).withColumn("_span", (minutes if isinstance(minutes, Column) else F.lit(minutes)).cast("long") * MINUTE)
+    kept, at = [c for c in found.columns if c in df.columns], F.col("_at")
+    found = running_last(hold(found), keys, order, F.when(F.col(anchor), at), "_previous", before=True, hot=hot)
     starts = F.col(anchor) & (F.col("_previous").isNull() | (at - F.col("_previous") >= F.col("_span")))
-    found = running_last(found, keys, order, F.when(starts, F.col(tie)), "_first", hot=hot)
-    found = running_last(found, keys, order, F.when(F.col(anchor), F.struct(at.alias("at"), F.col("_first").alias("first"))), "_next", backwards=True, hot=hot)
-    return found.withColumn("island_anchor", F.when(F.col("_next.at") - at < F.col("_span"), F.col("_next.first"))).drop("_previous", "_first", "_next", "_at", "_span", CHUNK, BOUNDS)
+    found = running_last(hold(found), keys, order, F.when(starts, F.col(tie)), "_first", hot=hot)
+    found = running_last(hold(found), keys, order, F.when(F.col(anchor), F.struct(at.alias("at"), F.col("_first").alias("first"))), "_next", backwards=True, hot=hot)
+    return found.select(*kept, F.when(F.col("_next.at") - at < F.col("_span"), F.col("_next.first")).alias("island_anchor"))
 
 
 def date_spine(spark: SparkSession, start: dt.date, end_exclusive: dt.date) -> DataFrame:
@@ -98,13 +113,14 @@ def forward_fill(df: DataFrame, key: str, date: str, value: str, extend_days: in
     return filled.select(key, date, F.last(value, True).over(w).alias(value), F.last("published", True).over(w).alias("published"))
 
 
-def rolling_zscore(df: DataFrame, keys: list[str], order: list[str], value: Column, n: int = 50, hot_rows: int | None = None) -> DataFrame:
+def rolling_zscore(df: DataFrame, keys: list[str], order: list[str], value: Column, n: int = 50, hot_rows: int | None = None, hold: Hold = as_it_is) -> DataFrame:
     """df with history_count and zscore of value against the n rows before it; null where they don't vary.
 
     order: a time first. With hot_rows, keys of more rows are cut in time, and each chunk gets copies of the n rows
-    before it."""
-    cut = cut_hot(df.withColumns({"_v": value, "_at": epoch_micros(F.col(order[0]))}), keys, "_at", hot_rows)
-    cut = cut.withColumn(HALO, F.lit(False)) if hot_rows is None else with_row_halo(cut, keys, order, n)
+    before it, for which the rows are looked at three times. df may be the result of cut_by()."""
+    cut = cut_by(df, keys, order[0], hot_rows).withColumn("_v", value)
+    kept = [c for c in cut.columns if c in df.columns]
+    cut = cut.withColumn(HALO, F.lit(False)) if hot_rows is None else with_row_halo(hold(cut), keys, order, n)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order).rowsBetween(-n, -1)
     z = (F.col("_v") - F.avg("_v").over(w)) / F.nullif(F.stddev_samp("_v").over(w), F.lit(0.0))
-    return cut.withColumns({"history_count": F.count(F.lit(1)).over(w), "zscore": z}).where(~F.col(HALO)).drop("_v", "_at", CHUNK, BOUNDS, HALO)
+    return cut.withColumns({"history_count": F.count(F.lit(1)).over(w), "zscore": z}).where(~F.col(HALO)).select(*kept, "history_count", "zscore")

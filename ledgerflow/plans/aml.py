@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.config import Params
 from ledgerflow.functions.columns import surrogate_key
-from ledgerflow.operators.temporal import as_of_join, island_members, rolling_zscore, trailing_count
+from ledgerflow.operators.temporal import Hold, as_it_is, as_of_join, cut_by, island_members, rolling_zscore, trailing_counts
 
 MEMBER = ["rule_code", "account_id", "alert_anchor_txn_id", "txn_id", "txn_ts", "amount_eur"]
 KEYS = ["account_id", "rule_code"]
@@ -25,25 +25,27 @@ def rule_events(fct: DataFrame, p: Params = Params()) -> DataFrame:
     return fct.select(F.explode(rules).alias("rule_code"), "account_id", "txn_id", "txn_ts", "amount_eur")
 
 
-def rule_members(fct: DataFrame, p: Params = Params()) -> DataFrame:
+def rule_members(fct: DataFrame, p: Params = Params(), hot_rows: int | None = None, hold: Hold = as_it_is) -> DataFrame:
     """Members of all rules' alerts. The fact is read once and shuffled once, by account and rule.
 
     STRUCTURING and VELOCITY: an event is an anchor if its trailing window holds enough events; anchors less than a
     window apart are one alert, named after the first, whose members are the events in any of its windows. OUTLIER:
     payments far above the account's earlier ones, on a logarithmic scale; each is an alert of its own."""
-    return event_members(rule_events(fct, p), F.lit(True), p)
+    return event_members(rule_events(fct, p), F.lit(True), p, hot_rows, hold)
 
 
-def event_members(events: DataFrame, counts: Column, p: Params) -> DataFrame:
+def event_members(events: DataFrame, counts: Column, p: Params, hot_rows: int | None = None, hold: Hold = as_it_is) -> DataFrame:
     """Members of the alerts of rule_events(). counts: whether an event may be an anchor or outlier; all events may be
-    members and are part of windows and histories."""
+    members and are part of windows and histories. hot_rows: accounts of more events are cut in time, once for all rules."""
     events = events.withColumn("_counts", counts)
+    events = hold(cut_by(hold(events), KEYS, "txn_ts", hot_rows)) if hot_rows is not None else cut_by(events, KEYS, "txn_ts", None)
     structuring, velocity, outlier = (F.col("rule_code") == rule for rule in ("STRUCTURING", "VELOCITY", "OUTLIER"))
-    many = lambda minutes, least: trailing_count(events, KEYS, "txn_ts", minutes) >= least
-    anchor = F.when(structuring, many(p.structuring_window_minutes, p.structuring_min_count)).when(velocity, many(p.velocity_window_minutes, p.velocity_min_count)).otherwise(False)
+    counted = trailing_counts(events, KEYS, "txn_ts", p.structuring_window_minutes, "_day", hot_rows)
+    counted = trailing_counts(counted, KEYS, "txn_ts", p.velocity_window_minutes, "_burst", hot_rows)
+    anchor = F.when(structuring, F.col("_day") >= p.structuring_min_count).when(velocity, F.col("_burst") >= p.velocity_min_count).otherwise(False)
     minutes = F.when(structuring, p.structuring_window_minutes).otherwise(p.velocity_window_minutes)
-    merged = island_members(events.withColumn("_anchor", anchor & F.col("_counts")), KEYS, "txn_ts", "txn_id", "_anchor", minutes)
-    scored = rolling_zscore(merged, KEYS, ["txn_ts", "txn_id"], F.when(outlier, F.ln(F.col("amount_eur").cast("double"))), p.outlier_history)
+    merged = island_members(counted.withColumn("_anchor", anchor & F.col("_counts")), KEYS, "txn_ts", "txn_id", "_anchor", minutes, hot_rows, hold)
+    scored = rolling_zscore(merged, KEYS, ["txn_ts", "txn_id"], F.when(outlier, F.ln(F.col("amount_eur").cast("double"))), p.outlier_history, hot_rows, hold)
     far = F.col("_counts") & (F.col("history_count") >= p.outlier_min_history) & (F.col("amount_eur") >= p.outlier_min_amount_eur) & (F.col("zscore") >= p.outlier_min_zscore)
     named = scored.withColumn("alert_anchor_txn_id", F.when(outlier, F.when(far, F.col("txn_id"))).otherwise(F.col("island_anchor")))
     return named.where("alert_anchor_txn_id is not null").select(*MEMBER)
@@ -106,8 +108,10 @@ def outlier(fct: DataFrame, p: Params = Params()) -> DataFrame:
     return rule_members(fct.where("txn_type = 'CARD_PAYMENT'"), p).where("rule_code = 'OUTLIER'")
 
 
-def alert_members(fct: DataFrame, p: Params = Params()) -> DataFrame:
-    return with_alert_id(rule_members(fct, p))
+def alert_members(fct: DataFrame, p: Params = Params(), hot_rows: int | None = None, hold: Hold = as_it_is) -> DataFrame:
+    """rule_members() with the alert's id. hot_rows: accounts of more events are cut in time, so that one account uses
+    many tasks; hold writes what is then looked at several times."""
+    return with_alert_id(rule_members(fct, p, hot_rows, hold))
 
 
 def with_alert_id(members: DataFrame) -> DataFrame:
