@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +16,13 @@ def scd2_from_feed(feed: DataFrame, key: str, version_ts: str, attributes: list[
 
     Of repeated versions the last by `tie` counts; a version that changes no attribute disappears, while A, B, A stays
     three. All windows share one partitioning, so there is one shuffle."""
+    return scd2_from_versions(latest_by(feed, [key, version_ts], tie), key, version_ts, attributes)
+
+
+def scd2_from_versions(versions: DataFrame, key: str, version_ts: str, attributes: list[str]) -> DataFrame:
+    """The history of versions, one row for each key and moment."""
     order = Window.partitionBy(key).orderBy(version_ts)
-    once = latest_by(feed, [key, version_ts], tie).withColumn("_state", surrogate_key(*[F.col(c) for c in attributes]))
+    once = versions.withColumn("_state", surrogate_key(*[F.col(c) for c in attributes]))
     changed = once.withColumn("_before", F.lag("_state").over(order)).where(F.col("_before").isNull() | (F.col("_before") != F.col("_state")))
     following = F.lead(version_ts).over(order)
     return changed.withColumns(
@@ -23,6 +30,23 @@ def scd2_from_feed(feed: DataFrame, key: str, version_ts: str, attributes: list[
     ).drop("_state", "_before")
 
 
+def splice_versions(versions: DataFrame | None, news: DataFrame, key: str, version_ts: str, tie: list[str]) -> DataFrame:
+    """Versions (one row for each key and moment, changing anything or not) with newly delivered ones spliced in, late and
+    repeated ones included. A version without a change has to be kept: one that comes between may turn it into a change."""
+    return upsert(versions, latest_by(news, [key, version_ts], tie), [key, version_ts], tie)
+
+
+def splice_scd2(history: DataFrame, versions: DataFrame, news: DataFrame, key: str, version_ts: str, attributes: list[str]) -> DataFrame:
+    """history with the rows of the keys in news made anew from their spliced versions; all other rows stay as they are."""
+    return splice(history, versions, news, key, lambda rows: scd2_from_versions(rows, key, version_ts, attributes))
+
+
+def splice(history: DataFrame, versions: DataFrame, news: DataFrame, key: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    touched = news.select(F.col(key).alias("_touched")).distinct()
+    mine = lambda df, how: df.join(touched, df[key].eqNullSafe(F.col("_touched")), how)
+    return mine(history, "left_anti").unionByName(make(mine(versions, "left_semi")))
+
+
 def snapshot(target: DataFrame | None, current: DataFrame, key: str, updated_at: str) -> DataFrame:
     """target with the rows of current that are new or newer; open versions they replace are closed at that moment.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.config import Params
+from ledgerflow.operators import change
 from ledgerflow.operators.change import loaded_since, snapshot, upsert
 from ledgerflow.operators.quality import require_passed, run_checks
 from ledgerflow.plans import controls, core, derived, staging
@@ -17,6 +18,10 @@ from ledgerflow.sources.seeds import mcc_codes, transaction_types
 from ledgerflow.sources.tables import Warehouse, month_partition
 
 
+#: Which of two deliveries of a customer's version counts, and the buckets of customers that a build writes anew.
+BY_DELIVERY, CUSTOMER_BUCKETS = ["_source_file", "_source_row"], 64
+
+
 def build(warehouse: Warehouse, p: Params = Params(), full_refresh: bool = False, check: bool = True, reconcile: bool = True) -> dict[str, DataFrame]:
     """Builds every table from the landed text and returns the new tables by name.
 
@@ -55,7 +60,7 @@ def new_tables(warehouse: Warehouse, p: Params, full_refresh: bool) -> tuple[dic
     accounts = core.dim_account(core.current_accounts(staging.stg_accounts(raw["accounts"])))
     out = {
         "dim_account": write(accounts, "dim_account"),
-        "dim_customer": write(core.dim_customer(staging.stg_customers(raw["customers"])), "dim_customer"),
+        **customers(warehouse, raw["customers"], before, p),
         "dim_merchant": write(core.dim_merchant(staging.stg_merchants(raw["merchants"]), mcc_codes(spark)), "dim_merchant"),
         "dim_date": write(core.dim_date(spark, p), "dim_date"),
         "fx_rates_daily": write(core.fx_daily(staging.stg_fx_rates(raw["fx_rates"]), p), "fx_rates_daily"),
@@ -78,11 +83,33 @@ def new_tables(warehouse: Warehouse, p: Params, full_refresh: bool) -> tuple[dic
     out["dq_transaction_file_summary"] = write(controls.file_summary(validated), "dq_transaction_file_summary")
     landed = warehouse.read("raw_transactions_stream")
     if landed is not None:
-        both = controls.stream_vs_batch(staging.stg_transactions_stream(landed), staging.stg_transactions(raw["transactions"]))
+        both = controls.stream_vs_batch(staging.stg_transactions_stream(landed), staging.stg_transactions(raw["transactions"]), warehouse.step)
         out["dq_stream_vs_batch"] = write(both, "dq_stream_vs_batch")
     return out, batch if old_fct is not None else None
 
 
+def customers(warehouse: Warehouse, raw: DataFrame, before, p: Params) -> dict[str, DataFrame]:
+    """All versions of customers that were ever delivered, and their histories; newly delivered versions are spliced in.
+
+    Both are kept in buckets of customers, and only buckets that something was delivered for are written again."""
+    key, at, names = "customer_id", "updated_at", ("int_customer_versions", "dim_customer")
+    versions, history = (before(n) for n in names)
+    bucket = lambda df: df.withColumn("customer_bucket", F.pmod(F.xxhash64(key), F.lit(CUSTOMER_BUCKETS)).cast("int"))
+    news = bucket(loaded_since(staging.stg_customers(raw), versions, lookback_hours=p.incremental_lookback_hours))
+    if versions is None or history is None:
+        versions = warehouse.write(change.splice_versions(None, news, key, at, BY_DELIVERY), names[0], "customer_bucket")
+        return {names[0]: versions, names[1]: warehouse.write(bucket(core.customer_columns(change.scd2_from_versions(versions, key, at, core.CUSTOMER_STATE))), names[1], "customer_bucket")}
+    news = warehouse.step(news)
+    touched = sorted(r[0] for r in news.select("customer_bucket").distinct().collect())
+    if not touched:
+        return dict(zip(names, (versions, history), strict=True))
+    own = F.col("customer_bucket").isin(touched)
+    versions = warehouse.write(change.splice_versions(versions.where(own), news, key, at, BY_DELIVERY), names[0], "customer_bucket", touched)
+    made = lambda rows: bucket(core.customer_columns(change.scd2_from_versions(rows, key, at, core.CUSTOMER_STATE)))
+    spliced = change.splice(history.where(own), versions.where(own), news, key, made)
+    return {names[0]: versions, names[1]: warehouse.write(spliced, names[1], "customer_bucket", touched)}
+
+
 def file_partition(df: DataFrame) -> DataFrame:
     """df with file_month, the month in the name of its file, or `none`."""
     return df.withColumn("file_month", F.coalesce(F.date_format(F.try_to_date(F.regexp_extract("_source_file", r"_(\d{8})\.csv", 1), "yyyyMMdd"), "yyyy-MM"), F.lit("none")))

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from ledgerflow.config import Params
 from ledgerflow.functions.columns import mask_email, mask_iban, masked_view
 from ledgerflow.operators import change, quality
-from ledgerflow.operators.temporal import as_of_join, latest_by
+from ledgerflow.operators.rank import percent_rank
+from ledgerflow.operators.temporal import as_of_join, latest_by, trailing_counts
 from ledgerflow.plans import aml, controls, core, finance, oracle, reports, staging
 from ledgerflow.plans.checks import model_checks, stale_rates
 from ledgerflow.sources import adapters
+from ledgerflow.sources.scratch import hold
 from ledgerflow.sources.seeds import mcc_codes, transaction_types
 from ledgerflow.streaming.events import decode_events, encode_events
 from ledgerflow.streaming.landing import exactly_once, latency, missed_alerts, screen_large
@@ -72,6 +74,11 @@ class Ledger:
     def fct(self) -> DataFrame:
         return core.fct_transactions(self.validated, self.fx, transaction_types(self.spark))
 
+    @cached_property
+    def held_fct(self) -> DataFrame:
+        """The fact as a table, for queries that use it several times."""
+        return hold(self.fct)
+
     @cached_property
     def balances(self) -> DataFrame:
         return core.daily_balance(self.fct, self.accounts, self.fx)
@@ -171,6 +178,21 @@ def customer_scd2(l: Ledger) -> DataFrame:
     return l.customers
 
 
+@query
+def customer_scd2_incremental(l: Ledger) -> DataFrame:
+    """The customers' histories from three deliveries, the last of which comes between the others in time."""
+    feed = staging.stg_customers(adapters.raw_customers(l.spark, l.dir))
+    key, at, tie = "customer_id", "updated_at", ["_source_file", "_source_row"]
+    part = F.pmod(F.xxhash64(key, at), F.lit(3))
+    versions = history = None
+    for n in (0, 2, 1):
+        news = feed.where(part == n)
+        versions = hold(change.splice_versions(versions, news, key, at, tie))
+        history = change.scd2_from_versions(versions, key, at, core.CUSTOMER_STATE) if history is None else change.splice_scd2(history, versions, news, key, at, core.CUSTOMER_STATE)
+        history = hold(history)
+    return core.customer_columns(history)
+
+
 @query
 def customer_as_of(l: Ledger) -> DataFrame:
     """The state of its customer at the moment of each order."""
@@ -232,13 +254,14 @@ def aml_alerts(l: Ledger) -> DataFrame:
 
 @query
 def monthly_customer_summary(l: Ledger) -> DataFrame:
-    out = finance.monthly_customer_summary(l.fct, l.balances, l.accounts, l.customers)
+    fct = l.held_fct
+    out = finance.monthly_customer_summary(fct, core.daily_balance(fct, l.accounts, l.fx), l.accounts, l.customers, hold)
     return out.withColumn("card_spend_percentile_in_segment", F.round("card_spend_percentile_in_segment", 6))
 
 
 @query
 def merchant_category_spend(l: Ledger) -> DataFrame:
-    return finance.merchant_category_spend(l.fct, l.merchants)
+    return finance.merchant_category_spend(l.held_fct, l.merchants)
 
 
 # ---- controls
@@ -252,7 +275,7 @@ def stream_vs_batch(l: Ledger) -> DataFrame:
     """The stream having lost one event in four, and every event from 24 January on."""
     heard = l.messages.where((F.col("n") % 4 != 0))
     streamed = staging.stg_transactions_stream(decode_events(heard)).where(F.col("txn_ts") < F.lit("2024-01-24 00:00:00").cast("timestamp_ntz"))
-    return controls.stream_vs_batch(streamed, l.staged)
+    return controls.stream_vs_batch(streamed, l.staged, hold)
 
 
 @query
@@ -420,6 +443,37 @@ def running_balance_window(l: Ledger) -> DataFrame:
     return reports.running_balance(_events(l), "user_id", "ts", "event_id", "amount")
 
 
+@query
+def running_balance_split(l: Ledger) -> DataFrame:
+    """The same with every user of more than 20 events cut in time, and the sums carried over the cuts."""
+    return reports.running_balance(_events(l), "user_id", "ts", "event_id", "amount", hot_rows=20)
+
+
+@query
+def trailing_counts_split(l: Ledger) -> DataFrame:
+    """Events of each user in the 12 hours up to each event, users of more than 20 events being cut in time."""
+    rows = _events(l).select("event_id", "user_id", "ts")
+    return trailing_counts(rows, ["user_id"], "ts", 720, "n", hot_rows=20).select("event_id", "n")
+
+
+@query
+def order_price_percent_rank(l: Ledger) -> DataFrame:
+    """The place of each order's price among those of its year and status, by counts of values and ranges."""
+    o = l.table("orders").select("o_orderkey", F.year("o_orderdate").cast("long").alias("year"), "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("amount"))
+    return percent_rank(o, ["year", "o_orderstatus"], "amount", "share").select("o_orderkey", F.round("share", 6).alias("share"))
+
+
+@query
+def active_accounts_by_quarter(l: Ledger) -> DataFrame:
+    """Active accounts of each quarter, exact, and whether the estimate from two deliveries' merged monthly sketches is within a twentieth."""
+    o, k = l.table("orders"), F.col("o_orderkey")
+    stored = reports.merge_sketches(None, reports.active_sketches(o.where(k % 3 != 0), "o_orderdate", "o_custkey"))
+    merged = reports.merge_sketches(stored, reports.active_sketches(o.where(k % 3 == 0), "o_orderdate", "o_custkey"))
+    close = reports.active_in_spans(merged, F.trunc("month_start", "quarter"), "quarter_start").withColumnRenamed("active", "estimate")
+    exact = o.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "quarter").alias("quarter_start")).agg(F.countDistinct("o_custkey").alias("active"))
+    return exact.join(close, "quarter_start").select("quarter_start", "active", (F.abs(F.col("active") - F.col("estimate")) <= F.greatest(F.lit(1.0), F.col("active") / 20)).alias("within_a_twentieth"))
+
+
 @query
 def running_balance_self_join(l: Ledger) -> DataFrame:
     return reports.running_balance_self_join(_events(l), "user_id", "ts", "event_id", "amount")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.temporal import latest_by
+from ledgerflow.operators.temporal import Hold, as_it_is, latest_by
 from ledgerflow.plans.staging import BY_FILE
 
 # Rejection reasons that the file summary counts.
@@ -39,12 +39,15 @@ def file_summary(validated: DataFrame) -> DataFrame:
     )
 
 
-def stream_vs_batch(stg_stream: DataFrame, stg_txns: DataFrame) -> DataFrame:
-    """Transactions of either path, by day, on the days that the stream saw."""
+def stream_vs_batch(stg_stream: DataFrame, stg_txns: DataFrame, hold: Hold = as_it_is) -> DataFrame:
+    """Transactions of either path, by day, on the days that the stream saw.
+
+    hold: how the stream's ids and days are held, as they say what is read of the other path, too; each message is
+    decoded once then."""
     day = F.col("txn_ts").cast("date")
-    streamed = stg_stream.where("txn_id is not null").where(day.isNotNull()).groupBy("txn_id").agg(F.min(day).alias("s_date"))
+    streamed = hold(stg_stream.where("txn_id is not null").where(day.isNotNull()).groupBy("txn_id").agg(F.min(day).alias("s_date")))
     days = streamed.select(F.col("s_date").alias("_day")).distinct()
-    batch = stg_txns.where("txn_id is not null").join(F.broadcast(days), day == F.col("_day"), "left_semi").groupBy("txn_id").agg(F.min(day).alias("b_date"))
+    batch = stg_txns.where("txn_id is not null").join(days, day == F.col("_day"), "left_semi").groupBy("txn_id").agg(F.min(day).alias("b_date"))
     both = streamed.join(batch, "txn_id", "full")
     s, b = F.col("s_date").isNotNull(), F.col("b_date").isNotNull()
     counted = both.groupBy(F.coalesce("s_date", "b_date").alias("txn_date")).agg(

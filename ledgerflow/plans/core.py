@@ -29,7 +29,10 @@ def dim_account(accounts: DataFrame) -> DataFrame:
 
 def dim_customer(stg_customers: DataFrame) -> DataFrame:
     """Every state a customer was in. A change of birth date alone is not a new state."""
-    history = scd2_from_feed(stg_customers, "customer_id", "updated_at", CUSTOMER_STATE, ["_source_file", "_source_row"])
+    return customer_columns(scd2_from_feed(stg_customers, "customer_id", "updated_at", CUSTOMER_STATE, ["_source_file", "_source_row"]))
+
+
+def customer_columns(history: DataFrame) -> DataFrame:
     return history.select(
         F.col("version_key").alias("customer_version_key"), "customer_id", "first_name", "last_name", "email", "birth_date", "country_code", "segment", "risk_rating", "kyc_status", "created_at", "valid_from", "valid_to", "is_current"
     )

@@ -249,6 +249,10 @@ _QUERIES = {
     + ", ".join(f"if(whole, nullif({c}, ''), null) as {c}" for c in _FIELDS)
     + f", part as _kafka_partition, place as _kafka_offset, if(whole, null, left('{{' || {_JSON} || '}}', length('{{' || {_JSON} || '}}') // 2)) as _raw_value, not whole as failed from placed",
     "running_balance_window": f"select a.event_id, a.user_id, a.ts, a.amount, sum(b.amount)::decimal(18,2) as running_balance from ({_MONEY_EVENTS}) a join ({_MONEY_EVENTS}) b on a.user_id = b.user_id and b.ts <= a.ts group by all",
+    "running_balance_split": f"select a.event_id, a.user_id, a.ts, a.amount, sum(b.amount)::decimal(18,2) as running_balance from ({_MONEY_EVENTS}) a join ({_MONEY_EVENTS}) b on a.user_id = b.user_id and b.ts <= a.ts group by all",
+    "trailing_counts_split": "select event_id, (select count(*) from events b where b.user_id = a.user_id and b.ts <= a.ts and b.ts > a.ts - interval 12 hours) as n from events a",
+    "order_price_percent_rank": "select o_orderkey, round(percent_rank() over (partition by year(o_orderdate), o_orderstatus order by o_totalprice::decimal(18,2)), 6) as share from orders",
+    "active_accounts_by_quarter": "select date_trunc('quarter', o_orderdate)::date as quarter_start, count(distinct o_custkey) as active, true as within_a_twentieth from orders group by all",
     "running_balance_self_join": f"select event_id, user_id, ts, amount, sum(amount) over (partition by user_id order by ts)::decimal(18,2) as running_balance from ({_MONEY_EVENTS})",
     "month_report_range": "select l_returnflag, count(*) as n, sum(l_extendedprice::decimal(18,2))::decimal(18,2) as total from lineitem where strftime(l_shipdate, '%Y-%m') = '1996-03' group by all",
     "month_report_wrapped": "select l_returnflag, count(*) as n, sum(l_extendedprice::decimal(18,2))::decimal(18,2) as total from lineitem where l_shipdate >= date '1996-03-01' and l_shipdate < date '1996-04-01' group by all",
@@ -276,4 +280,5 @@ _EXTRA = {
     "incremental_equals_rebuild": _BATCHES,
     "account_daily_balance_incremental": "kept_early as (select * from val where rejection_reason is null and _loaded_at < timestamp '2024-01-20 12:00:00')",
 }
+_QUERIES["customer_scd2_incremental"] = _QUERIES["customer_scd2"]
 ORACLE: dict[str, str] = {k: TABLES.rstrip() + (f",\n{_EXTRA[k].strip()}" if k in _EXTRA else "") + "\n" + v for k, v in _QUERIES.items()}

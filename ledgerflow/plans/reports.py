@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.columns import month_start
+from ledgerflow.functions.columns import epoch_micros, month_start
+from ledgerflow.operators.chunks import running_sum
 
 
-def running_balance(txns: DataFrame, key: str, ts: str, tie: str, amount: str) -> DataFrame:
-    """A running sum by a window: one shuffle and one pass."""
+def running_balance(txns: DataFrame, key: str, ts: str, tie: str, amount: str, hot_rows: int | None = None) -> DataFrame:
+    """A running sum by a window: one shuffle and one pass. With hot_rows, keys of more rows are cut in time, and sums carried over."""
+    if hot_rows is not None:
+        timed = txns.withColumn("_at", epoch_micros(F.col(ts)))
+        return running_sum(timed, [key], ["_at", tie], "_at", amount, "running_balance", hot_rows).drop("_at").withColumn("running_balance", F.col("running_balance").cast("decimal(18,2)"))
     w = Window.partitionBy(key).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
     return txns.withColumn("running_balance", F.sum(amount).over(w).cast("decimal(18,2)"))
 
@@ -39,9 +43,31 @@ def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+#: Logarithm of a sketch's size; 12 gives a standard error of 1.6 % in 2 to 4 KB.
+SKETCH = 12
+
+
+def active_sketches(df: DataFrame, date: str, who: str) -> DataFrame:
+    """month_start, sketch: distinct values of who in each month, as sketches to be stored and merged later."""
+    return df.groupBy(month_start(F.col(date).cast("date")).alias("month_start")).agg(F.hll_sketch_agg(who, F.lit(SKETCH)).alias("sketch"))
+
+
+def merge_sketches(stored: DataFrame | None, news: DataFrame) -> DataFrame:
+    """Stored sketches brought up to date with those of new rows: only the new rows are ever read again."""
+    both = news if stored is None else stored.unionByName(news)
+    return both.groupBy("month_start").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def active_in_spans(sketches: DataFrame, span: Column, name: str = "span_start") -> DataFrame:
+    """name, active: distinct values in any span of months, such as a quarter or a year, from the months' sketches alone."""
+    return sketches.groupBy(span.alias(name)).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("active"))
+
+
 def active_by_month(df: DataFrame, date: str, who: str, approximate: bool = False) -> DataFrame:
-    distinct = F.approx_count_distinct(who, 0.01) if approximate else F.countDistinct(who)
-    return df.groupBy(month_start(F.col(date).cast("date")).alias("month_start")).agg(distinct.alias("active"))
+    """Distinct values of who in each month, exact or estimated from sketches."""
+    if approximate:
+        return active_sketches(df, date, who).select("month_start", F.hll_sketch_estimate("sketch").alias("active"))
+    return df.groupBy(month_start(F.col(date).cast("date")).alias("month_start")).agg(F.countDistinct(who).alias("active"))
 
 
 def history_rollup(df: DataFrame, date: str, keys: list[str], amount: str) -> DataFrame:

@@ -104,15 +104,13 @@ def load_entity(spark: SparkSession, landing: str, warehouse, entity: str, throu
             warehouse.drop_batch(f"raw_{entity}", batch)
     audit = warehouse.read("load_audit")
     files = pending_files(list_files(spark, landing, entity), audit, through)
-    landed = read_landing(spark, [r["path"] for r in files.select("path").collect()], entity, loaded_at).cache()
-    try:
-        rows = audit_rows(landed, entity, run_id, loaded_at).cache()
-        if rows.where("status = 'LOADED'").limit(1).count():
-            warehouse.append(landed.drop(CORRUPT), f"raw_{entity}", run_id)
-        warehouse.append(rows, "load_audit", f"{run_id}-{entity}")
-        return warehouse.read("load_audit").where((F.col("run_id") == run_id) & (F.col("entity") == entity))
-    finally:
-        landed.unpersist()
+    paths = [r["path"] for r in files.select("path").collect()]
+    landed = read_landing(spark, paths, entity, loaded_at)
+    if paths:  # written first; the audit counts what was written, and the text of ragged rows stays with them
+        warehouse.append(landed, f"raw_{entity}", run_id)
+        landed = spark.read.schema(landed.schema).parquet(warehouse.batch_path(f"raw_{entity}", run_id))
+    warehouse.append(audit_rows(landed, entity, run_id, loaded_at), "load_audit", f"{run_id}-{entity}")
+    return warehouse.read("load_audit").where((F.col("run_id") == run_id) & (F.col("entity") == entity))
 
 
 def load_all(spark: SparkSession, landing: str, warehouse, through: dt.date | None = None, loaded_at: dt.datetime | None = None) -> DataFrame:

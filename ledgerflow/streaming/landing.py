@@ -60,28 +60,49 @@ def exactly_once(landed: DataFrame, expected: DataFrame) -> DataFrame:
     return both.withColumn("ok", F.coalesce(whole, F.lit(False)))
 
 
+def large_rows(rows: DataFrame, threshold: float) -> DataFrame:
+    return rows.where("txn_id is not null and status = 'POSTED'").where(F.col("amount") >= F.lit(threshold))
+
+
+def alert_columns(rows: DataFrame, detected_at=None) -> DataFrame:
+    now = F.lit(detected_at) if detected_at is not None else F.current_timestamp()
+    return rows.select("txn_id", "account_id", "amount", "currency", "txn_type", "txn_ts_raw", "_source_file", now.cast("timestamp_ntz").alias("detected_at"), "ingest_path", "produced_at", "landed_at")
+
+
 def screen_large(rows: DataFrame, alerts: DataFrame | None, threshold: float = 10_000, detected_at=None) -> DataFrame:
     """New alerts for posted rows of at least threshold, once for each transaction and path, the earliest landed first.
 
     rows: txn_id, account_id, amount, currency, txn_type, status, txn_ts_raw, _source_file, ingest_path, produced_at,
     landed_at."""
-    large = rows.where("txn_id is not null and status = 'POSTED'").where(F.col("amount") >= F.lit(threshold))
-    first = latest_by(large, ["txn_id", "ingest_path"], [-F.unix_micros(F.col("landed_at").cast("timestamp")), "_source_file"])
+    first = latest_by(large_rows(rows, threshold), ["txn_id", "ingest_path"], [-F.unix_micros(F.col("landed_at").cast("timestamp")), "_source_file"])
     if alerts is not None:
         first = first.join(alerts.select("txn_id", "ingest_path"), ["txn_id", "ingest_path"], "left_anti")
-    now = F.lit(detected_at) if detected_at is not None else F.current_timestamp()
-    return first.select("txn_id", "account_id", "amount", "currency", "txn_type", "txn_ts_raw", "_source_file", now.cast("timestamp_ntz").alias("detected_at"), "ingest_path", "produced_at", "landed_at")
+    return alert_columns(first, detected_at)
+
+
+def screen_stream(rows: DataFrame, warehouse: Warehouse, name: str, checkpoint: str, threshold: float = 10_000, run_id: str = "run", trigger: dict | None = None, delay: str = "1 day") -> StreamingQuery:
+    """Starts screening a stream of rows, as screen_large() does: an alert for each transaction and path, when it first comes.
 
+    Spark's state remembers what has been alerted, for `delay` behind the latest landed_at, so it is bounded and no batch
+    reads earlier alerts; a transaction that lands again later than that is alerted again, one that is itself later than
+    that is left out. Alerts of a batch are written to a folder of their own, so a replay after a crash writes the same
+    ones again. run_id: as in land_stream(). Rows without landed_at are not screened."""
+    timed = large_rows(rows, threshold).where("landed_at is not null").withColumn("_event_time", F.col("landed_at").cast("timestamp"))
+    once = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(["txn_id", "ingest_path"])
+    screen = lambda df, n: warehouse.append(alert_columns(df), name, f"{run_id}-{n:010d}")
+    return once.writeStream.foreachBatch(screen).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
-def screen_stream(rows: DataFrame, warehouse: Warehouse, name: str, checkpoint: str, threshold: float = 10_000, run_id: str = "run", trigger: dict | None = None) -> StreamingQuery:
-    """Starts screening a stream of rows; the alert table itself remembers what has been alerted."""
 
-    def screen(df: DataFrame, n: int) -> None:
-        batch = f"{run_id}-{n:010d}"
-        known = [b for b in warehouse.batches(name) if not b.endswith(f"/batch={batch}")]
-        warehouse.append(screen_large(df, warehouse.spark.read.parquet(*known) if known else None, threshold), name, batch)
+def trailing_alerts(rows: DataFrame, minutes: int, least: int, delay: str = "1 hour", slide_minutes: int = 1) -> DataFrame:
+    """account_id, window_start, window_end, n: accounts with at least `least` rows in a window of `minutes`, on a stream.
 
-    return rows.writeStream.foreachBatch(screen).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    rows: account_id, txn_id, txn_ts. Windows begin every slide_minutes, so a burst that fits into `minutes` less one
+    slide is found for certain. A transaction that comes again within the watermark counts once. Windows are given out
+    once the watermark has passed them; rows later than `delay` no longer count, and state older than that is dropped."""
+    timed = rows.where("account_id is not null and txn_ts is not null").withColumn("_event_time", F.col("txn_ts").cast("timestamp")).withWatermark("_event_time", delay)
+    once = timed.dropDuplicatesWithinWatermark(["txn_id"])
+    counted = once.groupBy("account_id", F.window("_event_time", f"{minutes} minutes", f"{slide_minutes} minutes").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") >= least).select("account_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("w.end").cast("timestamp_ntz").alias("window_end"), "n")
 
 
 def latency(alerts: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from ledgerflow.schema import LOAD_ORDER, RAW_COLUMNS
 from ledgerflow.sources.tables import Warehouse
 
 P = Params(structuring_floor_eur=20, structuring_ceiling_eur=100, structuring_min_count=2, structuring_window_minutes=1440, velocity_window_minutes=720, velocity_min_count=2, outlier_history=5, outlier_min_history=3, outlier_min_zscore=1.5, outlier_min_amount_eur=0)
-DERIVED = ["fct_transactions", "dq_rejected_transactions", "fct_account_daily_balance", "aml_alert_transactions", "rpt_aml_alerts", "rpt_monthly_customer_summary", "rpt_merchant_category_spend", "dq_transaction_file_summary", "int_reversals", "int_outlier_months", "int_monthly_spend"]
+DERIVED = ["dim_customer", "fct_transactions", "dq_rejected_transactions", "fct_account_daily_balance", "aml_alert_transactions", "rpt_aml_alerts", "rpt_monthly_customer_summary", "rpt_merchant_category_spend", "dq_transaction_file_summary", "int_reversals", "int_outlier_months", "int_monthly_spend"]
 
 
 def land(warehouse, entity, batch, rows, loaded_at):

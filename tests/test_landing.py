@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ from ledgerflow.schema import LOAD_ORDER, RAW_COLUMNS
 from ledgerflow.sources import landing
 from ledgerflow.sources.tables import Warehouse, month_partition, write_table
 from ledgerflow.streaming.events import decode_events, encode_events
-from ledgerflow.streaming.landing import exactly_once, land_stream, latency, missed_alerts, screen_large
+from ledgerflow.streaming.landing import exactly_once, land_stream, latency, missed_alerts, screen_large, screen_stream, trailing_alerts
 
 
 def put(root, entity, day, text):
@@ -206,6 +207,62 @@ def test_each_message_lands_once_after_a_crash(spark, tmp_path):
     assert exactly_once(landed.limit(0), empty).first()["ok"]
 
 
+ROWS = "txn_id string, account_id string, amount decimal(18,2), status string, ingest_path string, produced_at timestamp_ntz, landed_at timestamp_ntz, currency string, txn_type string, txn_ts_raw string, _source_file string"
+
+
+def large(txn, path, hour, amount="20000.00", status="POSTED"):
+    at = dt.datetime(2025, 1, 1) + dt.timedelta(hours=hour)
+    return (txn, "A", Decimal(amount), status, path, at if path == "KAFKA" else None, at, "EUR", "FEE", "x", "f")
+
+
+def test_a_screened_stream_alerts_once_across_restarts(spark, tmp_path):
+    source, w = tmp_path / "rows", Warehouse(spark, str(tmp_path / "wh"))
+    put_rows = lambda name, *rows: spark.createDataFrame(list(rows), ROWS).coalesce(1).write.parquet(str(source / name))
+    read = lambda: spark.readStream.schema(ROWS).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(source))
+    run = lambda: screen_stream(read(), w, "alerts", str(tmp_path / "cp"), delay="12 hours").awaitTermination()
+    put_rows("a", large("T1", "KAFKA", 1), large("T1", "KAFKA", 1), large("T2", "KAFKA", 1, "5.00"), large("T3", "KAFKA", 1, status="DECLINED"))
+    run()
+    for f in (tmp_path / "cp" / "commits").iterdir():  # written, but its commit was lost
+        f.unlink()
+    put_rows("b", large("T1", "KAFKA", 3), large("T1", "FILE", 2), large("T4", "KAFKA", 2), large(None, "FILE", 2))
+    run()
+    put_rows("c", large("T4", "KAFKA", 4), large("T1", "FILE", 5), large("T5", "FILE", 1))  # repeats, and one that is late but in time
+    run()
+    found = lambda: sorted((r["txn_id"], r["ingest_path"]) for r in w.read("alerts").collect())
+    assert found() == [("T1", "FILE"), ("T1", "KAFKA"), ("T4", "KAFKA"), ("T5", "FILE")]
+    same = screen_large(spark.read.option("recursiveFileLookup", True).parquet(str(source)), None)
+    assert sorted((r["txn_id"], r["ingest_path"]) for r in same.collect()) == found()
+    put_rows("d", large("T6", "KAFKA", 60))
+    put_rows("e", large("T7", "KAFKA", 61))
+    query = screen_stream(read(), w, "alerts", str(tmp_path / "cp"), delay="12 hours")
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2  # what the watermark has passed is forgotten
+
+
+def test_bursts_on_a_stream(spark, tmp_path):
+    source = str(tmp_path / "rows")
+    at = lambda minute: dt.datetime(2025, 1, 1) + dt.timedelta(minutes=minute)
+    rows = [("A", "t1", at(10)), ("A", "t2", at(11)), ("A", "t2", at(11)), ("A", "t3", at(14)), ("B", "t4", at(10)), ("B", "t5", at(30)), ("B", "t6", at(50)), (None, "t7", at(1)), ("Z", "t8", at(900))]
+    kinds = "account_id string, txn_id string, txn_ts timestamp_ntz"
+    spark.createDataFrame(rows, kinds).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(kinds).parquet(source)
+    out = trailing_alerts(stream, minutes=6, least=3, delay="10 minutes")
+    out.writeStream.format("memory").queryName("bursts").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.table("bursts").collect()
+    assert {r["account_id"] for r in got} == {"A"} and {r["n"] for r in got} == {3} and {r["window_start"].minute for r in got} == {9, 10}
+
+
+def test_load_summary_adds_up_a_run(spark, tmp_path):
+    small_bank(tmp_path / "in")
+    more_of_it(tmp_path / "in")
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    landing.load_entity(spark, str(tmp_path / "in"), w, "transactions", run_id="r")
+    landing.load_entity(spark, str(tmp_path / "in"), w, "transactions", run_id="s")
+    got = {(r["run_id"], r["entity"]): (r["files"], r["rows_parsed"], r["rows_loaded"], r["errors_seen"]) for r in landing.load_summary(w.read("load_audit")).collect()}
+    assert got == {("r", "transactions"): (2, 5, 5, 1), ("s", "transactions"): (0, 0, 0, 0)}
+    assert w.read("raw_transactions").where("_corrupt is not null").count() == 1
+
+
 def test_large_transactions_alert_once_a_path(spark):
     at = lambda h: dt.datetime(2025, 1, 1, h)
     rows = spark.createDataFrame(

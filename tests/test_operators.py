@@ -1,6 +1,7 @@
 """Literal fixtures: given rows, expected rows."""
 
 import datetime as dt
+import random
 from dataclasses import replace
 
 import pytest
@@ -57,6 +58,21 @@ def test_history_keeps_a_return_to_an_old_state(spark):
     assert len(got) == 3
 
 
+def test_spliced_histories_equal_those_of_the_whole_feed(spark):
+    """Any order of deliveries: late versions, repeated ones, and one that parts two equal states."""
+    rng = random.Random(5)
+    rows = [(f"C{rng.randrange(4)}", dt.datetime(2025, 1, 1) + dt.timedelta(days=rng.randrange(12)), rng.choice("AB"), f"f{rng.randrange(6)}", n) for n in range(60)] + [("C9", dt.datetime(2025, 1, 1), None, "f1", 99)]
+    feed = spark.createDataFrame(rows, "customer_id string, updated_at timestamp_ntz, risk string, _source_file string, _source_row long").cache()
+    tie, args = ["_source_file", "_source_row"], ("customer_id", "updated_at", ["risk"])
+    want = sorted(map(tuple, change.scd2_from_feed(feed, *args, tie).collect()))
+    versions = history = None
+    for n in (2, 0, 3, 1):
+        news = feed.where(F.pmod(F.hash("_source_row"), F.lit(4)) == n)
+        versions = change.splice_versions(versions, news, "customer_id", "updated_at", tie).cache()
+        history = (change.scd2_from_versions(versions, *args) if history is None else change.splice_scd2(history, versions, news, *args)).cache()
+    assert sorted(map(tuple, history.collect())) == want
+
+
 def test_structuring_needs_three_deposits_in_24_hours(spark):
     rows = [
         ("A1", "T1", "2025-01-01 22:00:00", 9500, True), ("A1", "T2", "2025-01-02 09:00:00", 9400, True), ("A1", "T3", "2025-01-02 17:00:00", 9900, True),
