@@ -121,15 +121,15 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = warc.reassemble(warc.read_archives(spark, at))
     number = lambda c: F.when(F.split(c, ":")[2] != "", F.split(c, ":")[2].cast("long"))
     found = whole.select(
-        number(F.col("record_id")).alias("page_id"), "record_id", "record_type", "refers_to", F.length("payload").cast("long").alias("payload_bytes"), F.substring_index("declared_digest", ":", -1).alias("payload_digest")
+        number(F.col("record_id")).alias("page_id"), "record_id", "record_type", "refers_to", F.length("payload").cast("long").alias("payload_bytes"), F.substring_index("declared_digest", ":", -1).alias("payload_digest"), "status"
     )
     found = materialise(found, "records")
     # Every revisit is looked up; both sides are tables, so Spark splits a response that many refer to.
     responses = found.where("record_type = 'response'")
     targets = responses.select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("target_page"), F.col("payload_bytes").alias("target_bytes"))
     revisits = found.where("record_type = 'revisit'").drop("payload_bytes").join(targets, "refers_to", "left")
-    return responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")).unionByName(
-        revisits.select("page_id", F.col("target_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("target_page").alias("refers_to"))
+    return responses.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"), "status").unionByName(
+        revisits.select("page_id", F.col("target_bytes").alias("payload_bytes"), "payload_digest", "record_type", F.col("target_page").alias("refers_to"), "status")
     )
 
 
@@ -145,7 +145,7 @@ digits as (
             ((('0x' || substr(sha1(body), ((i * 5 + j) // 4 + 1)::int, 1))::int >> (3 - (i * 5 + j) % 4)) & 1) << (4 - j)), 'sum')::int, 1)), 'string_agg', '') as digest
     from latest)
 select page_id, octet_length(encode(body))::bigint as payload_bytes, digest as payload_digest,
-    case when place = 1 then 'response' else 'revisit' end as record_type, case when place > 1 then last end as refers_to
+    case when place = 1 then 'response' else 'revisit' end as record_type, case when place > 1 then last end as refers_to, 'ok' as status
 from digits
 """
 

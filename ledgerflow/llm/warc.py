@@ -22,7 +22,7 @@ from ledgerflow.llm.common import materialise, shared_dir
 
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
-FIELDS = "record_id string, record_type string, url string, refers_to string, origin string, segment long, total_length long, declared_digest string, block binary"
+FIELDS = "record_id string, record_type string, url string, refers_to string, origin string, segment long, total_length long, declared_digest string, damage string, block binary"
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -140,8 +140,11 @@ def numbered(marked: DataFrame, again: DataFrame) -> DataFrame:
     return single.unionByName(repeated.select(*on, "url", "last", "shared", "payload", "number", F.when(~F.col("no_id"), F.col("id")).alias("capture_id"))).drop("no_id", "id")
 
 
-def parse_archive(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record of an archive; a cut-off record ends it."""
+def parse_archive(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Header fields (names in lower case), block and damage of each record of an archive.
+
+    A record without a proper length has no block, and the next one is looked for behind it; one that is cut off has
+    what is there of it, and ends the archive. So damage costs one record, and is never silent."""
     while True:
         line = stream.readline()
         if not line:
@@ -152,29 +155,31 @@ def parse_archive(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], b
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             k, _, v = line.decode("utf-8", "replace").partition(":")
             fields[k.strip().lower()] = v.strip()
-        length = int(fields.get("content-length") or 0)
-        block = stream.read(length)
-        if len(block) < length:
-            return
-        yield fields, block
+        declared = fields.get("content-length", "")
+        if not (declared.isascii() and declared.isdigit() and len(declared) <= 18):
+            yield fields, b"", "malformed length"
+            continue
+        block = stream.read(int(declared))
+        yield fields, block, None if len(block) == int(declared) else "cut off"
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each record of the archives (plain or gzip) below path. Blocks are as they are stored."""
+    """One row for each record of the archives (plain or gzip) below path. Blocks are as they are stored; damage says
+    what is wrong with a record itself: a malformed length, or a cut-off block."""
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("refers_to", pa.string()), ("origin", pa.string()), ("segment", pa.int64()), ("total_length", pa.int64()), ("declared_digest", pa.string()), ("block", pa.binary())])
+        schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("refers_to", pa.string()), ("origin", pa.string()), ("segment", pa.int64()), ("total_length", pa.int64()), ("declared_digest", pa.string()), ("damage", pa.string()), ("block", pa.binary())])
         for batch in batches:
             for content in batch.column(0):
                 raw = content.as_buffer()
                 stream = io.BufferedReader(pa.BufferReader(raw)) if raw[:2].to_pybytes() != b"\x1f\x8b" else gzip.GzipFile(fileobj=pa.BufferReader(raw))
                 rows, held = [], 0
-                for f, block in parse_archive(io.BufferedReader(stream) if isinstance(stream, gzip.GzipFile) else stream):
+                for f, block, damage in parse_archive(io.BufferedReader(stream) if isinstance(stream, gzip.GzipFile) else stream):
                     bare = lambda k: f[k].strip("<>") if k in f else None  # noqa: B023, E731
-                    number = lambda k: int(f[k]) if f.get(k, "").isdigit() else None  # noqa: B023, E731
+                    number = lambda k: int(f[k]) if f.get(k, "").isascii() and f.get(k, "").isdigit() and len(f[k]) <= 18 else None  # noqa: B023, E731
                     own = bare("warc-record-id")
-                    rows.append((own, f.get("warc-type"), f.get("warc-target-uri"), bare("warc-refers-to"), bare("warc-segment-origin-id") or own, number("warc-segment-number"), number("warc-segment-total-length"), f.get("warc-payload-digest"), block))
+                    rows.append((own, f.get("warc-type"), f.get("warc-target-uri"), bare("warc-refers-to"), bare("warc-segment-origin-id") or own, number("warc-segment-number"), number("warc-segment-total-length"), f.get("warc-payload-digest"), damage, block))
                     held += len(block)
                     if held > 1 << 22:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
@@ -189,27 +194,33 @@ def reassemble(records: DataFrame) -> DataFrame:
     """Responses and revisits of read_archives, whole: record_id, record_type, url, refers_to, payload, status.
 
     Only segmented records are shuffled, by the record they continue. A repeated segment counts once; a record that is
-    stored more than once in one piece comes back as often. status is ok, or
-    says what is wrong, with a null payload: a missing segment or first record, a total length that doesn't fit,
-    broken chunks, or a digest that differs from the declared one. Revisits have no payload of their own."""
-    single = records.where("segment is null and record_type in ('response', 'revisit')").select("record_id", "record_type", "url", "refers_to", "declared_digest", "block", F.lit("ok").alias("status"))
-    parts = F.struct("segment", "record_id", "record_type", "url", "refers_to", "declared_digest", "total_length", "block")
-    grouped = records.where("segment is not null").dropDuplicates(["origin", "segment"]).groupBy("origin").agg(F.array_sort(F.collect_list(parts)).alias("parts"), F.max("total_length").alias("total"))
-    first = F.col("parts")[0]
-    whole = F.aggregate("parts", F.lit(b""), lambda acc, p: F.concat(acc, p.block))
+    stored more than once in one piece comes back as often. status is ok, or says what is wrong, with a null payload:
+    damage of a record or segment, a missing segment or first record, two different segments of one number, a total
+    length that doesn't fit, broken chunks, or a digest that differs from the declared one. Revisits have no payload of
+    their own. Segments are put together once, in the step that decodes them."""
+    ok = F.lit("ok")
+    single = records.where("segment is null and record_type in ('response', 'revisit')").select("record_id", "record_type", "url", "refers_to", "declared_digest", F.array("block").alias("blocks"), F.lit(None).cast("long").alias("total"), F.coalesce("damage", ok).alias("status"))
+    parts = F.struct("segment", "record_id", "record_type", "url", "refers_to", "declared_digest", "total_length", "block", "damage")
+    once = records.where("segment is not null").withColumn("same", F.sha2("block", 256)).dropDuplicates(["origin", "segment", "same", "damage"])
+    grouped = once.groupBy("origin").agg(F.array_sort(F.collect_list(parts)).alias("parts"), F.max("total_length").alias("total"), F.max("damage").alias("damage"))
+    first, numbers = F.col("parts")[0], F.transform("parts", lambda p: p.segment)
     fits = (first["segment"] == 1) & (F.element_at("parts", -1)["segment"] == F.size("parts")) & F.element_at("parts", -1)["total_length"].isNotNull()
-    joined = grouped.withColumn("whole", whole).select(
-        F.col("origin").alias("record_id"), first["record_type"].alias("record_type"), first["url"].alias("url"), first["refers_to"].alias("refers_to"), first["declared_digest"].alias("declared_digest"), F.col("whole").alias("block"),
-        F.when(~fits, "missing segment").when(F.length("whole") != F.col("total"), "wrong total length").otherwise("ok").alias("status"),
-    )
+    status = F.when(F.col("damage").isNotNull(), F.col("damage")).when(F.size(F.array_distinct(numbers)) < F.size(numbers), "two segments of one number").when(~fits, "missing segment").otherwise(ok)
+    joined = grouped.select(
+        F.col("origin").alias("record_id"), first["record_type"].alias("record_type"), first["url"].alias("url"), first["refers_to"].alias("refers_to"), first["declared_digest"].alias("declared_digest"), F.transform("parts", lambda p: p.block).alias("blocks"), "total", status.alias("status")
+    )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payloads, states = [], []
-            for kind, declared, block, status in zip(*(batch.column(i).to_pylist() for i in (1, 4, 5, 6)), strict=True):
+            for at, (kind, declared, total, status) in enumerate(zip(*(batch.column(i).to_pylist() for i in (1, 4, 6, 7)), strict=True)):
                 payload = None
-                if status == "ok" and kind == "response":
-                    payload, status = decode_block(block)
+                if status == "ok" and (kind == "response" or total is not None):
+                    block = b"".join(batch.column(5)[at].as_py())
+                    if total is not None and len(block) != total:
+                        status = "wrong total length"
+                    elif kind == "response":
+                        payload, status = decode_block(block)
                     if payload is not None and declared and declared.startswith("sha1:") and declared[5:] != base32_sha1(payload):
                         payload, status = None, "wrong digest"
                 payloads.append(payload)
