@@ -54,8 +54,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: int
     keyed = rows.join(targets, "source_key").withColumn("key", hash_key(seed))
     keyed = keyed.withColumn("range", F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("ranges") / F.lit(1 << 32)).cast("int"))
     sums = rows_before(keyed)
+    # Rows equal in id and size, such as those without an id, have one place: they are one row, with a count, while they are ordered.
+    same = keyed.groupBy("source_key", "range", "key", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"), *[F.first(c).alias(c) for c in ("source", "source_size", "target")])
     inside = Window.partitionBy("source_key", "range").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = keyed.join(sums, ["source_key", "range"]).withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = same.join(sums, ["source_key", "range"]).withColumn("first", F.col("offset") + F.coalesce(F.sum(F.col("size") * F.col("rows")).over(inside), F.lit(0)))
+    placed = placed.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1))).withColumn("start", F.col("first") + F.col("nth") * F.col("size"))
     budget = F.floor(F.col("target") + 0.5).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = F.col("budget") - F.col("epochs") * F.col("source_size") - F.col("start")
