@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import decontaminate, mixing, ngram_join, toxicity
 from ledgerflow.llm.common import materialise, table
@@ -29,14 +30,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by a Jaccard index of 0.8 on five-word shingles.
 
-    Of rows that share an id one stays; documents without words or without an id are kept."""
+    Of rows that share an id one stays, that of the smallest digest of text and then of columns, so reruns agree;
+    documents without words or without an id are kept."""
     groups = ngram_join.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80)
     groups = materialise(groups, "groups")
     kept = join_ids(docs, groups.where("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti")
     repeated = groups.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    return join_ids(kept, repeated, "doc_id", "left_anti").unionByName(join_ids(kept, repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return join_ids(kept, repeated, "doc_id", "left_anti").unionByName(one_row(join_ids(kept, repeated, "doc_id", "left_semi")))
+
+
+def one_row(docs: DataFrame) -> DataFrame:
+    """One row for each id; repeats are compared within each task before they move."""
+    order = F.struct(F.sha2(F.coalesce("text", F.lit("")), 256), F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])))
+    return docs.groupBy("doc_id").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("own")).select("own.*")
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -389,6 +389,43 @@ def brute_edits(pattern, text):
     return min(row)
 
 
+def warc_record(kind, rid, block, length=None, **fields):
+    head = {"WARC-Type": kind, "WARC-Record-ID": f"<{rid}>", **{k.replace("_", "-"): v for k, v in fields.items()}, "Content-Length": len(block) if length is None else length}
+    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_damaged_archives_lose_nothing_silently(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    part = lambda n, block, **more: warc_record("response" if n == 1 else "continuation", f"s{n}", block, WARC_Segment_Number=n, WARC_Segment_Origin_ID="<s1>", **more)
+    twice = lambda n, block, **more: warc_record("response" if n == 1 else "continuation", f"d{n}{block[:1]}", block, WARC_Segment_Number=n, WARC_Segment_Origin_ID="<d1>", **more)
+    (tmp_path / "a.warc").write_bytes(
+        warc_record("response", "good", http) + warc_record("response", "text", http, "many") + warc_record("response", "minus", http, "-4") + warc_record("response", "none", http, "") + warc_record("response", "after", http)
+        + part(1, http[:9]) + part(2, http[9:], WARC_Segment_Total_Length=len(http)) + part(2, http[9:], WARC_Segment_Total_Length=len(http))
+        + twice(1, http[:9]) + twice(2, http[9:], WARC_Segment_Total_Length=len(http)) + twice(2, http[9:-1] + b"?", WARC_Segment_Total_Length=len(http))
+        + warc_record("response", "cut", http)[:-8]
+    )
+    got = {r["record_id"]: (r["payload"], r["status"]) for r in warc.reassemble(warc.read_archives(spark, str(tmp_path))).collect()}
+    whole = (bytearray(b"body"), "ok")
+    assert got == {"good": whole, "after": whole, "s1": whole, "text": (None, "malformed length"), "minus": (None, "malformed length"), "none": (None, "malformed length"), "d1": (None, "two segments of one number"), "cut": (None, "cut off")}
+
+
+def test_many_segments_are_joined_once(spark, tmp_path):
+    payload = bytes(range(256)) * 8000
+    df = spark.createDataFrame([(1, "http://a/", payload)], "capture_id long, url string, payload binary")
+    whole = warc.reassemble(warc.read_archives(spark, warc.write_archives(df, str(tmp_path / "w"), segment_bytes=300))).first()
+    assert whole["status"] == "ok" and bytes(whole["payload"]) == payload
+
+
+def test_mixing_rows_without_ids(spark):
+    """Rows equal in id and size share a place, however many there are; the mix is cut to the word."""
+    rows = [(None, "a", 7)] * 500 + [(i, "a", 5) for i in range(40)] + [(3, "a", 5)] * 9 + [(100 + i, "b", 11) for i in range(30)] + [(None, None, 0)] * 3
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, size long"), range_rows=10).collect()
+    assert len(got) == len(rows)
+    for source in ("a", "b"):
+        mine = [r for r in got if r["source"] == source]
+        assert sum(r["taken"] for r in mine) == int(mine[0]["target"] + 0.5) and all(0 <= r["taken"] <= 3 * r["size"] for r in mine)
+
+
 def test_regions_equal_brute_force():
     rng = random.Random(8)
     text = lambda n: "".join(rng.choices("abcdefg ", k=n)).strip()

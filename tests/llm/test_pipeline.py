@@ -65,3 +65,10 @@ def test_whole_run(spark, corpus):
     got = {r["doc_id"] for r in rows}
     assert got and not got & {3, 13, 400, 500, 504} and got <= {d[0] for d in docs}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "benchmark_decontamination", "source_mixing"]
+
+
+def test_of_rows_with_one_id_the_same_stays_at_each_run(spark):
+    rows = [(1, f"text number {n}", "x") for n in range(30)] + [(1, None, "y"), (2, "alone", None), (2, "alone", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `odd.name` string")
+    runs = [sorted(map(repr, map(tuple, corpus_pipeline.one_row(docs.repartition(n, "text")).collect()))) for n in (1, 3, 7)]
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) == 2
