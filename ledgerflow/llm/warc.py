@@ -201,7 +201,7 @@ def reassemble(records: DataFrame) -> DataFrame:
     ok = F.lit("ok")
     single = records.where("segment is null and record_type in ('response', 'revisit')").select("record_id", "record_type", "url", "refers_to", "declared_digest", F.array("block").alias("blocks"), F.lit(None).cast("long").alias("total"), F.coalesce("damage", ok).alias("status"))
     parts = F.struct("segment", "record_id", "record_type", "url", "refers_to", "declared_digest", "total_length", "block", "damage")
-    once = records.where("segment is not null").withColumn("same", F.sha2("block", 256)).dropDuplicates(["origin", "segment", "same", "damage"])
+    once = records.where("segment is not null").withColumn("same", F.struct(F.length("block"), F.xxhash64("block"), F.crc32("block"))).dropDuplicates(["origin", "segment", "same", "damage"])
     grouped = once.groupBy("origin").agg(F.array_sort(F.collect_list(parts)).alias("parts"), F.max("total_length").alias("total"), F.max("damage").alias("damage"))
     first, numbers = F.col("parts")[0], F.transform("parts", lambda p: p.segment)
     fits = (first["segment"] == 1) & (F.element_at("parts", -1)["segment"] == F.size("parts")) & F.element_at("parts", -1)["total_length"].isNotNull()
