@@ -73,6 +73,17 @@ def test_spliced_histories_equal_those_of_the_whole_feed(spark):
     assert sorted(map(tuple, history.collect())) == want
 
 
+def test_checksums_find_what_a_full_comparison_finds(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, n % 50]), rng.choice([None, "x", "y"]), n) for n in range(400)]
+    make = lambda rows: spark.createDataFrame(rows, "k int, v string, loaded int").repartition(3)
+    a, spoilt = make(rows + rows[:5]), make([(None, "x", 0), (7, None, 0), *rows[3:], rows[10], rows[10]])
+    for b in (a, spoilt, a.limit(0), make(rows)):
+        for buckets in (1, 16, 4096):
+            got, want = change.checksum_diff(a, b, ("loaded",), buckets), change.symmetric_diff(a, b, ("loaded",))
+            assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+
+
 def test_structuring_needs_three_deposits_in_24_hours(spark):
     rows = [
         ("A1", "T1", "2025-01-01 22:00:00", 9500, True), ("A1", "T2", "2025-01-02 09:00:00", 9400, True), ("A1", "T3", "2025-01-02 17:00:00", 9900, True),
