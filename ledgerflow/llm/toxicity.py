@@ -27,17 +27,28 @@ def terms(text: Column) -> Column:
     return F.concat(words, F.array_distinct(F.concat(*starts)))
 
 
-def select_terms(sample: DataFrame, label: str, most: int) -> list[str]:
-    """The `most` terms whose document shares differ most between label 1 and 0, by z-score; ties by code point."""
-    total = sample.agg(F.count(F.when(F.col(label) == 1, 1)).alias("a"), F.count(F.when(F.col(label) == 0, 1)).alias("b")).first()
-    a, b = float(total["a"]), float(total["b"])
-    if not a or not b:
-        return []
-    counts = sample.select(label, F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.when(F.col(label) == 1, 1)).alias("p"), F.count(F.when(F.col(label) == 0, 1)).alias("q"))
-    share = (F.col("p") + F.col("q")) / (a + b)
-    z = (F.col("p") / a - F.col("q") / b) / F.sqrt(share * (1 - share) * (1 / a + 1 / b) + 1e-12)
-    ranked = counts.where("p + q >= 5").select("term", F.abs(z).alias("z")).where("z > 5").orderBy(F.desc("z"), "term").limit(most)
-    return [r["term"] for r in ranked.collect()]
+def select_terms(rows: DataFrame, label: str, most: int, folds: int) -> list[list[str]]:
+    """For each fold the terms chosen without its rows (terms, fold, label), and last those chosen on all rows.
+
+    Chosen are the `most` terms whose document shares differ most between label 1 and 0, by z-score; ties by code
+    point. Terms are counted once, by fold; what is left out is subtracted."""
+    n = lambda f, y: F.count(F.when((F.col("fold") == f) & (F.col(label) == y), 1)).alias(f"n{f}_{y}")
+    cells = [n(f, y) for f in range(folds) for y in (0, 1)]
+    total = rows.agg(*cells).first()
+    counts = materialise(rows.select("fold", label, F.explode("terms").alias("term")).groupBy("term").agg(*cells), "toxic-terms")
+    chosen = []
+    for held in [*range(folds), None]:
+        used = [f for f in range(folds) if f != held]
+        b, a = (float(sum(total[f"n{f}_{y}"] for f in used)) for y in (0, 1))
+        q, p = (reduce(lambda x, y: x + y, [F.col(f"n{f}_{y}") for f in used]) for y in (0, 1))
+        if not a or not b:
+            chosen.append([])
+            continue
+        share = (p + q) / (a + b)
+        z = (p / a - q / b) / F.sqrt(share * (1 - share) * (1 / a + 1 / b) + 1e-12)
+        ranked = counts.where(p + q >= 5).select("term", F.abs(z).alias("z")).where("z > 5").orderBy(F.desc("z"), "term").limit(most)
+        chosen.append([r["term"] for r in ranked.collect()])
+    return chosen
 
 
 class Constant:
@@ -75,9 +86,6 @@ class Chain:
     def __init__(self, categories: list[str], vocabulary: list[str], models: list, thresholds: list[float]):
         self.categories, self.vocabulary, self.models, self.thresholds = categories, vocabulary, models, thresholds
 
-    def vectors(self, df: DataFrame) -> DataFrame:
-        return with_vectors(df, self.vocabulary)
-
     def predict(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         """docs plus p_<category> and is_<category> for each category; is_<category> is p >= its threshold.
 
@@ -86,7 +94,7 @@ class Chain:
         own = [f"{x}_{c}" for c in self.categories for x in ("p", "is")]
         kept = [c for c in docs.columns if c.lower() not in own]
         aside = [f"own_{i}" for i in range(len(kept))]  # out of the way of the models' columns
-        out = self.vectors(docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(kept, aside, strict=True)], terms(F.col(text_col).cast("string")).alias("terms")))
+        out = with_vectors(docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(kept, aside, strict=True)], terms(F.col(text_col).cast("string")).alias("terms")), self.vocabulary).drop("terms")
         for c, model in zip(self.categories, self.models, strict=True):
             out = model.score(out, f"p_{c}")
         return out.select(
@@ -94,9 +102,9 @@ class Chain:
         )
 
 
-def with_vectors(df: DataFrame, vocabulary: list[str]) -> DataFrame:
-    model = CountVectorizerModel.from_vocabulary(vocabulary or ["\x00"], inputCol="terms", outputCol="x_terms")
-    return model.setBinary(True).transform(df).drop("terms") if hasattr(model, "setBinary") else model.transform(df).drop("terms")
+def with_vectors(df: DataFrame, vocabulary: list[str], name: str = "x_terms") -> DataFrame:
+    """df plus a vector of 0 and 1: which of the vocabulary are among its terms."""
+    return CountVectorizerModel.from_vocabulary(vocabulary or ["\x00"], inputCol="terms", outputCol=name).setBinary(True).transform(df)
 
 
 def best_threshold(scored: DataFrame, p: str, label: str) -> float:
@@ -123,13 +131,13 @@ def toxicity_chain(docs: DataFrame, labels: DataFrame, max_rows: int) -> Chain:
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, seed: int = 11) -> DataFrame:
     """Rows of docs with their labels, at most about max_rows, drawn by a hash of doc_id.
 
-    The drawn labels, bounded by max_rows, are what is broadcast; texts stay where they are. Columns of docs that are
-    named like one of labels give way to it."""
-    one = labels.where("doc_id is not null").dropDuplicates(["doc_id"])
-    share = min(1.0, max_rows / max(1, one.count()))
+    The drawn labels, bounded by max_rows, are what is broadcast; texts stay where they are. A doc_id that is labelled
+    several times has the larger of its labels. Columns of docs that are named like one of labels give way to it."""
+    one = labels.where("doc_id is not null").groupBy("doc_id").agg(*[F.max(c).alias(c) for c in labels.columns if c != "doc_id"])
+    share = 1.1 * max_rows / max(1, one.count())
     place = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(1 << 30)
     docs = docs.drop(*[c for c in labels.columns if c != "doc_id"])
-    return docs.join(F.broadcast(one.where(place < share).limit(2 * max_rows)), "doc_id")
+    return docs.join(F.broadcast(one.where(place < share).orderBy(place, "doc_id").limit(max_rows)), "doc_id")
 
 
 def train_chain(sample: DataFrame, categories: list[str], folds: int = 3, max_terms: int = 2_000, dense: str | None = None, seed: int = 11) -> Chain:
@@ -137,32 +145,43 @@ def train_chain(sample: DataFrame, categories: list[str], folds: int = 3, max_te
 
     dense: a category in front of which `dense` is put: its rows whose share of its terms among their words is at
     least the median of such rows. A category with one class only gets that class as its constant probability; an empty
-    sample gives 0."""
+    sample gives 0.
+
+    What a row's out-of-fold probability rests on, its terms, the category `dense` and the model, is made without the
+    rows of its fold."""
     rows = sample.select("doc_id", *categories, F.coalesce(F.col("text"), F.lit("")).alias("text"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(folds)).cast("int")
     rows = materialise(rows.select("doc_id", *categories, terms(F.col("text")).alias("terms"), fold.alias("fold")), "toxic-sample")
-    chosen = {c: select_terms(rows, c, max_terms) for c in categories}
-    vocabulary = sorted(set().union(*chosen.values()))
+    chosen = {c: select_terms(rows, c, max_terms, folds) for c in categories}
+    labels, order = [f"{c}_{f}" for c in categories for f in range(folds + 1)], list(categories)
+    wide = rows.select("doc_id", "fold", "terms", *[F.col(c).alias(f"{c}_{f}") for c in categories for f in range(folds + 1)])
+    for f in range(folds + 1):  # all that depends on labels, without fold f; the last time on all rows
+        wide = with_vectors(wide, sorted(set().union(*(chosen[c][f] for c in categories))), f"x_terms_{f}")
+        if dense:
+            wide = with_density(wide, f"{dense}_{f}", sorted(chosen[dense][f]), F.col("fold") != f, f"dense_{f}")
+            labels.append(f"dense_{f}")
     if dense:
-        rows = with_density(rows, dense, sorted(chosen[dense]))
-        at = categories.index(dense)
-        categories = [*categories[:at], "dense", *categories[at:]]
-    vectors = materialise(with_vectors(rows, vocabulary).select("doc_id", "fold", "x_terms", *categories), "toxic-vectors")
-    inputs, models, thresholds = ["x_terms"], [], []
-    for c in categories:
-        parts = [fit_one(vectors.where(F.col("fold") != f), c, inputs).score(vectors.where(F.col("fold") == f), f"p_{c}") for f in range(folds)]
+        order.insert(order.index(dense), "dense")
+    vectors = materialise(wide.select("doc_id", "fold", *labels, *[f"x_terms_{f}" for f in range(folds + 1)]), "toxic-vectors")
+    earlier, models, thresholds = [], [], []
+    for c in order:
+        inputs = lambda f: [f"x_terms_{f}", *earlier]  # noqa: B023, E731
+        parts = [fit_one(vectors.where(F.col("fold") != f), f"{c}_{f}", inputs(f)).score(vectors.where(F.col("fold") == f), f"p_{c}") for f in range(folds)]
         out_of_fold = materialise(reduce(DataFrame.unionByName, parts), "toxic-folds")
-        models.append(fit_one(vectors, c, inputs))
-        thresholds.append(best_threshold(out_of_fold, f"p_{c}", c))
-        vectors, inputs = out_of_fold, [*inputs, f"p_{c}"]
-    return Chain(categories, vocabulary, models, thresholds)
-
-
-def with_density(rows: DataFrame, category: str, own_terms: list[str]) -> DataFrame:
-    """rows plus dense: 1 for those of the category that hold its terms most densely, 0 for others, null where it is null."""
-    scored = with_vectors(rows.withColumn("kept", F.col("terms")), own_terms).withColumnRenamed("kept", "terms")
-    hits = F.size(F.filter(vector_to_array("x_terms"), lambda x: x > 0))
-    scored = scored.withColumn("density", hits / F.greatest(F.size("terms"), F.lit(1))).drop("x_terms")
-    middle = scored.where(F.col(category) == 1).agg(F.percentile("density", 0.5)).first()[0]
+        final = fit_one(vectors, f"{c}_{folds}", inputs(folds))
+        models.append(final if isinstance(final, Constant) else Linear(final.model, ["x_terms", *earlier]))
+        thresholds.append(best_threshold(out_of_fold, f"p_{c}", f"{c}_{folds}"))
+        vectors, earlier = out_of_fold, [*earlier, f"p_{c}"]
+    return Chain(order, sorted(set().union(*(chosen[c][folds] for c in categories))), models, thresholds)
+
+
+def with_density(rows: DataFrame, category: str, own_terms: list[str], used: Column, name: str) -> DataFrame:
+    """rows plus name: 1 for those of the category that hold its terms most densely, 0 for others, null where it is null.
+
+    Densely is at least as densely as the median of the category's rows among those used."""
+    scored = with_vectors(rows, own_terms, "x_own")
+    hits = F.size(F.filter(vector_to_array("x_own"), lambda x: x > 0))
+    scored = scored.withColumn("density", hits / F.greatest(F.size("terms"), F.lit(1))).drop("x_own")
+    middle = scored.where((F.col(category) == 1) & used).agg(F.percentile("density", 0.5)).first()[0]
     is_dense = (F.col(category) == 1) & (F.col("density") >= F.lit(middle if middle is not None else 0.0))
-    return scored.withColumn("dense", F.when(F.col(category).isNotNull(), is_dense.cast("int"))).drop("density")
+    return scored.withColumn(name, F.when(F.col(category).isNotNull(), is_dense.cast("int"))).drop("density")

@@ -680,12 +680,35 @@ def test_chain_equals_numpy(spark):
     """Folds, out-of-fold inputs and models again in NumPy; and what the last model makes of the links before it."""
     df = toxic_sample(spark, 300)
     chain = toxicity.train_chain(df, ["insult", "toxic"], folds=3, dense="toxic")
-    rows = df.withColumn("terms", toxicity.terms(F.col("text"))).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(3))).orderBy("doc_id").collect()
-    x = np.array([[t in set(r["terms"]) for t in chain.vocabulary] for r in rows], float)
-    labels = {c: np.array([np.nan if r[c] is None else r[c] for r in rows], float) for c in ("insult", "toxic")}
-    own = toxicity.select_terms(df.withColumn("terms", toxicity.terms(F.col("text"))), "toxic", 2000)
-    density = np.array([len(set(own) & set(r["terms"])) / max(1, len(r["terms"])) for r in rows])
-    labels["dense"] = ((labels["toxic"] == 1) & (density >= np.quantile(density[labels["toxic"] == 1], 0.5))).astype(float)
+    rows = df.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(3))).orderBy("doc_id").collect()
+    fold = np.array([r["fold"] for r in rows])
+    words = [set(r["text"].lower().split()) for r in rows]
+    held = [w | {x[:n] + "*" for x in w for n in (4, 5) if len(x) >= n} for w in words]
+    given = {c: np.array([np.nan if r[c] is None else r[c] for r in rows], float) for c in ("insult", "toxic")}
+
+    def choose(c, use):
+        y, found = given[c], []
+        a, b = (use & (y == 1)).sum(), (use & (y == 0)).sum()
+        for t in set().union(*held):
+            has = np.array([t in h for h in held])
+            p, q = (has & use & (y == 1)).sum(), (has & use & (y == 0)).sum()
+            share = (p + q) / (a + b)
+            if p + q >= 5 and abs(p / a - q / b) / np.sqrt(share * (1 - share) * (1 / a + 1 / b) + 1e-12) > 5:
+                found.append(t)
+        return sorted(found)
+
+    def features(use):
+        """What is seen without the rows that aren't used: the terms' columns, and the labels."""
+        own = choose("toxic", use)
+        names = sorted({*choose("insult", use), *own})
+        density = np.array([len(set(own) & h) / max(1, len(h)) for h in held])
+        y = given["toxic"] == 1
+        dense = (y & (density >= np.quantile(density[y & use], 0.5))).astype(float)
+        return names, np.array([[t in h for t in names] for h in held], float), {**given, "dense": dense}
+
+    whole = features(fold >= 0)
+    assert whole[0] == chain.vocabulary
+    without_fold = [features(fold != f) for f in range(3)]
 
     def fit(x, y):
         x, y = x[~np.isnan(y)], y[~np.isnan(y)]
@@ -698,13 +721,14 @@ def test_chain_equals_numpy(spark):
             w = w - np.linalg.solve(x1.T @ (x1 * (p * (1 - p))[:, None]) / len(x) + penalty + 1e-9 * np.eye(len(w)), x1.T @ (p - y) / len(x) + penalty @ w)
         return lambda z: 1 / (1 + np.exp(-np.c_[z, np.ones(len(z))] @ w))
 
-    fold, train, use, want = np.array([r["fold"] for r in rows]), x, x, {}
+    earlier, use, want = np.zeros((len(rows), 0)), whole[1], {}
     for c in chain.categories:
-        oof = np.zeros(len(x))
+        oof = np.zeros(len(rows))
         for f in range(3):
-            oof[fold == f] = fit(train[fold != f], labels[c][fold != f])(train[fold == f])
-        want[c] = fit(train, labels[c])(use)
-        train, use = np.c_[train, oof], np.c_[use, want[c]]
+            x, y = np.c_[without_fold[f][1], earlier], without_fold[f][2][c]
+            oof[fold == f] = fit(x[fold != f], y[fold != f])(x[fold == f])
+        want[c] = fit(np.c_[whole[1], earlier], whole[2][c])(use)
+        earlier, use = np.c_[earlier, oof], np.c_[use, want[c]]
     got = chain.predict(df.drop("p_toxic")).orderBy("doc_id").collect()
     for c in chain.categories:
         assert np.abs(np.array([r[f"p_{c}"] for r in got]) - want[c]).max() < 0.05
@@ -721,7 +745,18 @@ def test_chain_without_examples(spark):
     assert not any(r["is_toxic"] for r in empty.predict(df).collect())
 
 
+def test_terms_are_chosen_without_the_fold(spark):
+    """A word that marks the toxic rows of fold 0 alone is no term where fold 0 is left out."""
+    rows = [(f, y, ["same", "marks0"] if y and f == 0 else ["same", "marks"] if y else ["same"]) for f in range(3) for y in (0, 1) for _ in range(40)]
+    df = spark.createDataFrame(rows, "fold int, toxic int, terms array<string>")
+    assert toxicity.select_terms(df, "toxic", 10, 3) == [["marks"], ["marks", "marks0"], ["marks", "marks0"], ["marks", "marks0"]]
+    assert toxicity.select_terms(df, "toxic", 1, 3)[3] == ["marks"] and toxicity.select_terms(df.where("toxic = 0"), "toxic", 10, 3) == [[]] * 4
+
+
 def test_labelled_sample_is_bounded(spark):
     df = toxic_sample(spark)
-    got = toxicity.labelled_sample(df.select("doc_id", "text"), df.select("doc_id", "toxic"), 100)
-    assert 50 < got.count() < 160 and sorted(got.columns) == ["doc_id", "text", "toxic"]
+    labels = df.select("doc_id", "toxic")
+    draw = lambda marks: {(r["doc_id"], r["toxic"]) for r in toxicity.labelled_sample(df.select("doc_id", "text"), marks, 100).collect()}
+    got = draw(labels)
+    assert 50 < len(got) <= 100 and got == draw(labels.repartition(7)) == draw(labels.unionByName(labels.withColumn("toxic", F.lit(0))))
+    assert sorted(toxicity.labelled_sample(df.select("doc_id", "text"), labels, 100).columns) == ["doc_id", "text", "toxic"]
