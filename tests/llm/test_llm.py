@@ -4,6 +4,7 @@ empty tables, clashing columns."""
 import hashlib
 import random
 import re
+import tracemalloc
 from math import log2
 from types import SimpleNamespace
 
@@ -489,6 +490,69 @@ def test_parts_of_an_item_are_found_at_all_offsets(spark):
     assert [(r["doc_id"], r["n"]) for r in got if r["items"] != [1]] == [(-1, 0)]
 
 
+def test_leaks_equal_brute_force_over_windows_in_one_and_in_many_blocks(spark):
+    rng = random.Random(11)
+    text = lambda n: decontaminate_flat("".join(rng.choices("abcdefg ", k=n)))
+    items = [(i, text(rng.choice([30, 60, 90]))) for i in range(9)] + [(9, "gag"), (10, "a b"), (None, text(60))]
+    docs = [(0, None), (1, ""), (2, "x gag y"), (3, "xgag"), (None, items[4][1])]
+    for k in range(60):
+        s = list(items[k % 9][1])
+        for _ in range(rng.randrange(8)):
+            p = rng.randrange(len(s))
+            s[p : p + 1] = rng.choice([[], ["x"], [s[p], "y"]])
+        docs.append((k // 2, f"{text(70)} {''.join(s)} {text(40)}"))
+    docs += [docs[8]] * 3 + [(99, docs[9][1])]
+    size, step, part, by, q, rate = 60, 30, 30, 10, 6, 0.08
+
+    def cuts(t):
+        return {t[min(at, max(0, len(t) - m)) :][:m] for m, b in ((size, step), (part, by)) for at in range(0, max(1, len(t) - m + b), b)} - {""}
+
+    def holds(w, t):
+        if len(w) < q:
+            return f" {w} " in f" {t} "
+        return brute_edits(w, t) <= decontaminate.budget(len(w), q, rate)[0]
+
+    flat = {t: decontaminate_flat(t or "") for _, t in docs}
+    order = lambda found: sorted(found, key=lambda i: (i is not None, i or 0))
+    want = sorted((str(d), str(t), order(i for i, x in items if any(holds(w, flat[t]) for w in cuts(decontaminate_flat(x))))) for d, t in docs)
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (20_000, 20):
+        rows = decontaminate.contaminated_regions(frame, bench, q, rate, size, step, block, "text", part, by).collect()
+        assert sorted((str(r["doc_id"]), str(r["text"]), order(r["items"])) for r in rows) == want
+        for r in rows:
+            assert r["n_regions"] == len(r["regions"]) and all(0 <= x["start"] < x["end"] <= len(r["text"]) for x in r["regions"])
+
+
+def test_stages_and_regions_of_a_benchmark_in_many_blocks(spark):
+    rng = random.Random(12)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghijklmno", k=6)) for _ in range(n))
+    items = [(i, words(30)) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    far = words(9_000)  # more than a piece, with a leak across its end
+    docs = [(i, f"{words(40)} {items[i * 7][1]} {words(20)}") for i in range(40)] + [(50, words(200)), (51, f"{far[:19_950]} {items[5][1]} {far} {items[6][1]}")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    results, plans = [], []
+    for block in (100_000, 1_000, 100):
+        found = decontaminate.contaminated_regions(frame, bench, block_windows=block)
+        results.append({r["doc_id"]: [(x["item_id"], x["start"], x["end"], x["edits"]) for x in r["regions"]] for r in found.collect()})
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+    assert {d: {i for i, *_ in r} for d, r in results[0].items()} == {**{i: {i * 7} for i in range(40)}, 50: set(), 51: {5, 6}}
+    assert results[0] == results[1] == results[2] and plans[1] == plans[2]
+
+
+def test_a_text_that_repeats_a_word_of_the_benchmark_takes_bounded_memory():
+    item = ("ha " * 120).strip()
+    index = decontaminate.build_index([(1, item[at : at + m]) for m in (100, 50) for at in range(0, len(item) - m, 10)], 8, 0.08)
+    peaks = []
+    for n in (20_000, 80_000):
+        tracemalloc.start()
+        ((item_id, start, end, edits),) = decontaminate.find_regions(index, ("ha " * n).strip())
+        assert (item_id, start, edits) == (1, 0, 0) and 3 * n - 4 < end < 3 * n  # one copy a band, so the last ones may be left out
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 100e6 and peaks[1] < peaks[0] + 20e6  # a text of four times the length
+
+
 # ---- 7
 PIECE = public_tokenizers.path("piece_bpe_32k.model")
 
