@@ -314,6 +314,18 @@ def detection_report(l: Ledger) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("recall", "precision")})
 
 
+@query
+def ground_truth_report(l: Ledger) -> DataFrame:
+    """All that was planted in the delivered rows (faults, repeats, late files, card payments without a merchant, currencies in small letters) against what was found."""
+    n = F.substring("txn_id", 2, 20).cast("long")
+    card = F.col("txn_type") == "CARD_PAYMENT"
+    plants = {"INVALID_AMOUNT": n % 331 == 1, "NEGATIVE_AMOUNT": n % 337 == 2, "ZERO_AMOUNT": n % 347 == 3, "UNKNOWN_ACCOUNT": n % 349 == 4, "MISSING_TIMESTAMP": n % 353 == 5, "INVALID_DIRECTION": n % 359 == 6, "INVALID_TIMESTAMP": n % 367 == 7}
+    plants |= {"DUPLICATE_ROW": n % 97 == 0, "LATE_ARRIVAL": n % 50 == 1, "MISSING_MERCHANT": card & (n % 13 == 0), "LOWERCASE_CURRENCY": n % 11 == 0}
+    sent = l.raw.select("txn_id", "txn_type").distinct()
+    planted = sent.select("txn_id", F.explode(F.array_compact(F.array(*[F.when(t, k) for k, t in plants.items()]))).alias("issue"))
+    return controls.ground_truth(planted, l.validated, l.fct)
+
+
 @query
 def aml_case_recall(l: Ledger) -> DataFrame:
     """Days of three card attempts or two deposits in the band, as injected cases, against the alerts that hold one of their transactions."""

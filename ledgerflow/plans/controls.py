@@ -121,6 +121,48 @@ def detection_report(injected: DataFrame, found: DataFrame, by: str, key: str) -
     return both.withColumns({"recall": F.try_divide("hits", "injected"), "precision": F.try_divide("hits", "found")})
 
 
+def found_issues(validated: DataFrame, fct: DataFrame) -> DataFrame:
+    """issue, txn_id, n: what the tables say is wrong with the rows of an id.
+
+    A rejection, a late first delivery, a warning and a currency in small letters that is left in the fact count once an
+    id, DUPLICATE_ROW once for each repeat. Rows without an id are in the quarantine and the file summary alone."""
+    file_date = F.try_to_date(F.left(F.right("_source_file", F.lit(15)), F.lit(8)), "yyyyMMdd")
+    late = F.col("rejection_reason").isNull() & (F.col("txn_ts").cast("date") < F.date_sub(file_date, 1))
+    by_id = validated.where("txn_id is not null").groupBy("txn_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.collect_set("rejection_reason").alias("reasons"), F.min_by(late, F.struct("_source_file", "_source_row")).alias("late")
+    )
+    one = lambda issue, n=1: F.struct(F.lit(issue).alias("issue"), F.lit(n).cast("long").alias("n"))
+    repeated = F.when(F.col("rows") > 1, F.struct(F.lit("DUPLICATE_ROW").alias("issue"), (F.col("rows") - 1).alias("n")))
+    rejected = F.transform("reasons", lambda r: F.struct(r.alias("issue"), F.lit(1).cast("long").alias("n")))
+    of_rows = by_id.select("txn_id", F.explode(F.array_compact(F.concat(rejected, F.array(repeated, F.when(F.col("late"), one("LATE_ARRIVAL")))))).alias("x"))
+    of_fact = fct.select("txn_id", F.explode(F.array_compact(F.array(F.when(F.col("warning_reason").isNotNull(), F.struct(F.col("warning_reason").alias("issue"), F.lit(1).cast("long").alias("n"))), F.when(F.col("currency") != F.upper("currency"), one("LOWERCASE_CURRENCY"))))).alias("x"))
+    return of_rows.unionByName(of_fact).select("x.issue", "txn_id", "x.n")
+
+
+def ground_truth(injected: DataFrame, validated: DataFrame, fct: DataFrame) -> DataFrame:
+    """What was injected (issue, txn_id; a row for each time) against what was found: a row for each issue.
+
+    injected, found, missing and extra count ids, repeats for DUPLICATE_ROW; passed: nothing is missing or extra. Of
+    several faults for which a row is rejected the first rule's is expected. Late rows and warnings are expected of rows
+    that aren't rejected; currencies in small letters are expected to be gone."""
+    rank = F.coalesce(*[F.when(F.col("issue") == r, F.lit(n)) for n, r in enumerate(REASONS)])
+    known = injected.where("txn_id is not null")
+    rejected = known.where(rank.isNotNull()).groupBy("txn_id").agg(F.min_by("issue", rank).alias("issue")).select("issue", "txn_id", F.lit(1).cast("long").alias("n"))
+    others = known.where(rank.isNull() & (F.col("issue") != "LOWERCASE_CURRENCY")).groupBy("issue", "txn_id").agg(F.count(F.lit(1)).alias("n"))
+    repeats = others.where("issue = 'DUPLICATE_ROW'")
+    soft = others.where("issue <> 'DUPLICATE_ROW'").join(rejected.select("txn_id"), "txn_id", "left_anti").select("issue", "txn_id", F.lit(1).cast("long").alias("n"))
+    zero = F.lit(0).cast("long")
+    sides = [
+        rejected.unionByName(repeats).unionByName(soft).select("issue", "txn_id", F.col("n").alias("i"), zero.alias("f")),
+        found_issues(validated, fct).select("issue", "txn_id", zero.alias("i"), F.col("n").alias("f")),
+        injected.select("issue").distinct().select("issue", F.lit(None).cast("string").alias("txn_id"), zero.alias("i"), zero.alias("f")),  # an issue that leaves no row on either side
+    ]
+    both = sides[0].unionByName(sides[1]).unionByName(sides[2]).groupBy("issue", "txn_id").agg(F.sum("i").alias("i"), F.sum("f").alias("f"))
+    gap = F.col("i") - F.col("f")
+    counted = both.groupBy("issue").agg(F.sum("i").alias("injected"), F.sum("f").alias("found"), F.sum(F.greatest(gap, zero)).alias("missing"), F.sum(F.greatest(-gap, zero)).alias("extra"))
+    return counted.withColumn("passed", (F.col("missing") == 0) & (F.col("extra") == 0))
+
+
 def case_recall(cases: DataFrame, members: DataFrame) -> DataFrame:
     """Injected cases (rule, case_id, txn_id) found by any of their transactions, and how many alerts hold such ones."""
     hit = cases.join(members.select("txn_id", "rule_code", "alert_id"), (cases.txn_id == members.txn_id) & (cases.rule == F.col("rule_code")), "left").drop(members.txn_id)

@@ -31,7 +31,7 @@ dirty as (
     from delivered),
 raw as (
     select txn_id, account_id, txn_ts, if(i % 7 = 0, replace(plain, '.', ','), plain) as amount, if(i % 11 = 0, lower(ccy), ccy) as currency, direction, txn_type, status, channel, merchant_id,
-        '' as counterparty_iban, original_txn_id, description, device_id, _source_file, row_number() over (partition by _source_file order by i, txn_id) as _source_row, _loaded_at, i
+        '' as counterparty_iban, original_txn_id, description, device_id, _source_file, 2 * i + if(txn_id like 'T%', 2, 1) as _source_row, _loaded_at, i
     from dirty),
 stg as (
     select trim(txn_id) as txn_id, trim(account_id) as account_id, coalesce(try_strptime(txn_ts, '%Y-%m-%d %H:%M:%S'), try_strptime(txn_ts, '%d/%m/%Y %H:%M:%S'))::timestamp as txn_ts,
@@ -223,6 +223,20 @@ _QUERIES = {
             ('fct_transactions.rate_age.fx_rate_published_date', 'warn'), ('fct_transactions.future.txn_ts', 'warn'), ('fct_transactions.rate_missing.fx_rate_to_eur', 'warn'), ('fct_transactions.positive.amount', 'error')) v("check", severity),
         lateral (select case "check" when 'fct_transactions.relationships.merchant_id' then (select count(*) from fct where merchant_id not in (select merchant_id from merch)) when 'fct_transactions.rate_age.fx_rate_published_date' then (select count(*) from fct where txn_date - fx_rate_published_date > 4)
             when 'fct_transactions.future.txn_ts' then (select count(*) from fct where txn_ts > _loaded_at) when 'fct_transactions.rate_missing.fx_rate_to_eur' then (select count(*) from fct where fx_rate_to_eur is null) when 'fct_transactions.not_null.txn_category' then (select count(*) from fct where txn_category is null) else 0 end as failing)""",
+    "ground_truth_report": """select issue, count(*) filter (w)::bigint as injected, count(*) filter (g)::bigint as found, count(*) filter (w and not g)::bigint as missing, count(*) filter (g and not w)::bigint as extra, count(*) filter (w <> g) = 0 as passed
+        from (
+            select issue, txn_id, want as w, case issue
+                    when 'DUPLICATE_ROW' then (select count(*) from val v where v.txn_id = p.txn_id) > 1
+                    when 'LATE_ARRIVAL' then exists (select 1 from once o where o.txn_id = p.txn_id and occurrence = 1 and rejection_reason is null and txn_ts::date < file_date - 1)
+                    when 'MISSING_MERCHANT' then exists (select 1 from fct f where f.txn_id = p.txn_id and f.warning_reason = 'MISSING_MERCHANT')
+                    when 'LOWERCASE_CURRENCY' then exists (select 1 from fct f where f.txn_id = p.txn_id and f.currency <> upper(f.currency))
+                    else exists (select 1 from rejected r where r.txn_id = p.txn_id and r.rejection_reason = issue) end as g
+            from (select distinct txn_id, issue, case issue when 'DUPLICATE_ROW' then i % 97 = 0 when 'LATE_ARRIVAL' then i % 50 = 1 and fault is null when 'MISSING_MERCHANT' then txn_type = 'CARD_PAYMENT' and i % 13 = 0 and fault is null
+                    when 'LOWERCASE_CURRENCY' then false else coalesce(fault = issue, false) end as want
+                from (select txn_id, txn_type, i, case when i % 353 = 5 then 'MISSING_TIMESTAMP' when i % 367 = 7 then 'INVALID_TIMESTAMP' when i % 331 = 1 then 'INVALID_AMOUNT' when i % 337 = 2 then 'NEGATIVE_AMOUNT'
+                        when i % 347 = 3 then 'ZERO_AMOUNT' when i % 349 = 4 then 'UNKNOWN_ACCOUNT' when i % 359 = 6 then 'INVALID_DIRECTION' end as fault from raw),
+                    (values ('INVALID_AMOUNT'), ('NEGATIVE_AMOUNT'), ('ZERO_AMOUNT'), ('UNKNOWN_ACCOUNT'), ('MISSING_TIMESTAMP'), ('INVALID_DIRECTION'), ('INVALID_TIMESTAMP'), ('DUPLICATE_ROW'), ('LATE_ARRIVAL'), ('MISSING_MERCHANT'), ('LOWERCASE_CURRENCY')) k(issue)) p)
+        group by issue""",
     "detection_report": """select rejection_reason, count(distinct p) as injected, count(distinct f) as found, count(distinct if(f is not null, p, null)) as hits, round(count(distinct if(f is not null, p, null)) / count(distinct p), 6) as recall,
             round(count(distinct if(p is not null, f, null)) / nullif(count(distinct f), 0), 6) as precision
         from (select coalesce(a.r, b.r) as rejection_reason, a.txn_id as p, b.txn_id as f from (

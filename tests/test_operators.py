@@ -258,6 +258,27 @@ def test_case_recall(spark):
     assert (r["cases"], r["cases_found"], r["true_alerts"], r["alerts"], r["precision"]) == (2, 1, 1, 2, 0.5)
 
 
+def test_ground_truth_counts_what_is_missing_and_extra(spark):
+    rows = [  # txn_id, file, row, time, rejection
+        ("T1", "20250102", 1, "2025-01-01", None), ("T1", "20250102", 2, "2025-01-01", None), ("T1", "20250103", 1, "2025-01-01", None), ("T2", "20250102", 3, None, "INVALID_TIMESTAMP"),
+        ("T3", "20250109", 1, "2025-01-01", None), ("T4", "20250109", 2, "2025-01-01", "ZERO_AMOUNT"), ("T5", "20250102", 4, "2025-01-01", None), ("T6", "20250102", 5, "2025-01-01", "NEGATIVE_AMOUNT"), (None, "20250102", 6, None, "MISSING_TXN_ID"),
+    ]
+    data = [(t, f"transactions/transactions_{f}.csv.gz", n, at and ts(f"{at} 10:00:00"), r) for t, f, n, at, r in rows]
+    validated = spark.createDataFrame(data, "txn_id string, _source_file string, _source_row long, txn_ts timestamp_ntz, rejection_reason string")
+    fct = spark.createDataFrame([("T1", "EUR", None), ("T3", "usd", None), ("T5", "EUR", "MISSING_MERCHANT")], "txn_id string, currency string, warning_reason string")
+    injected = [
+        ("DUPLICATE_ROW", "T1"), ("DUPLICATE_ROW", "T1"), ("INVALID_TIMESTAMP", "T2"), ("ZERO_AMOUNT", "T2"), ("LATE_ARRIVAL", "T3"), ("LATE_ARRIVAL", "T4"), ("ZERO_AMOUNT", "T4"), ("MISSING_MERCHANT", "T5"), ("MISSING_MERCHANT", "T7"),
+        ("LOWERCASE_CURRENCY", "T1"), ("CURRENCY_MISMATCH", None),
+    ]
+    report = controls.ground_truth(spark.createDataFrame(injected, "issue string, txn_id string"), validated, fct).collect()
+    assert {r["issue"]: (r["injected"], r["found"], r["missing"], r["extra"], r["passed"]) for r in report} == {
+        "DUPLICATE_ROW": (2, 2, 0, 0, True), "INVALID_TIMESTAMP": (1, 1, 0, 0, True), "ZERO_AMOUNT": (1, 1, 0, 0, True), "LATE_ARRIVAL": (1, 1, 0, 0, True), "MISSING_MERCHANT": (2, 1, 1, 0, False),
+        "LOWERCASE_CURRENCY": (0, 1, 0, 1, False), "NEGATIVE_AMOUNT": (0, 1, 0, 1, False), "CURRENCY_MISMATCH": (0, 0, 0, 0, True),
+    }
+    nothing = controls.ground_truth(spark.createDataFrame([], "issue string, txn_id string"), validated.limit(0), fct.limit(0))
+    assert nothing.count() == 0
+
+
 def test_reconciliation_raises_on_failure(spark):
     with pytest.raises(controls.ReconciliationFailed):
         controls.require_reconciled(spark.createDataFrame([("FAIL",)], "status string"))
