@@ -113,8 +113,8 @@ class Sketch:
 def sketch_ranks(pieces: DataFrame) -> np.ndarray:
     """A rank for each counter from the pieces (block, piece, counts) of all tasks: eight steps for each doubling.
 
-    Pieces are summed up in two steps, so no task sees those of more than a share of all tasks. What comes to the
-    driver is one byte a counter, whatever the input."""
+    Pieces are summed up in a tree, 64 at a time, so what a task holds doesn't grow with the number of tasks. What comes
+    to the driver is one byte a counter, whatever the input."""
 
     def total(table: pa.Table) -> np.ndarray:
         sums = np.zeros(1 << BLOCK_BITS, np.int64)
@@ -126,13 +126,15 @@ def sketch_ranks(pieces: DataFrame) -> np.ndarray:
     def add_up(table: pa.Table) -> pa.Table:
         sums = np.minimum(total(table), (1 << 32) - 1)
         at = np.flatnonzero(sums)
-        return pa.table({"block": table.column("block")[:1], "counts": pa.array([packed_counts(at, sums[at])], pa.binary())})
+        return pa.table({"block": table.column("block")[:1], "piece": table.column("piece")[:1], "counts": pa.array([packed_counts(at, sums[at])], pa.binary())})
 
     def rank(table: pa.Table) -> pa.Table:
         steps = np.minimum(255, 8 * np.log2(total(table) + 1.0)).astype(np.uint8)
         return pa.table({"block": table.column("block")[:1], "ranks": pa.array([steps.tobytes()], pa.binary())})
 
-    some = pieces.groupBy("block", F.floor(F.col("piece") / 512).alias("share")).applyInArrow(add_up, "block int, counts binary")
+    some = pieces
+    for share in (64, 64**2, 64**3):  # as far as 16 million tasks
+        some = some.groupBy("block", F.floor(F.col("piece") / share).alias("share")).applyInArrow(add_up, "block int, piece int, counts binary")
     ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
     for row in some.groupBy("block").applyInArrow(rank, "block int, ranks binary").collect():
         ranks[row["block"] << BLOCK_BITS : (row["block"] + 1) << BLOCK_BITS] = np.frombuffer(row["ranks"], np.uint8)
@@ -377,8 +379,11 @@ def tile_pairs(tiles: DataFrame, percent: int, pack_docs: int, tile_shingles: in
         of_tile = materialise(of_tile, "of-tile")
         one, other = (of_tile.select("family", *[F.col(c).alias(f"{side}_{c}") for c in ("tile", "low", "high", "least", "most")]) for side in ("one", "other"))
         apart = F.col("other_tile") - F.col("one_tile")
-        wanted = apart.between(0, 1) if near else (apart > 1) & (F.greatest("one_most", "other_most") != F.least("one_least", "other_least"))
-        pairs = one.join(other, "family").where(wanted & (F.col("other_low") * percent <= F.col("one_high") * 100)).select("family", F.col("one_tile").alias("one"), F.col("other_tile").alias("other"))
+        if near:  # by the tile's number: work in proportion to the tiles
+            met = one.join(other.withColumn("one_tile", F.explode(F.array("other_tile", F.col("other_tile") - 1))), ["family", "one_tile"])
+        else:
+            met = one.join(other, "family").where((apart > 1) & (F.greatest("one_most", "other_most") != F.least("one_least", "other_least")))
+        pairs = met.where(F.col("other_low") * percent <= F.col("one_high") * 100).select("family", F.col("one_tile").alias("one"), F.col("other_tile").alias("other"))
         ends = pairs.select("family", "one", "other", F.col("one").alias("tile"), F.lit(0).alias("side")).unionByName(pairs.where("one < other").select("family", "one", "other", F.col("other").alias("tile"), F.lit(1).alias("side")))
         paired = several.join(materialise(ends, "ends"), ["family", "tile"]).select(*held, "side", F.col("family").alias("pack"), "one", "other")
         if not near:

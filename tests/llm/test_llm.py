@@ -427,6 +427,40 @@ def test_mixing_rows_without_ids(spark):
         assert sum(r["taken"] for r in mine) == int(mine[0]["target"] + 0.5) and all(0 <= r["taken"] <= 3 * r["size"] for r in mine)
 
 
+def test_sketches_of_many_tasks_add_up(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], np.zeros(1 << ngram_join.SKETCH_BITS, np.int64)
+    for piece in [*range(200), 5_000, 300_000, 300_001]:
+        sketch = ngram_join.Sketch()
+        hashes = rng.integers(0, 1 << 63, 50, np.uint64) * np.uint64(2)
+        sketch.add(np.concatenate((hashes[:5].repeat(3), hashes)))
+        np.add.at(want, ngram_join.counters(np.concatenate((hashes[:5].repeat(3), hashes))), 1)
+        rows += [(block, piece, bytearray(packed)) for block, packed in sketch.blocks()]
+    got = ngram_join.sketch_ranks(spark.createDataFrame(rows, "block int, piece int, counts binary"))
+    assert (got == np.minimum(255, 8 * np.log2(want + 1.0)).astype(np.uint8)).all() and len(rows) > 2_000
+
+
+@pytest.mark.parametrize("near", [True, False])
+def test_pairs_of_tiles_equal_brute_force(spark, near):
+    rng = random.Random(6)
+    rows = []
+    for family, tiles in ((1, 9), (2, 2), (3, 1), (4, 30)):
+        for tile in range(tiles):
+            rows += [(len(rows) + i, family, tile, 10 * tile + 20 + i, rng.choice([7, len(rows) + i])) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, family long, tile int, n long, known long")
+    got = {(r["doc_id"], r["pack"], r["one"], r["other"], r["side"]) for r in ngram_join.tile_pairs(frame, 80, 500, 2_000_000, near).collect() if r["pack"] >= 0}
+    want = set()
+    for family in (1, 2, 4):
+        of = {t: [r for r in rows if r[1] == family and r[2] == t] for t in {r[2] for r in rows if r[1] == family}}
+        for a in of:
+            for b in of:
+                both = of[a] + of[b]
+                wanted = 0 <= b - a <= 1 if near else b - a > 1 and len({r[4] for r in both}) > 1
+                if wanted and min(r[3] for r in of[b]) * 80 <= max(r[3] for r in of[a]) * 100:
+                    want |= {(r[0], family, a, b, side) for side, t in ((0, a), (1, b)) if side == 0 or a < b for r in of[t]}
+    assert got == want
+
+
 def test_regions_equal_brute_force():
     rng = random.Random(8)
     text = lambda n: "".join(rng.choices("abcdefg ", k=n)).strip()
