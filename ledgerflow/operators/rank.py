@@ -37,6 +37,21 @@ def places(df: DataFrame, groups: list[str], value: str, digits: int = 4) -> Dat
     return joined.select(*groups, value, "_n", (F.col("_before") + F.col("_inside")).alias("_below"), "_total")
 
 
+def row_numbers(df: DataFrame, groups: list[str], at: str, ties: list[str], name: str, bits: int = 15) -> DataFrame:
+    """df with name: 1, 2, 3... along each group in order of at (a column of whole numbers), then of ties, nulls last.
+
+    Equal to row_number() over a window of the group, without one: rows are counted by stretches of 2^bits numbers, the
+    counts are summed up along the group, and one task orders the rows of one stretch. df is read twice, once for the
+    columns groups and at alone."""
+    cut = df.withColumn("_stretch", F.shiftright(at, bits))
+    by = [*groups, "_stretch"]
+    earlier = Window.partitionBy(*groups).orderBy(F.col("_stretch").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(*by, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_last() for c in (at, *ties)]))
+    own = cut.withColumn("_inside", inside)
+    return same_join(own, starts, by, "inner").withColumn(name, F.col("_before") + F.col("_inside")).drop("_stretch", "_inside", "_before")
+
+
 def percent_rank(df: DataFrame, groups: list[str], value: str, name: str, digits: int = 4) -> DataFrame:
     """df with name: the share of the group's other rows that have a smaller value; 0 for a group of one row.
 

@@ -32,15 +32,20 @@ LARGE = 400_000
 class Ledger:
     """The tables of the ledger over one directory, as lazy DataFrames."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, counted: bool = False):
+        self.spark, self.dir, self.counted = spark, sf_dir, counted
+
+    @cached_property
+    def numbered(self) -> Ledger:
+        """The same with transactions' row numbers counted along each file, for queries that return them."""
+        return Ledger(self.spark, self.dir, counted=True)
 
     def table(self, name: str) -> DataFrame:
         return adapters.table(self.spark, self.dir, name)
 
     @cached_property
     def raw(self) -> DataFrame:
-        return adapters.raw_transactions(self.spark, self.dir)
+        return adapters.raw_transactions(self.spark, self.dir, self.counted)
 
     @cached_property
     def staged(self) -> DataFrame:
@@ -112,7 +117,7 @@ def longs(df: DataFrame, *names: str) -> DataFrame:
 # ---- staging and validation
 @query
 def stg_transactions_typed(l: Ledger) -> DataFrame:
-    return l.staged
+    return l.numbered.staged
 
 
 @query

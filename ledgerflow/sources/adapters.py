@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.rank import row_numbers
 from ledgerflow.sources.seeds import MCC_CODES
 
 
@@ -91,10 +92,11 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, counted: bool = False) -> DataFrame:
     """events as delivered files: two date formats, decimal commas, bad values, late and repeated deliveries, reversals.
 
-    A file holds an id once. Row numbers rise along a file, with gaps, as they follow from the id: no window over a file."""
+    A file holds an id once. If counted, row numbers are 1, 2, 3... along a file; else they rise along it with gaps, as
+    they follow from the id, which is enough where only their order matters."""
     e = table(spark, sf_dir, "events")
     parts = table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("n_parts"))
     i = F.col("event_id")
@@ -124,7 +126,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.when(i % 331 == 1, "N/A").when(i % 337 == 2, F.concat(F.lit("-"), F.col("value").cast("string"))).when(i % 347 == 3, "0.00").otherwise(F.col("value").cast("string"))
     own = _currency(F.col("user_id"))
     place = 2 * i + F.when(F.col("txn_id").startswith("T"), 2).otherwise(1)
-    return rows.select(
+    sent = rows.select(
         "txn_id",
         F.when(i % 349 == 4, "A999999999").otherwise(F.concat(F.lit("A"), "user_id")).alias("account_id"),
         F.when(i % 353 == 5, None).when(i % 367 == 7, "  ").otherwise(F.date_format("at", "yyyy-MM-dd HH:mm:ss")).alias("iso"),
@@ -143,9 +145,11 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("transactions/transactions_"), F.date_format("day", "yyyyMMdd"), F.lit(".csv.gz")).alias("_source_file"),
         "i",
         F.col("loaded").alias("_loaded_at"),
-    ).select(
+    )
+    sent = row_numbers(sent, ["_source_file"], "i", ["txn_id"], "_source_row") if counted else sent.withColumn("_source_row", place)
+    return sent.select(
         "txn_id", "account_id", F.when(F.col("iso").isNull(), None).when(i % 7 == 0, F.col("eu")).otherwise(F.col("iso")).alias("txn_ts"), "amount", "currency", "direction", "txn_type", "status", "channel", "merchant_id",
-        "counterparty_iban", "original_txn_id", "description", "device_id", "_source_file", place.cast("long").alias("_source_row"), "_loaded_at",
+        "counterparty_iban", "original_txn_id", "description", "device_id", "_source_file", F.col("_source_row").cast("long").alias("_source_row"), "_loaded_at",
     )
 
 

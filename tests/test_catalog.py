@@ -21,6 +21,18 @@ def test_query_equals_oracle(spark, data, con, name):
     assert canonical(got) == canonical(want)
 
 
+def test_rows_of_delivered_files_are_counted(spark, data):
+    """Each file's rows are numbered 1, 2, 3... in the order of their events, a repeat in the next day's file, too."""
+    rows = catalog.QUERIES["stg_transactions_typed"](spark, data).select("_source_file", "_source_row", "txn_id").collect()
+    files = {}
+    for r in rows:
+        files.setdefault(r["_source_file"], []).append((r["_source_row"], int(r["txn_id"][1:]), r["txn_id"]))
+    assert len(files) > 20
+    for held in files.values():
+        assert [n for n, *_ in sorted(held)] == list(range(1, len(held) + 1))
+        assert [x[1:] for x in sorted(held)] == sorted(x[1:] for x in held)
+
+
 def test_every_query_but_the_approximate_one_has_an_oracle():
     assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"active_accounts_approx"}
 

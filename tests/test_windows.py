@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerflow.config import Params
 from ledgerflow.operators import chunks
 from ledgerflow.operators.chunks import cut_hot, running_sum
-from ledgerflow.operators.rank import exact_percentiles, percent_rank, value_range
+from ledgerflow.operators.rank import exact_percentiles, percent_rank, row_numbers, value_range
 from ledgerflow.operators.temporal import as_of_join, island_members, rolling_zscore, trailing_count, trailing_counts
 from ledgerflow.plans import aml
 
@@ -117,6 +117,15 @@ def test_ranges_grow_with_values(spark):
     assert got == sorted(got)
 
 
+def test_row_numbers_equal_a_window(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice(["x", "x", "x", "y", None]), at, f"{at}{t}") for at in [None, *range(-40, 300), 10**12, 2**62 + 1, 2**62 + 2] for t in "ab" if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "g string, at long, t string").cache()
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(F.col("at").asc_nulls_last(), F.col("t").asc_nulls_last())).cast("long"))
+    for bits in (0, 3, 15):
+        assert rows_of(row_numbers(df, ["g"], "at", ["t"], "n", bits)) == rows_of(want)
+
+
 def test_percent_ranks_and_percentiles_equal_windows(spark):
     rng = random.Random(7)
     value = lambda: rng.choice([0, 0, 0, None, rng.randrange(-300, 9000), rng.randrange(100_000)])
