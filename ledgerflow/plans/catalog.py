@@ -137,7 +137,7 @@ def stg_stream_typed(l: Ledger) -> DataFrame:
 
 @query
 def txn_validated(l: Ledger) -> DataFrame:
-    return l.validated.select("txn_id", "_source_file", "_source_row", "rejection_reason", "warning_reason")
+    return l.numbered.validated.select("txn_id", "_source_file", "_source_row", "rejection_reason", "warning_reason")
 
 
 @query

@@ -33,6 +33,13 @@ def test_rows_of_delivered_files_are_counted(spark, data):
         assert [x[1:] for x in sorted(held)] == sorted(x[1:] for x in held)
 
 
+@pytest.mark.parametrize("name", ["txn_validated"])
+def test_row_numbers_are_those_of_the_files(spark, data, name):
+    key = ("txn_id", "_source_file", "_source_row")
+    got = {tuple(r) for r in catalog.QUERIES[name](spark, data).select(*key).collect()}
+    assert got and got <= {tuple(r) for r in catalog.QUERIES["stg_transactions_typed"](spark, data).select(*key).collect()}
+
+
 def test_every_query_but_the_approximate_one_has_an_oracle():
     assert set(catalog.QUERIES) - set(catalog.ORACLE) == {"active_accounts_approx"}
 
