@@ -142,7 +142,7 @@ def txn_validated(l: Ledger) -> DataFrame:
 
 @query
 def txn_quarantine(l: Ledger) -> DataFrame:
-    return l.quarantined
+    return l.numbered.quarantined
 
 
 @query
