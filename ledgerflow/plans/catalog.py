@@ -215,7 +215,7 @@ def customer_month_end(l: Ledger) -> DataFrame:
 
 @query
 def fct_transactions(l: Ledger) -> DataFrame:
-    return l.fct
+    return l.numbered.fct
 
 
 @query
