@@ -570,7 +570,7 @@ def masked_accounts(l: Ledger) -> DataFrame:
 # ---- quality checks: the rows that fail
 @query
 def dq_not_null(l: Ledger) -> DataFrame:
-    return quality.not_null(l.validated, "merchant_id").select("txn_id", "_source_file", "_source_row")
+    return quality.not_null(l.numbered.validated, "merchant_id").select("txn_id", "_source_file", "_source_row")
 
 
 @query

@@ -296,6 +296,6 @@ _EXTRA = {
 }
 _QUERIES["customer_scd2_incremental"] = _QUERIES["customer_scd2"]
 #: Queries that return row numbers, which are counted along each file there; elsewhere only their order matters.
-_NUMBERED = {"stg_transactions_typed", "txn_validated", "txn_quarantine", "fct_transactions"}
+_NUMBERED = {"stg_transactions_typed", "txn_validated", "txn_quarantine", "fct_transactions", "dq_not_null"}
 _COUNTED = TABLES.replace("2 * i + if(txn_id like 'T%', 2, 1) as _source_row", "row_number() over (partition by _source_file order by i, txn_id) as _source_row")
 ORACLE: dict[str, str] = {k: (_COUNTED if k in _NUMBERED else TABLES).rstrip() + (f",\n{_EXTRA[k].strip()}" if k in _EXTRA else "") + "\n" + v for k, v in _QUERIES.items()}

@@ -33,7 +33,7 @@ def test_rows_of_delivered_files_are_counted(spark, data):
         assert [x[1:] for x in sorted(held)] == sorted(x[1:] for x in held)
 
 
-@pytest.mark.parametrize("name", ["txn_validated", "txn_quarantine", "fct_transactions"])
+@pytest.mark.parametrize("name", ["txn_validated", "txn_quarantine", "fct_transactions", "dq_not_null"])
 def test_row_numbers_are_those_of_the_files(spark, data, name):
     key = ("txn_id", "_source_file", "_source_row")
     got = {tuple(r) for r in catalog.QUERIES[name](spark, data).select(*key).collect()}
