@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +53,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+@contextmanager
+def few_rows_a_batch(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """What runs inside hands texts to Python so many rows at a time, as the JVM and Python both hold a batch whole."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(col, UPPER, LOWER)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import materialise
+from ledgerflow.llm.common import few_rows_a_batch, materialise
 from ledgerflow.llm.components import components, join_ids
 
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -84,10 +84,10 @@ def unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Sketch:
-    """Counts of a task's shingles by counter, kept as sorted places and values."""
+    """Counts of a task's shingles by counter: 64 MB, however many there are; a count beyond 2^32 - 1 stops there."""
 
-    def __init__(self, most: int = 4_000_000):
-        self.places, self.counts, self.fresh, self.held, self.most = np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0, most
+    def __init__(self, most: int = 500_000):
+        self.counts, self.fresh, self.held, self.most = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0, most
 
     def add(self, hashes: np.ndarray) -> None:
         self.fresh.append(counters(hashes).astype(np.int32))
@@ -97,17 +97,17 @@ class Sketch:
 
     def settle(self) -> None:
         if self.fresh:
-            new, n = np.unique(np.concatenate(self.fresh), return_counts=True)
-            self.places, back = np.unique(np.concatenate((self.places, new)), return_inverse=True)
-            self.counts = np.bincount(back, np.concatenate((self.counts, n))).astype(np.int64)
+            at, n = np.unique(np.concatenate(self.fresh), return_counts=True)
+            self.counts[at] = np.minimum(self.counts[at] + n, (1 << 32) - 1)
             self.fresh, self.held = [], 0
 
     def blocks(self) -> Iterator[tuple[int, bytes]]:
-        """Each block with its packed counters; a count beyond 2^32 - 1 stops there."""
+        """Each block that has any, with its packed counters."""
         self.settle()
-        for block in np.unique(self.places >> BLOCK_BITS).tolist():
-            low, high = np.searchsorted(self.places, (block << BLOCK_BITS, (block + 1) << BLOCK_BITS))
-            yield block, packed_counts(self.places[low:high] - (block << BLOCK_BITS), np.minimum(self.counts[low:high], (1 << 32) - 1))
+        for block, counts in enumerate(self.counts.reshape(-1, 1 << BLOCK_BITS)):
+            at = np.flatnonzero(counts)
+            if len(at):
+                yield block, packed_counts(at, counts[at])
 
 
 def sketch_ranks(pieces: DataFrame) -> np.ndarray:
@@ -252,7 +252,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
             none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays([*none, pa.array([block], pa.int32()), pa.array([piece], pa.int32()), pa.array([packed], pa.binary())], names)
 
-    both = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, block int, piece int, counts binary"), "described")
+    with few_rows_a_batch(rows.sparkSession):
+        both = materialise(rows.mapInArrow(describe, "doc_id long, n long, name binary, map binary, block int, piece int, counts binary"), "described")
     described = both.where("block is null")
     # which tells the texts of an id apart; repeated rows count once.
     known = described.where("n > 0 and doc_id is not null").withColumn("which", F.xxhash64("name"))
@@ -281,7 +282,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     keyed = rows.where("doc_id is not null").mapInArrow(keys_of, "doc_id long, n long, name binary, keys array<long>").where("n > 0").select("doc_id", F.xxhash64("name").alias("which"), "n", "keys")
     if repeats:
         keyed = keyed.dropDuplicates(["doc_id", "which"])
-    keyed = materialise(join_ids(keyed, copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti"), "keyed")
+    with few_rows_a_batch(rows.sparkSession):
+        keyed = materialise(join_ids(keyed, copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti"), "keyed")
     own = ["doc_id", "which", "n"] if repeats else ["doc_id", "n"]
     each = keyed.select(*own, F.explode("keys").alias("key"))
     # Most keys have one document. The others' rows are found by a shuffle at any size, in which Spark splits a hot key.

@@ -90,3 +90,36 @@ def test_pipeline_on_hostile_tables(spark, hostile):
         assert got.columns == docs.columns and got.where("count <> 'clash' or terms <> 'clash' or items <> 'clash' or p_toxic <> 'clash'").count() == 0
         assert set(keys(got, "doc_id")) <= set(keys(docs, "doc_id")) and got.count() > 0
     assert corpus_pipeline.run(spark, hostile).count() > 0
+
+
+def test_sketch_of_a_large_task_takes_bounded_memory():
+    """12 million different shingles: kept as sorted places and values, merging them took some hundred MB."""
+    import tracemalloc
+
+    import numpy as np
+
+    from ledgerflow.llm.ngram_join import SKETCH_BITS, Sketch, mixed
+
+    sketch, n = Sketch(), 0
+    tracemalloc.start()
+    for at in range(0, 12_000_000, 400_000):
+        sketch.add(mixed(np.arange(at + 1, at + 400_001, dtype=np.uint64)))
+    n = sum(len(packed) > 0 for _, packed in sketch.blocks())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1 << (SKETCH_BITS - 18) and peak < 150e6
+
+
+def test_texts_reach_python_in_small_batches_and_the_setting_returns(spark):
+    from ledgerflow.llm.common import few_rows_a_batch
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, None)
+
+    def sizes(batches):
+        for b in batches:
+            yield b.slice(0, 1).from_pydict({"n": [b.num_rows]})
+
+    with few_rows_a_batch(spark):
+        most = spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+    assert most == 1000 and spark.conf.get(name, None) == before
