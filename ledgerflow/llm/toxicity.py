@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import materialise
 
 PREFIXES = (4, 5)
+#: Rows for each task that fits a model, about.
+FIT_ROWS = 20_000
 
 
 def terms(text: Column) -> Column:
@@ -71,13 +73,46 @@ class Linear:
         return out.withColumn(name, vector_to_array("x_p")[1]).drop("x_in", "x_raw", "x_p", "x_class")
 
 
-def fit_one(rows: DataFrame, label: str, inputs: list[str]) -> Constant | Linear:
-    seen = {r[0]: r[1] for r in rows.groupBy(label).count().collect() if r[0] is not None}
-    if len(seen) < 2:
-        return Constant(float(next(iter(seen), 0)))
-    ready = VectorAssembler(inputCols=inputs, outputCol="x_in").transform(rows.where(F.col(label).isNotNull())).select("x_in", F.col(label).cast("double").alias("x_label"))
-    fitted = LogisticRegression(featuresCol="x_in", labelCol="x_label", rawPredictionCol="x_raw", probabilityCol="x_p", predictionCol="x_class", regParam=0.002, maxIter=25, standardization=False).fit(ready)
-    return Linear(fitted, inputs)
+def fit(rows: DataFrame, n: int, inputs: list[str], penalty: float = 0.002):
+    """A logistic regression of x_label on inputs over about n rows, weighted by x_weight.
+
+    Each of its steps is a Spark job, of which the driver keeps a record and broadcasts; with few tasks it has few stages."""
+    ready = VectorAssembler(inputCols=inputs, outputCol="x_in").transform(rows).select("x_in", "x_label", "x_weight").coalesce(max(4, n // FIT_ROWS))
+    return LogisticRegression(
+        featuresCol="x_in", labelCol="x_label", weightCol="x_weight", rawPredictionCol="x_raw", probabilityCol="x_p", predictionCol="x_class", regParam=penalty, maxIter=25, standardization=False
+    ).fit(ready)
+
+
+def fit_one(rows: DataFrame, label: str, inputs: list[str], counts: tuple[int, int]) -> Constant | Linear:
+    """counts: rows of label 0 and 1."""
+    if not all(counts):
+        return Constant(float(counts[1] > 0))
+    ready = rows.where(F.col(label).isNotNull()).withColumns({"x_label": F.col(label).cast("double"), "x_weight": F.lit(1.0)})
+    return Linear(fit(ready, sum(counts), inputs), inputs)
+
+
+def score_folds(vectors: DataFrame, category: str, earlier: list[str], counts: list[tuple[int, int]]) -> DataFrame:
+    """vectors plus p_<category> by the model of all folds but the row's own.
+
+    The folds' models are fitted together: each has inputs of its own, which are 0 in the others' rows, and its rows
+    weigh as much as the others' in all, so the sum of their losses and penalties is least where each of them is."""
+    name, live = f"p_{category}", [f for f, n in enumerate(counts) if all(n)]
+    p = F.lit(None).cast("double")
+    for f, n in enumerate(counts):
+        p = F.when(F.col("fold") == f, F.lit(float(n[1] > 0))).otherwise(p)
+    if not live:
+        return vectors.withColumn(name, p)
+    at = lambda f, c: F.when(F.col("block") == f, F.col(c)).otherwise(0.0)
+    own = {f"x_{c}_{f}": at(f, c) for c in earlier for f in live} | {f"x_one_{f}": (F.col("block") == f).cast("double") for f in live}
+    total = sum(sum(counts[f]) for f in live)
+    each = [F.struct(F.lit(f).alias("block"), F.col(f"x_terms_{f}").alias("x_own"), F.col(f"{category}_{f}").cast("double").alias("x_label"), F.lit(total / len(live) / sum(counts[f])).alias("x_weight")) for f in live]
+    stacked = vectors.select("fold", *earlier, F.explode(F.array(*each)).alias("x")).select("fold", *earlier, "x.*").where("block <> fold and x_label is not null")
+    model = Linear(fit(stacked.withColumns(own), total, ["x_own", *own], 0.002 / len(live)), ["x_own", *own])
+    terms_of = F.col(f"x_terms_{live[0]}")
+    for f in live[1:]:
+        terms_of = F.when(F.col("fold") == f, F.col(f"x_terms_{f}")).otherwise(terms_of)
+    scored = model.score(vectors.withColumns({"block": F.col("fold"), "x_own": terms_of}).withColumns(own), "x_live")
+    return scored.withColumn(name, F.when(F.col("fold").isin(live), F.col("x_live")).otherwise(p)).drop("block", "x_own", "x_live", *own)
 
 
 class Chain:
@@ -102,9 +137,9 @@ class Chain:
         )
 
 
-def with_vectors(df: DataFrame, vocabulary: list[str], name: str = "x_terms") -> DataFrame:
+def with_vectors(df: DataFrame, vocabulary: list[str], name: str = "x_terms", terms_col: str = "terms") -> DataFrame:
     """df plus a vector of 0 and 1: which of the vocabulary are among its terms."""
-    return CountVectorizerModel.from_vocabulary(vocabulary or ["\x00"], inputCol="terms", outputCol=name).setBinary(True).transform(df)
+    return CountVectorizerModel.from_vocabulary(vocabulary or ["\x00"], inputCol=terms_col, outputCol=name).setBinary(True).transform(df)
 
 
 def best_threshold(scored: DataFrame, p: str, label: str) -> float:
@@ -155,33 +190,42 @@ def train_chain(sample: DataFrame, categories: list[str], folds: int = 3, max_te
     chosen = {c: select_terms(rows, c, max_terms, folds) for c in categories}
     labels, order = [f"{c}_{f}" for c in categories for f in range(folds + 1)], list(categories)
     wide = rows.select("doc_id", "fold", "terms", *[F.col(c).alias(f"{c}_{f}") for c in categories for f in range(folds + 1)])
-    for f in range(folds + 1):  # all that depends on labels, without fold f; the last time on all rows
-        wide = with_vectors(wide, sorted(set().union(*(chosen[c][f] for c in categories))), f"x_terms_{f}")
-        if dense:
-            wide = with_density(wide, f"{dense}_{f}", sorted(chosen[dense][f]), F.col("fold") != f, f"dense_{f}")
-            labels.append(f"dense_{f}")
+    # All that depends on labels is made without fold f; the last time on all rows. Terms of a fold are told apart by its number.
+    own = [sorted(set().union(*(chosen[c][f] for c in categories))) for f in range(folds + 1)]
+    tagged = [f"{f}:{t}" for f in range(folds) for t in own[f]]
+    for f in range(folds):
+        wide = with_vectors(wide.withColumn("tagged", F.transform("terms", lambda t: F.concat(F.lit(f"{f}:"), t))), tagged, f"x_terms_{f}", "tagged").drop("tagged")  # noqa: B023
+    wide = with_vectors(wide, own[folds], f"x_terms_{folds}")
     if dense:
+        labels += [f"dense_{f}" for f in range(folds + 1)]
         order.insert(order.index(dense), "dense")
+        wide = with_density(wide, dense, chosen[dense])
     vectors = materialise(wide.select("doc_id", "fold", *labels, *[f"x_terms_{f}" for f in range(folds + 1)]), "toxic-vectors")
+    classes = vectors.agg(*[F.count(F.when((F.col("fold") != f) & (F.col(f"{c}_{f}") == y), 1)).alias(f"{c}_{f}_{y}") for c in order for f in range(folds + 1) for y in (0, 1)]).first()
     earlier, models, thresholds = [], [], []
     for c in order:
-        inputs = lambda f: [f"x_terms_{f}", *earlier]  # noqa: B023, E731
-        parts = [fit_one(vectors.where(F.col("fold") != f), f"{c}_{f}", inputs(f)).score(vectors.where(F.col("fold") == f), f"p_{c}") for f in range(folds)]
-        out_of_fold = materialise(reduce(DataFrame.unionByName, parts), "toxic-folds")
-        final = fit_one(vectors, f"{c}_{folds}", inputs(folds))
+        *counts, every = [(classes[f"{c}_{f}_0"], classes[f"{c}_{f}_1"]) for f in range(folds + 1)]
+        final = fit_one(vectors, f"{c}_{folds}", [f"x_terms_{folds}", *earlier], every)
+        vectors = materialise(score_folds(vectors, c, earlier, counts), "toxic-folds")
         models.append(final if isinstance(final, Constant) else Linear(final.model, ["x_terms", *earlier]))
-        thresholds.append(best_threshold(out_of_fold, f"p_{c}", f"{c}_{folds}"))
-        vectors, earlier = out_of_fold, [*earlier, f"p_{c}"]
-    return Chain(order, sorted(set().union(*(chosen[c][folds] for c in categories))), models, thresholds)
-
-
-def with_density(rows: DataFrame, category: str, own_terms: list[str], used: Column, name: str) -> DataFrame:
-    """rows plus name: 1 for those of the category that hold its terms most densely, 0 for others, null where it is null.
-
-    Densely is at least as densely as the median of the category's rows among those used."""
-    scored = with_vectors(rows, own_terms, "x_own")
-    hits = F.size(F.filter(vector_to_array("x_own"), lambda x: x > 0))
-    scored = scored.withColumn("density", hits / F.greatest(F.size("terms"), F.lit(1))).drop("x_own")
-    middle = scored.where((F.col(category) == 1) & used).agg(F.percentile("density", 0.5)).first()[0]
-    is_dense = (F.col(category) == 1) & (F.col("density") >= F.lit(middle if middle is not None else 0.0))
-    return scored.withColumn(name, F.when(F.col(category).isNotNull(), is_dense.cast("int"))).drop("density")
+        thresholds.append(best_threshold(vectors, f"p_{c}", f"{c}_{folds}"))
+        earlier = [*earlier, f"p_{c}"]
+    return Chain(order, own[folds], models, thresholds)
+
+
+def with_density(rows: DataFrame, category: str, own_terms: list[list[str]]) -> DataFrame:
+    """rows plus dense_<f> for each fold f and one number more: 1 for those of the category (column <category>_<f>) that
+    hold the terms own_terms[f] most densely, 0 for others, null where it is null.
+
+    Densely is at least as densely as the median of the category's rows without those of fold f."""
+    scored, middle = rows, []
+    for f, some in enumerate(own_terms):
+        hits = F.size(F.filter(vector_to_array("x_some"), lambda x: x > 0))
+        scored = with_vectors(scored, some, "x_some").withColumn(f"density_{f}", hits / F.greatest(F.size("terms"), F.lit(1))).drop("x_some")
+        middle.append(F.percentile(F.when((F.col(f"{category}_{f}") == 1) & (F.col("fold") != f), F.col(f"density_{f}")), 0.5).alias(f"middle_{f}"))
+    found = scored.agg(*middle).first()
+    for f in range(len(own_terms)):
+        least = found[f"middle_{f}"]
+        is_dense = (F.col(f"{category}_{f}") == 1) & (F.col(f"density_{f}") >= F.lit(least if least is not None else 0.0))
+        scored = scored.withColumn(f"dense_{f}", F.when(F.col(f"{category}_{f}").isNotNull(), is_dense.cast("int")))
+    return scored.drop(*[f"density_{f}" for f in range(len(own_terms))])

@@ -123,3 +123,16 @@ def test_texts_reach_python_in_small_batches_and_the_setting_returns(spark):
     with few_rows_a_batch(spark):
         most = spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
     assert most == 1000 and spark.conf.get(name, None) == before
+
+
+def test_models_of_all_folds_take_one_fit(spark, monkeypatch):
+    """Each step of a fit is a job that the driver keeps; a fit for each fold and link filled its memory in long sessions."""
+    from ledgerflow.llm import toxicity
+
+    fits, real = [], toxicity.LogisticRegression
+    monkeypatch.setattr(toxicity, "LogisticRegression", lambda **k: fits.append(k) or real(**k))
+    rows = [(i, f"word{i % 3} " + ("scum" if i % 4 == 0 else "fine"), int(i % 4 == 0)) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    chain = toxicity.train_chain(df, ["toxic"])
+    assert len(fits) == 2  # the folds together, and all rows; four before
+    assert all(r["is_toxic"] == (r["toxic"] == 1) for r in chain.predict(df).collect())
