@@ -110,11 +110,12 @@ class Sketch:
                 yield block, packed_counts(at, counts[at])
 
 
-def sketch_ranks(pieces: DataFrame) -> np.ndarray:
+def packed_ranks(pieces: DataFrame) -> dict[int, bytes]:
     """A rank for each counter from the pieces (block, piece, counts) of all tasks: eight steps for each doubling.
 
     Pieces are summed up in a tree, 64 at a time, so what a task holds doesn't grow with the number of tasks. What comes
-    to the driver is one byte a counter, whatever the input."""
+    to the driver, and goes on from there, is each block that has any, packed: at most one byte a counter, whatever the
+    input. Only the tasks unpack it (unpacked_ranks)."""
 
     def total(table: pa.Table) -> np.ndarray:
         sums = np.zeros(1 << BLOCK_BITS, np.int64)
@@ -130,17 +131,25 @@ def sketch_ranks(pieces: DataFrame) -> np.ndarray:
 
     def rank(table: pa.Table) -> pa.Table:
         steps = np.minimum(255, 8 * np.log2(total(table) + 1.0)).astype(np.uint8)
-        return pa.table({"block": table.column("block")[:1], "ranks": pa.array([steps.tobytes()], pa.binary())})
+        return pa.table({"block": table.column("block")[:1], "ranks": pa.array([zlib.compress(steps.tobytes(), 1)], pa.binary())})
 
     some = pieces
     for share in (64, 64**2, 64**3):  # as far as 16 million tasks
         some = some.groupBy("block", F.floor(F.col("piece") / share).alias("share")).applyInArrow(add_up, "block int, piece int, counts binary")
+    return {row["block"]: bytes(row["ranks"]) for row in some.groupBy("block").applyInArrow(rank, "block int, ranks binary").collect()}
+
+
+def unpacked_ranks(packed: dict[int, bytes]) -> np.ndarray:
     ranks = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for row in some.groupBy("block").applyInArrow(rank, "block int, ranks binary").collect():
-        ranks[row["block"] << BLOCK_BITS : (row["block"] + 1) << BLOCK_BITS] = np.frombuffer(row["ranks"], np.uint8)
+    for block, steps in packed.items():
+        ranks[block << BLOCK_BITS : (block + 1) << BLOCK_BITS] = np.frombuffer(zlib.decompress(steps), np.uint8)
     return ranks
 
 
+def sketch_ranks(pieces: DataFrame) -> np.ndarray:
+    return unpacked_ranks(packed_ranks(pieces))
+
+
 def bitmap(hashes: np.ndarray, bits: int) -> np.ndarray:
     flags = np.zeros(bits, bool)
     flags[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
@@ -266,16 +275,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
     classes = materialise(classes, "classes")
     copies = materialise(known.select("doc_id", "which", "name").join(classes, "name").where("doc_id <> first").select("doc_id", "which", "first"), "copies")
 
-    ranks = rows.sparkSession.sparkContext.broadcast(sketch_ranks(both.where("block is not null").select("block", "piece", "counts")))
+    packed = rows.sparkSession.sparkContext.broadcast(packed_ranks(both.where("block is not null").select("block", "piece", "counts")))
 
     def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = unpacked_ranks(packed.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 sets = [shingle_set(value.as_py(), words) for value in part.column(1)]
                 sizes = [len(s) for s in sets]
                 digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                keys = [prefix_keys(s, percent, ranks.value).view(np.int64) for s in sets]
+                keys = [prefix_keys(s, percent, ranks).view(np.int64) for s in sets]
                 offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))], ["doc_id", "n", "name", "keys"])
 
@@ -284,6 +294,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, tile_doc
         keyed = keyed.dropDuplicates(["doc_id", "which"])
     with few_rows_a_batch(rows.sparkSession):
         keyed = materialise(join_ids(keyed, copies.select("doc_id", "which"), ["doc_id", "which"], "left_anti"), "keyed")
+    packed.destroy()  # else the driver and the executors keep it for the whole join
     own = ["doc_id", "which", "n"] if repeats else ["doc_id", "n"]
     each = keyed.select(*own, F.explode("keys").alias("key"))
     # Most keys have one document. The others' rows are found by a shuffle at any size, in which Spark splits a hot key.

@@ -136,3 +136,20 @@ def test_models_of_all_folds_take_one_fit(spark, monkeypatch):
     chain = toxicity.train_chain(df, ["toxic"])
     assert len(fits) == 2  # the folds together, and all rows; four before
     assert all(r["is_toxic"] == (r["toxic"] == 1) for r in chain.predict(df).collect())
+
+
+def test_ranks_pass_the_driver_packed_and_are_released(spark, monkeypatch):
+    """They went through it as 16 MB, whatever the input, which it kept for the whole join."""
+    import os
+    import pickle
+
+    from pyspark import SparkContext
+
+    from ledgerflow.llm.ngram_join import near_duplicates
+
+    sent, real = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append((len(pickle.dumps(value)), real(self, value))) or sent[-1][1])
+    rows = [(i, " ".join(f"w{j + 100 * (i // 2)}" for j in range(60))) for i in range(40)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: i // 2 * 2 for i in range(40)}
+    assert [n < 1_000_000 for n, _ in sent] == [True] and not os.path.exists(sent[0][1]._path)
